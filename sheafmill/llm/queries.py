@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from sheafmill.llm import bpe, decontaminate, secrets, simhash
+from sheafmill.llm import bpe, decontaminate, secrets, sharding, simhash
 
 
 def queries() -> dict[str, Callable]:
-    found = [bpe.op2_byte_bpe, secrets.op5_secret_scan, decontaminate.op6_benchmark_decontamination, simhash.op7_simhash_near_dedup]
+    found = [bpe.op2_byte_bpe, sharding.op4_min_cost_reshard, secrets.op5_secret_scan, decontaminate.op6_benchmark_decontamination, simhash.op7_simhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
