@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from sheafmill.llm import bpe, decontaminate, secrets, sharding, simhash
+from sheafmill.llm import bpe, decontaminate, secrets, sharding, simhash, vectors
 
 
 def queries() -> dict[str, Callable]:
-    found = [bpe.op2_byte_bpe, sharding.op4_min_cost_reshard, secrets.op5_secret_scan, decontaminate.op6_benchmark_decontamination, simhash.op7_simhash_near_dedup]
+    found = [bpe.op2_byte_bpe, sharding.op4_min_cost_reshard, secrets.op5_secret_scan, decontaminate.op6_benchmark_decontamination, simhash.op7_simhash_near_dedup, vectors.op8_exact_top_k]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_exact_top_k": vectors.ORACLE_OP8}
