@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from sheafmill.llm import bpe, decontaminate, quality, secrets, sharding, simhash, toxicity, urls, vectors
+from sheafmill.llm import bpe, decontaminate, language_model, quality, secrets, sharding, simhash, toxicity, urls, vectors
 
 
 def queries() -> dict[str, Callable]:
-    found = [quality.op1_quality_crf, bpe.op2_byte_bpe, sharding.op4_min_cost_reshard, secrets.op5_secret_scan, decontaminate.op6_benchmark_decontamination, simhash.op7_simhash_near_dedup, vectors.op8_exact_top_k, toxicity.op9_toxicity, urls.op10_url_rules]
+    found = [quality.op1_quality_crf, bpe.op2_byte_bpe, language_model.op3_kneser_ney, sharding.op4_min_cost_reshard, secrets.op5_secret_scan, decontaminate.op6_benchmark_decontamination, simhash.op7_simhash_near_dedup, vectors.op8_exact_top_k, toxicity.op9_toxicity, urls.op10_url_rules]
     return {f.__name__: f for f in found}
 
 
