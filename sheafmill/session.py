@@ -22,3 +22,12 @@ def ship_package(spark: SparkSession) -> None:
             out.write(path, str(Path(here.name) / path.relative_to(here)))
     context.addPyFile(archive)
     context._sheafmill_shipped = True
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share; where the cluster names none (tests), a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sheafmill.shared.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="sheafmill-")
+        spark.conf.set("spark.sheafmill.shared.dir", root)
+    return root.rstrip("/")
