@@ -132,11 +132,11 @@ def op8_exact_top_k(spark, sf_dir: str) -> DataFrame:
 
 ORACLE_OP8 = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 ), ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
