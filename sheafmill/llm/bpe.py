@@ -5,8 +5,9 @@ token, any other is merged from its bytes, the adjacent pair of lowest rank firs
 
 Merging uses a rank queue: each rank has a bucket of linked-list positions whose pair has that rank, and a bitmap of
 three levels with 64-way fan-out says which buckets are filled, so that finding the next rank is three find-first-set
-steps. Merged or changed positions stay in their buckets and are skipped when they come up. The work for a pre-token
-of n bytes is O(n log n) for the order within a bucket, so very long pre-tokens are no trouble.
+steps. Merged or changed positions stay in their buckets and are skipped when they come up. The work for n bytes is
+O(n log n) for the order within buckets, so very long pre-tokens are no trouble. All pre-tokens of a batch that are new go
+through one queue: a bucket then holds positions of many of them, and no pair reaches over the end of its pre-token.
 
 Results of chunks (a run of non-space characters with one space before it, if there is one) are remembered, a bounded number per worker. No match of the pattern crosses from such a chunk into
 the next, so a chunk can be encoded without what is around it.
@@ -18,13 +19,14 @@ and repeated rows do not matter; an empty table gives an empty result; other col
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from heapq import heappop, heappush
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -34,18 +36,18 @@ from sheafmill.llm.common import documents, text_session, texts
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: The characters of Unicode's White_Space property (fixed values).
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Chunks remembered by a worker.
-REMEMBERED = 200_000
-#: Chunks longer than this are not remembered.
-LONGEST_REMEMBERED = 200
-#: Chunks digested at once.
+#: Chunks remembered by a worker, and pre-tokens.
+REMEMBERED = 400_000
+#: Characters of texts that are encoded together.
+TOGETHER = 1 << 21
+#: Chunks of a longer text that are encoded at once.
 BLOCK = 1 << 16
 
 CHUNKS = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 
 
 class RankQueue:
-    """Positions by rank, lowest rank and then lowest position first."""
+    """Buckets of positions by rank; `next` takes the filled bucket of the lowest rank."""
 
     def __init__(self, ranks: int):
         self.buckets: list[list[int]] = [[] for _ in range(ranks)]
@@ -53,15 +55,21 @@ class RankQueue:
         self.middle = [0] * ((ranks >> 12) + 1)
         self.top = 0
 
+    def fill(self, rank: int, positions: list[int]) -> None:
+        """Put positions into the bucket of a rank, which is empty."""
+        self.buckets[rank] = positions
+        self.leaf[rank >> 6] |= 1 << (rank & 63)
+        self.middle[rank >> 12] |= 1 << (rank >> 6 & 63)
+        self.top |= 1 << (rank >> 12)
+
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets[rank]
-        if not bucket:
-            self.leaf[rank >> 6] |= 1 << (rank & 63)
-            self.middle[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-        heappush(bucket, position)
+        if bucket:
+            bucket.append(position)
+        else:
+            self.fill(rank, [position])
 
-    def pop(self) -> tuple[int, int] | None:
+    def next(self) -> tuple[int, list[int]] | None:
         top = self.top
         if not top:
             return None
@@ -69,16 +77,15 @@ class RankQueue:
         word = self.middle[high]
         mid = high << 6 | (word & -word).bit_length() - 1
         word = self.leaf[mid]
-        rank = mid << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            self.leaf[mid] &= ~(1 << (rank & 63))
-            if not self.leaf[mid]:
-                self.middle[high] &= ~(1 << (mid & 63))
-                if not self.middle[high]:
-                    self.top &= ~(1 << high)
-        return rank, position
+        bit = word & -word
+        rank = mid << 6 | bit.bit_length() - 1
+        bucket, self.buckets[rank] = self.buckets[rank], []
+        self.leaf[mid] = word ^ bit
+        if word == bit:
+            self.middle[high] ^= 1 << (mid & 63)
+            if not self.middle[high]:
+                self.top ^= 1 << high
+        return rank, bucket
 
 
 class Codec:
@@ -93,91 +100,135 @@ class Codec:
             self.token[rank] = piece
         self.queue = RankQueue(self.size)
         self.decimal = [str(i) for i in range(self.size)]
-        self.known = _Known(self)
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Token ids of a piece that is no vocabulary entry itself."""
-        n, rank_of, queue = len(piece), self.ranks.get, self.queue
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)])
+        self.two = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)])
+        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[bytes, tuple[int, ...]] = {}
+
+    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Token ids of each piece, all merged through one queue: ranks ascend in every piece as they do in the queue."""
+        if not pieces:
+            return []
+        whole = b"".join(pieces)
+        n, rank_of, queue = len(whole), self.ranks.get, self.queue
+        octets = np.frombuffer(whole, dtype=np.uint8).astype(np.int64)
+        stops = np.cumsum([len(p) for p in pieces])
+        ranks = np.full(n, -1)
+        ranks[:-1] = self.two[octets[:-1] << 8 | octets[1:]]
+        ranks[stops - 1] = -1
+        order = np.argsort(ranks, kind="stable")
+        order = order[np.searchsorted(ranks[order], 0) :]
+        filled, first = np.unique(ranks[order], return_index=True)
+        for rank, positions in zip(filled.tolist(), np.split(order, first[1:])):
+            queue.fill(rank, positions.tolist())
+        symbol = self.byte[octets].tolist()
         end = list(range(1, n + 1))  # of the symbol that starts at a position
-        before = list(range(-1, n - 1))  # start of the symbol before; only for live starts
-        pair = [-1] * n  # rank of the pair of the symbol at a position and the next, -1: none
-        for i in range(n - 1):
-            rank = rank_of(piece[i : i + 2])
-            if rank is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (item := queue.pop()) is not None:
-            rank, i = item
-            if pair[i] != rank:  # stale
-                continue
-            middle = end[i]
-            stop = end[i] = end[middle]
-            pair[middle] = pair[i] = -1
-            if stop < n:
-                before[stop] = i
-                new = rank_of(piece[i : end[stop]])
-                if new is not None:
-                    pair[i] = new
-                    queue.push(new, i)
-            j = before[i]
-            if j >= 0:
-                new = rank_of(piece[j:stop])
-                if new is None:
-                    pair[j] = -1
-                elif pair[j] != new:
-                    pair[j] = new
-                    queue.push(new, j)
+        before = list(range(-1, n - 1))  # start of the symbol before, -1: none; only for live starts
+        pair = ranks.tolist()  # rank of the pair of the symbol at a position and the next, -1: none
+        starts = bytearray(n + 1)  # where a piece starts, or all end
+        starts[n] = 1
+        for stop in [0, *stops[:-1].tolist()]:
+            starts[stop] = 1
+            before[stop] = -1
+        while (item := queue.next()) is not None:
+            rank, bucket = item
+            bucket.sort()
+            for k, i in enumerate(bucket):
+                if pair[i] != rank:  # stale
+                    continue
+                middle = end[i]
+                stop = end[i] = end[middle]
+                symbol[i] = rank
+                pair[middle] = pair[i] = -1
+                lower = False
+                if not starts[stop]:
+                    before[stop] = i
+                    new = rank_of(whole[i : end[stop]])
+                    if new is not None:
+                        pair[i] = new
+                        queue.push(new, i)
+                        lower = new < rank
+                j = before[i]
+                if j >= 0:
+                    new = rank_of(whole[j:stop])
+                    if new is None:
+                        pair[j] = -1
+                    else:
+                        pair[j] = new
+                        queue.push(new, j)
+                        lower = lower or new < rank
+                if lower and k + 1 < len(bucket):  # that pair comes first
+                    queue.fill(rank, bucket[k + 1 :])
+                    break
         out, i = [], 0
-        while i < n:
-            out.append(rank_of(piece[i : end[i]]))
-            i = end[i]
+        for stop in stops.tolist():
+            ids = []
+            while i < stop:
+                ids.append(symbol[i])
+                i = end[i]
+            out.append(tuple(ids))
         return out
 
-    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for piece in self.pattern.findall(chunk):
-            raw = piece.encode("utf-8", "surrogatepass")
-            rank = self.ranks.get(raw)
-            if rank is not None:
-                out.append(rank)
-            else:
-                out += self.merge(raw)
-        return tuple(out)
+    def learn(self, chunks: set[str]) -> None:
+        """Encode the chunks that are not remembered; after it all of them are."""
+        fresh = chunks.difference(self.chunks)
+        if len(self.chunks) + len(fresh) > REMEMBERED:
+            self.chunks, fresh = {}, chunks
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {}
+        parts, wanted, findall, ranks, known = [], set(), self.pattern.findall, self.ranks, self.pieces
+        for chunk in fresh:
+            own = [p.encode("utf-8", "surrogatepass") for p in findall(chunk)]
+            parts.append((chunk, own))
+            for piece in own:
+                if piece not in ranks and piece not in known:
+                    wanted.add(piece)
+        unmerged = list(wanted)
+        known.update(zip(unmerged, self.merge(unmerged)))
+        for chunk, own in parts:
+            self.chunks[chunk] = tuple(chain.from_iterable((ranks[p],) if p in ranks else known[p] for p in own))
 
     def blocks(self, text: str) -> Iterator[list[int]]:
-        """The ids of a text, some at a time."""
-        chunks: Iterable[str] = CHUNKS.findall(text) if len(text) < 1 << 20 else (m[0] for m in CHUNKS.finditer(text))
-        chunks, known = iter(chunks), self.known.__getitem__
+        """The ids of a long text, some at a time."""
+        chunks = (m[0] for m in CHUNKS.finditer(text))
         while block := list(islice(chunks, BLOCK)):
-            yield list(chain.from_iterable(map(known, block)))
+            self.learn(set(block))
+            yield list(chain.from_iterable(map(self.chunks.__getitem__, block)))
+
+    def encode_all(self, every: Iterable[str]) -> Iterator[Iterable[list[int]]]:
+        """The ids of each text, in blocks; short texts are worked through together."""
+        waiting: list[list[str]] = []
+        size = 0
+        for text in every:
+            long = len(text) > TOGETHER
+            if long or size + len(text) > TOGETHER:
+                yield from self._together(waiting)
+                waiting, size = [], 0
+            if long:
+                yield self.blocks(text)
+            else:
+                waiting.append(CHUNKS.findall(text))
+                size += len(text)
+        yield from self._together(waiting)
+
+    def _together(self, waiting: list[list[str]]) -> Iterator[list[list[int]]]:
+        self.learn(set(chain.from_iterable(waiting)))
+        for chunks in waiting:
+            yield [list(chain.from_iterable(map(self.chunks.__getitem__, chunks)))]
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.blocks(text)))
+        return list(chain.from_iterable(next(iter(self.encode_all([text])))))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-class _Known(dict):
-    """Remembered chunks; all are forgotten when there are too many."""
-
-    def __init__(self, codec: Codec):
-        self.codec = codec
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        found = self.codec.encode_chunk(chunk)
-        if len(chunk) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[chunk] = found
-        return found
-
-
 @lru_cache(maxsize=2)
 def codec(name: str = RANKS) -> Codec:
     """The codec of a rank file of the public tokenizers; loaded once in a worker."""
     import public_tokenizers
 
+    gc.set_threshold(1_000_000, 20, 100)  # what is remembered is many small tuples without cycles; scanning them often costs a third of the time
     with open(public_tokenizers.path(name), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
     return Codec(ranks, public_tokenizers.PATTERN)
@@ -188,9 +239,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     decimal = own.decimal.__getitem__
     for batch in batches:
         counts, ids_hex, bytes_hex = [], [], []
-        for text in texts(batch):
+        for blocks in own.encode_all(texts(batch)):
             ids_hash, bytes_hash, n = hashlib.sha256(), hashlib.sha256(), 0
-            for ids in own.blocks(text):
+            for ids in blocks:
                 if n and ids:
                     ids_hash.update(b",")
                 n += len(ids)
@@ -206,7 +257,7 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own = codec()
     for batch in batches:
         every = list(texts(batch))
-        ids = [own.encode(text) for text in every]
+        ids = [list(chain.from_iterable(blocks)) for blocks in own.encode_all(every)]
         exact = [own.decode(x).decode("utf-8", "surrogatepass") == text for x, text in zip(ids, every)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array(exact, pa.bool_())], names=["doc_id", "ids", "n_tokens", "exact"])
 

@@ -23,6 +23,8 @@ def test_like_tiktoken(official):
     for text in texts:
         assert own.encode(text) == official.encode_ordinary(text), repr(text[:80])
         assert own.decode(own.encode(text)) == text.encode()
+    together = [list(bpe.chain.from_iterable(blocks)) for blocks in own.encode_all(texts)]
+    assert together == [official.encode_ordinary(text) for text in texts]
     assert own.queue.top == 0 and not any(own.queue.leaf)
 
 
@@ -33,10 +35,28 @@ def test_very_long_pre_token(official):
 
 
 def test_long_text_in_blocks(official):
-    text = "the house and a tree, " * 60_000
+    text = "the house and a tree, " * 120_000
     assert bpe.codec().encode(text) == official.encode_ordinary(text)
 
 
+def test_lower_rank_comes_up():
+    ranks = {bytes([b]): 1000 + b for b in range(256)} | {b"ab": 5, b"abc": 2, b"cab": 3, b"bc": 7, b"cc": 6, b"abcc": 1, b"aa": 4}
+    own = bpe.Codec(ranks, r".+")
+    rng = random.Random(3)
+
+    def plain(piece):
+        parts = [bytes([b]) for b in piece]
+        while True:
+            pairs = [(ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks]
+            if not pairs:
+                return tuple(ranks[p] for p in parts)
+            _, i = min(pairs)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    pieces = [bytes(rng.choice(b"abc") for _ in range(rng.randint(2, 12))) for _ in range(500)]
+    assert own.merge(pieces) == [plain(p) for p in pieces]
+
+
 def test_rows(spark, official):
     rows = [(1, "a b", "x"), (1, "a b", "x"), (None, "né", None), (2, None, "y"), (3, "", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
