@@ -13,6 +13,7 @@ from sheafmill.functions.scalars import make_id, normalize_date, normalize_lang,
 from sheafmill.operators import merge, runs, search, validate, xml
 from sheafmill.plans import reports
 from sheafmill.plans.roles import role, with_roles
+from sheafmill.session import keep, shared_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -348,14 +349,14 @@ def xml_layout_coalesce(spark, sf_dir):
 @query(f"""SELECT doc_id, CASE WHEN lang IN ('de', 'fr') THEN '' ELSE 'https://doi.org/' END || 'id/' || CAST(doc_id AS VARCHAR) AS id, source AS title, lang AS title_lang, 'second' AS subtitle, lang AS subject, text AS description, '2024' AS year, '2024-05-07' AS issued, 'Dataset' AS general
     FROM documents WHERE {_GOOD}""")
 def xml_normalize(spark, sf_dir):
-    doc = xml.normalize(xml_records(spark, sf_dir)).filter("status = 'ok'")
+    doc = keep(xml.normalize(xml_records(spark, sf_dir)), "normalized").filter("status = 'ok'")
     return doc.select("doc_id", "doc.id", F.col("doc.titles")[0]["title"].alias("title"), F.col("doc.titles")[0]["lang"].alias("title_lang"), F.col("doc.titles")[1]["title"].alias("subtitle"), F.col("doc.subjects")[0]["subject"].alias("subject"), F.col("doc.descriptions")[0]["description"].alias("description"),
                       F.col("doc.publicationYear").alias("year"), F.col("doc.dates")[0]["date"].alias("issued"), F.col("doc.types.resourceTypeGeneral").alias("general"))
 
 
 @query(f"SELECT doc_id, 'name ' || source AS name, 'Personal' AS name_type, 'given' AS given, CAST(NULL AS VARCHAR) AS family FROM documents WHERE {_GOOD}")
 def xml_creators(spark, sf_dir):
-    doc = xml.normalize(xml_records(spark, sf_dir)).filter("status = 'ok'").select("doc_id", F.explode("doc.creators").alias("c"))
+    doc = keep(xml.normalize(xml_records(spark, sf_dir)), "normalized").filter("status = 'ok'").select("doc_id", F.explode("doc.creators").alias("c"))
     return doc.select("doc_id", F.col("c.creatorName").alias("name"), F.col("c.nameType").alias("name_type"), F.col("c.givenName").alias("given"), F.col("c.familyName").alias("family"))
 
 
@@ -525,7 +526,6 @@ def hybrid_search(spark, sf_dir):
 
 @query("SELECT user_id, event_id, event_type, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def streaming_upsert(spark, sf_dir):
-    from sheafmill.session import shared_root
     from sheafmill.streaming.ingest import stream_upsert
 
     root = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"

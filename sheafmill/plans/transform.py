@@ -13,6 +13,7 @@ from sheafmill.operators.embed import HashingEmbedder, embed
 from sheafmill.operators.merge import delete_by_key, last_of_key, merge_errors, upsert_records
 from sheafmill.operators.validate import validate
 from sheafmill.operators.xml import normalize
+from sheafmill.session import keep
 from sheafmill.sources.tables import conform
 
 KEY = ["endpoint_id", "record_identifier"]
@@ -32,11 +33,12 @@ def transform(events: DataFrame, now: Column, make_embedder=HashingEmbedder, mod
     """events: of event_scan(). Of several events of a record the latest (date stamp, then id) counts."""
     latest = last_of_key(events, KEY, [F.col("datestamp").desc(), F.col("id").desc()])
     gone = latest.filter("is_deleted").select(*KEY)
-    checked = validate(normalize(events.filter("NOT is_deleted")))
+    # Written once: a filter on the status of a lazy frame would be pushed below the parsing and repeat it for each rule.
+    checked = keep(validate(normalize(events.filter("NOT is_deleted"))), "checked-events")
     results = checked.filter("status <> 'skipped'").select("id", "message")
-    ok = validate(normalize(latest.filter("NOT is_deleted"))).filter("status = 'ok'")
+    ok = checked.filter("status = 'ok'").join(latest.filter("NOT is_deleted").select("id"), "id", "left_semi")
     text = embedding_text(F.col("doc.titles"), F.col("doc.subjects"), F.col("doc.descriptions"))
-    done = embed(ok.withColumn("_text", text), "_text", make_embedder).drop("_text")
+    done = keep(embed(ok.withColumn("_text", text), "_text", make_embedder).drop("_text"), "embedded-events")
     # JSON text of the additional metadata is stored as a JSON string, like any other text
     body = document_json(F.col("doc"), {"_additional_metadata": _quoted(F.col("additional_metadata")), "_repo": _quoted(F.col("code")), "_harvest_url": _quoted(F.col("harvest_url"))})
     records = done.withColumns(

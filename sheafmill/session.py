@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -31,3 +32,11 @@ def shared_root(spark: SparkSession) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="sheafmill-")
         spark.conf.set("spark.sheafmill.shared.dir", root)
     return root.rstrip("/")
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write df into the shared folder and read it back: it is worked out once, and lineage ends there."""
+    spark = df.sparkSession
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
