@@ -15,7 +15,13 @@ TEXT_ROWS = 512
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: an input with fewer partitions than cores (a small single file) is dealt out anew; larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def shared_root(spark: SparkSession) -> str:
