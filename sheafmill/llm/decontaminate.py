@@ -195,3 +195,15 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     return contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+ORACLE_OP6 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents),
+  i AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark),
+  a AS (SELECT DISTINCT q, k, array_to_string(w[p : p + k - 1], ' ') AS s FROM (SELECT q, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM (SELECT *, least(5, len(w)) AS k FROM i WHERE len(w) > 0))),
+  b AS (SELECT DISTINCT r, k, array_to_string(w[p : p + k - 1], ' ') AS s FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM a) WHERE len(w) >= k)),
+  n AS (SELECT q, count(*) AS n FROM a GROUP BY q),
+  m AS (SELECT r, q, count(*) AS shared FROM a JOIN b USING (k, s) GROUP BY r, q)
+SELECT doc_id, item_id, n AS n_shingles, shared, shared / CAST(n AS DOUBLE) AS containment
+FROM m JOIN n USING (q) JOIN d USING (r) JOIN i USING (q) WHERE shared >= ceil(0.8 * n - 1e-9)
+"""
