@@ -13,7 +13,7 @@ from sheafmill.functions.scalars import make_id, normalize_date, normalize_lang,
 from sheafmill.operators import merge, runs, search, validate, xml
 from sheafmill.plans import reports
 from sheafmill.plans.roles import role, with_roles
-from sheafmill.session import keep, shared_root
+from sheafmill.session import keep, shared_root, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,7 +38,8 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name == "documents" else df  # work on whole texts is worth all cores
 
 
 # Reports and views.
