@@ -28,6 +28,8 @@ from sheafmill.llm.common import keep
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
+#: Labelled pages on which a rule of the query must hold at least; below that, confidence is chance.
+MIN_PAGES = 20
 #: Tokens in a rule at most; FP-growth's longer itemsets are not turned into rules.
 MAX_TOKENS = 4
 BLOCK, ALLOW = "=block", "=allow"
@@ -85,8 +87,12 @@ def firing(sets: DataFrame, rules: DataFrame) -> DataFrame:
     return posted.join(index, "token").groupBy("key", "rule_id", "n").agg(F.count("*").alias("found")).filter("found = n").select("key", "rule_id")
 
 
-def mine(transactions: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(rule_id, antecedent, confidence, support) of the pruned rules to `block`. transactions: items, with the label among them."""
+def mine(transactions: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_pages: int = 1) -> DataFrame:
+    """(rule_id, antecedent, confidence, support) of the pruned rules to `block`. transactions: items, with the label among them.
+
+    A rule holds on a share min_support of the transactions and on min_pages of them.
+    """
+    min_support = min(1.0, max(min_support, min_pages / max(1, transactions.count())))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(transactions)
     rules = model.associationRules.filter((F.size("consequent") == 1) & (F.element_at("consequent", 1) == BLOCK) & (F.size("antecedent") <= MAX_TOKENS))
     rules = rules.filter(~F.array_contains("antecedent", ALLOW)).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
@@ -97,14 +103,14 @@ def mine(transactions: DataFrame, min_support: float = MIN_SUPPORT, min_confiden
     return rules.join(weaker.select(F.col("key").alias("rule_id")).distinct(), "rule_id", "left_anti")
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_pages: int = 1) -> DataFrame:
     """(page_id, host, path, rule, verdict, confidence) of every row. labels: (page_id, bad)."""
     host, path, _ = parts(F.col("url"))
     rule, verdict = given_rule(F.col("host"), F.col("path"), rules)
     rows = pages.select("page_id", host.alias("host"), path.alias("path"), tokens(F.col("url")).alias("tokens"))
     bad = labels.filter("page_id IS NOT NULL AND bad IS NOT NULL").groupBy("page_id").agg(F.max("bad").alias("bad"))
     transactions = keep(rows.join(bad, "page_id").select(F.array_append("tokens", F.when(F.col("bad"), F.lit(BLOCK)).otherwise(F.lit(ALLOW))).alias("items")), "transactions")
-    mined = keep(mine(transactions, min_support, min_confidence), "pruned-rules")
+    mined = keep(mine(transactions, min_support, min_confidence, min_pages), "pruned-rules")
     sets = rows.select("tokens").distinct().select(F.col("tokens").alias("key"), "tokens")
     fired = firing(sets, mined).join(mined.select("rule_id", "confidence"), "rule_id").groupBy("key").agg(F.max("confidence").alias("confidence"))
     judged = rows.join(fired.withColumnRenamed("key", "tokens"), "tokens", "left")
@@ -115,4 +121,4 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float =
 
 def op10_url_rules(spark, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"), labels)
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"), labels, min_pages=MIN_PAGES)
