@@ -92,9 +92,10 @@ def mine(transactions: DataFrame, min_support: float = MIN_SUPPORT, min_confiden
 
     A rule holds on a share min_support of the transactions and on min_pages of them.
     """
-    min_support = min(1.0, max(min_support, min_pages / max(1, transactions.count())))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(transactions)
-    rules = model.associationRules.filter((F.size("consequent") == 1) & (F.element_at("consequent", 1) == BLOCK) & (F.size("antecedent") <= MAX_TOKENS))
+    n = max(1, transactions.count())
+    least = min_pages - 0.5  # of a count, so that rounding of shares can't move it by a page
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, least / n)), minConfidence=min_confidence).fit(transactions)
+    rules = model.associationRules.filter(F.col("support") * n >= least).filter((F.size("consequent") == 1) & (F.element_at("consequent", 1) == BLOCK) & (F.size("antecedent") <= MAX_TOKENS))
     rules = rules.filter(~F.array_contains("antecedent", ALLOW)).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     rules = keep(rules.withColumn("rule_id", F.xxhash64("antecedent")), "rules")
     sets = rules.select(F.col("rule_id").alias("key"), F.col("antecedent").alias("tokens"))
