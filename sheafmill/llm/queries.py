@@ -13,4 +13,4 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_benchmark_decontamination": decontaminate.ORACLE_OP6, "op8_exact_top_k": vectors.ORACLE_OP8}
+    return {"op6_benchmark_decontamination": decontaminate.ORACLE_OP6, "op8_exact_top_k": vectors.ORACLE_OP8, "op10_url_rules": urls.ORACLE_OP10}

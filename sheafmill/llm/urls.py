@@ -123,3 +123,38 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float =
 def op10_url_rules(spark, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"), labels, min_pages=MIN_PAGES)
+
+
+_SUBSETS = "\n  UNION ALL ".join(
+    f"SELECT a1.r, a1.bad, [{', '.join(f'a{i}.tok' for i in range(1, k + 1))}] AS a FROM b a1" + "".join(f" JOIN b a{i} ON a{i}.r = a1.r AND a{i}.tok > a{i - 1}.tok" for i in range(2, k + 1)) for k in range(1, MAX_TOKENS + 1)
+)
+_GIVEN = sorted(RULES, key=lambda r: -len(r[1]))
+_FITS = [(what, text, "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*text.split("/", 1))) for what, text in _GIVEN]
+
+#: The rules by counting every token set of up to MAX_TOKENS tokens, without FP-growth.
+ORACLE_OP10 = rf"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  q AS (SELECT r, page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '(?s)^[^?#]*(.*)$', 1) AS tail FROM p),
+  v AS (SELECT r, 'scheme:' AS mark, translate(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1), '{UPPER}', '{LOWER}') AS tok FROM q
+    UNION ALL SELECT r, 'top:', string_split(host, '.')[-1] FROM q
+    UNION ALL SELECT r, 'domain:', regexp_extract(host, '([^.]+\.[^.]+)$', 1) FROM q
+    UNION ALL SELECT r, 'host:', unnest(string_split(host, '.')) FROM q
+    UNION ALL SELECT r, 'path:', CASE WHEN regexp_full_match(s, '[0-9]+') THEN '#' ELSE s END FROM (SELECT r, unnest(regexp_split_to_array(regexp_replace(lower(path), '\.[a-z0-9]+$', ''), '[/_\-.]+')) AS s FROM q)
+    UNION ALL SELECT r, 'type:', regexp_extract(lower(path), '\.([a-z0-9]+)$', 1) FROM q
+    UNION ALL SELECT r, 'key:', regexp_extract(s, '^([^=]*)', 1) FROM (SELECT r, unnest(string_split(regexp_extract(tail, '^\?([^#]*)', 1), '&')) AS s FROM q)
+    UNION ALL SELECT r, 'anchor:', regexp_extract(tail, '#(.*)$', 1) FROM q),
+  t AS (SELECT DISTINCT r, mark || tok AS tok FROM v WHERE tok <> ''),
+  l AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+  x AS (SELECT r, bad FROM q JOIN l ON page_id = doc_id WHERE bad IS NOT NULL),
+  m AS (SELECT greatest({MIN_SUPPORT} * count(*), {MIN_PAGES}) AS least FROM x),
+  f AS (SELECT tok FROM t JOIN x USING (r) WHERE bad GROUP BY tok HAVING count(*) >= (SELECT least FROM m)),
+  b AS (SELECT r, bad, tok FROM t JOIN x USING (r) JOIN f USING (tok)),
+  s AS ({_SUBSETS}),
+  c AS (SELECT a, count(*) FILTER (WHERE bad) AS together, count(*) AS n FROM s GROUP BY a),
+  g AS (SELECT a, together / CAST(n AS DOUBLE) AS confidence FROM c WHERE together >= (SELECT least FROM m) AND together / CAST(n AS DOUBLE) >= {MIN_CONFIDENCE}),
+  k AS (SELECT a, confidence FROM g o WHERE NOT EXISTS (SELECT 1 FROM g i WHERE len(i.a) < len(o.a) AND list_has_all(o.a, i.a) AND i.confidence >= o.confidence)),
+  fired AS (SELECT r, max(confidence) AS confidence FROM (SELECT r, list(tok) AS toks FROM t GROUP BY r) JOIN k ON list_has_all(toks, a) GROUP BY r)
+SELECT page_id, host, path, CASE {" ".join(f"WHEN {fits} THEN '{text}'" for _, text, fits in _FITS)} END AS rule,
+  CASE {" ".join(f"WHEN {fits} THEN '{what}'" for what, _, fits in _FITS)} WHEN confidence IS NULL THEN 'allow' ELSE 'block' END AS verdict, confidence
+FROM q LEFT JOIN fired USING (r)
+"""

@@ -1,6 +1,9 @@
 import random
+from collections import Counter
 from itertools import combinations
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from sheafmill.llm import urls as u
@@ -75,3 +78,52 @@ def test_mining_like_brute_force(spark):
         host, path = plain_parts(url)
         fires = any(set(c) <= set(token[i]) for c in want)
         assert verdicts[i] == (plain_rule(host, path)[0] or ("block" if fires else "allow"))
+
+
+def blog_pages(n):
+    """(page_id, url) and (doc_id, quality, toxic): what is on example pages of casino hosts is bad, some of the rest by chance."""
+    rng = random.Random(n)
+    pages, labels = [(None, None), (1, "no scheme")], [(None, 0, 0), (2, None, None)]
+    for i in range(n):
+        host = rng.choice(["casino-win", "blog", "free.bets", "shop"])
+        url = f"http://{host}.Example.{rng.choice(['com', 'org', 'net'])}/{rng.choice(['en', 'de', 'fr', 'win'])}/{rng.randint(1, 99)}{rng.choice(['', '.html', '?ref=x&b', '#top'])}"
+        bad = "casino" in url or ("bets" in url and "/win" in url and rng.random() < 0.9) or rng.random() < 0.05
+        pages.append((i, url))
+        labels.append((i, int(not bad), int(bad and rng.random() < 0.5)))
+    return pages, labels
+
+
+def compared(spark, folder):
+    got = u.op10_url_rules(spark, folder)
+    with duckdb.connect() as db:
+        for name in ("pages", "labels"):
+            db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet{'/*.parquet' if not folder.startswith('/root') else ''}')")
+        cursor = db.execute(u.ORACLE_OP10)
+        names = [c[0] for c in cursor.description]
+        want = Counter(cursor.fetchall())
+    assert names == got.columns
+    rows = Counter(tuple(r) for r in got.collect())
+    assert rows == want
+    return rows
+
+
+@pytest.mark.parametrize("n", [10, 147, 900])
+def test_query_like_sql(spark, tmp_path, n):
+    pages, labels = blog_pages(n)
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    mined = {r[4] for r in compared(spark, str(tmp_path)) if r[5] is not None}
+    assert bool(mined) == (n > 20)
+
+
+def test_query_like_sql_on_tables(spark):
+    compared(spark, "/root/testdata/sf0.01")
+
+
+def test_least_pages(spark):
+    """A rule holds on at least so many pages, whatever rounding does to shares; with fewer pages there is none."""
+    rows = [(["host:a", u.BLOCK if i < 20 else u.ALLOW],) for i in range(20)] + [(["host:b", u.ALLOW],)] * 127
+    items = spark.createDataFrame(rows, "items array<string>")
+    assert [r["antecedent"] for r in u.mine(items, 0.002, 0.8, 20).collect()] == [["host:a"]]
+    assert u.mine(items, 0.002, 0.8, 21).collect() == []
+    assert u.mine(items.limit(10), 0.002, 0.8, 20).collect() == []
