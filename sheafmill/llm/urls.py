@@ -33,6 +33,8 @@ MIN_PAGES = 20
 #: Tokens in a rule at most; FP-growth's longer itemsets are not turned into rules.
 MAX_TOKENS = 4
 BLOCK, ALLOW = "=block", "=allow"
+#: Tasks among which the pages of one token set are dealt when they get their verdict.
+SALTS = 16
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -114,7 +116,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float =
     mined = keep(mine(transactions, min_support, min_confidence, min_pages), "pruned-rules")
     sets = rows.select("tokens").distinct().select(F.col("tokens").alias("key"), "tokens")
     fired = firing(sets, mined).join(mined.select("rule_id", "confidence"), "rule_id").groupBy("key").agg(F.max("confidence").alias("confidence"))
-    judged = rows.join(fired.withColumnRenamed("key", "tokens"), "tokens", "left")
+    fired = fired.select(F.col("key").alias("tokens"), "confidence", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    judged = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", F.spark_partition_id()), F.lit(SALTS)).cast("int")).join(fired, ["tokens", "salt"], "left")
     judged = judged.withColumn("rule", rule).withColumn("given", verdict)
     own = F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", "rule", F.coalesce("given", own).alias("verdict"), "confidence")
