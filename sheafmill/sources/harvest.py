@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,16 +50,36 @@ def _pointer(root: str, name: str) -> str:
     return f"{root}/{name}/_current"
 
 
+_POINTER = "number long, version string"
+
+
+def _pointers(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.schema(_POINTER).json(_pointer(root, name))
+
+
+def _missing(e: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(e)
+
+
 def write_snapshot(df: DataFrame, root: str, name: str, version: str) -> None:
-    """Write a table to a new version folder, then point to it. A version that is there already is replaced, so a repeated batch does no harm."""
+    """Write a table to a new version folder, then point to it. A version that is there already is replaced, so a repeated batch does no harm.
+
+    Pointers are numbered and added, never replaced: a writer that dies leaves the table at the version before. One writer at a time is assumed.
+    """
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{root}/{name}/version={version}")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(_pointer(root, name))
+    try:
+        number = _pointers(spark, root, name).agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0] + 1
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        number = 0
+    spark.createDataFrame([(number, version)], _POINTER).coalesce(1).write.mode("append").json(_pointer(root, name))
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The version of a table that is pointed to."""
-    version = spark.read.text(_pointer(root, name)).first()[0]
+    """The version of a table that is pointed to last."""
+    version = _pointers(spark, root, name).agg(F.max_by("version", "number")).first()[0]
     return spark.read.parquet(f"{root}/{name}/version={version}")
 
 
@@ -77,7 +98,7 @@ def verify(spark: SparkSession, root: str) -> dict[str, int]:
         try:
             tables += set(read_snapshot(spark, root, name).columns) == set(SCHEMAS[name].fieldNames())
         except Exception as e:  # a table that is missing is counted as missing
-            if "PATH_NOT_FOUND" not in str(e):
+            if not _missing(e):
                 raise
     return {"tables": tables, "enumerations": 4, "resource_types": len(RESOURCE_TYPE)}
 

@@ -120,6 +120,19 @@ def test_files(spark, tmp_path):
     assert found == {"a.oai_datacite.xml": "one", "b.oai.xml": None}
 
 
+def test_snapshots(spark, tmp_path):
+    root = str(tmp_path)
+    for n, version in enumerate(["a", "b", "c"]):
+        harvest.write_snapshot(spark.range(n + 1), root, "t", version)
+        assert harvest.read_snapshot(spark, root, "t").count() == n + 1
+    spark.range(9).write.parquet(f"{root}/t/version=d")  # its writer died before the pointer
+    assert harvest.read_snapshot(spark, root, "t").count() == 3
+    harvest.write_snapshot(spark.range(5), root, "t", "a")  # an old version, written and pointed to again
+    assert harvest.read_snapshot(spark, root, "t").count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        harvest.read_snapshot(spark, root, "none")
+
+
 def test_stream_in_several_batches(spark, tmp_path):
     from sheafmill.streaming.ingest import stream_upsert
 
