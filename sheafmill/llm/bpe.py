@@ -38,6 +38,8 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Chunks remembered by a worker, and pre-tokens.
 REMEMBERED = 400_000
+#: Characters of the chunks that were learnt since all was forgotten; bounds a worker's memory where pre-tokens are long.
+REMEMBERED_CHARACTERS = 1 << 26
 #: Characters of texts that are encoded together.
 TOGETHER = 1 << 21
 #: Chunks of a longer text that are encoded at once.
@@ -102,6 +104,7 @@ class Codec:
         self.decimal = [str(i) for i in range(self.size)]
         self.byte = np.array([ranks[bytes([b])] for b in range(256)])
         self.two = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)])
+        self.characters = 0
         self.chunks: dict[str, tuple[int, ...]] = {}
         self.pieces: dict[bytes, tuple[int, ...]] = {}
 
@@ -172,7 +175,11 @@ class Codec:
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not remembered; after it all of them are."""
         fresh = chunks.difference(self.chunks)
-        if len(self.chunks) + len(fresh) > REMEMBERED:
+        self.characters += sum(map(len, fresh))
+        if self.characters > REMEMBERED_CHARACTERS:  # long pre-tokens
+            self.chunks, self.pieces, fresh = {}, {}, chunks
+            self.characters = sum(map(len, fresh))
+        elif len(self.chunks) + len(fresh) > REMEMBERED:
             self.chunks, fresh = {}, chunks
         if len(self.pieces) > REMEMBERED:
             self.pieces = {}

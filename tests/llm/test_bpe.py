@@ -34,6 +34,16 @@ def test_very_long_pre_token(official):
     assert bpe.codec().encode(text) == official.encode_ordinary(text)
 
 
+def test_long_pre_tokens_are_forgotten(official, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_CHARACTERS", 20_000)
+    rng = random.Random(4)
+    own = bpe.Codec(bpe.codec().ranks, bpe.codec().pattern.pattern)
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.choice([3, 3000]))) for _ in range(4)) for _ in range(3)]
+        assert [list(bpe.chain.from_iterable(blocks)) for blocks in own.encode_all(texts)] == [official.encode_ordinary(t) for t in texts]
+        assert sum(map(len, own.chunks)) <= 20_000 + sum(map(len, texts))
+
+
 def test_long_text_in_blocks(official):
     text = "the house and a tree, " * 120_000
     assert bpe.codec().encode(text) == official.encode_ordinary(text)
