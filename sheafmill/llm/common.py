@@ -1,16 +1,17 @@
-"""Helpers that the training-data operators share: the shared folder, written intermediates, Arrow maps over whole texts."""
+"""Helpers that the training-data operators share: the shared folder, written intermediates, batches of whole texts."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text in one Arrow batch. Texts average a few kilobytes, so a batch stays at some megabytes.
+#: Rows of text in one Arrow batch. Texts average a few kilobytes, so a batch stays at some megabytes; where texts are long, Spark's own
+#: bound on the bytes of a batch (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB) cuts it earlier.
 TEXT_ROWS = 512
 
 
@@ -47,11 +48,6 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with batches cut to TEXT_ROWS rows, however large Spark makes them."""
-    return df.mapInArrow(fn, schema)
-
-
 def text_session(spark: SparkSession) -> None:
     """Bound the rows in an Arrow batch, so that long texts do not pile up in a Python worker."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > TEXT_ROWS:
@@ -67,7 +63,3 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
 def fold_remainder(column: str, mod: int):
     """crc32 of the id as text, modulo mod: the remainder that says which rows are held out. A null id has none (-1)."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % mod, F.lit(-1)).cast("int")
-
-
-def digest_hex(column):
-    return F.lower(F.sha2(column, 256))
