@@ -71,12 +71,12 @@ class _Hashes(dict):
 _hash_of = _Hashes()
 
 
-def shingle_hashes(words: list[str], width: int) -> np.ndarray:
+def shingle_hashes(words: list, width: int, hash_of: dict = _hash_of) -> np.ndarray:
     """A 64-bit hash of each shingle, from the hashes of its words."""
     n = len(words)
     if n < width:
         return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(_hash_of.__getitem__, words), dtype=np.uint64, count=n)
+    h = np.fromiter(map(hash_of.__getitem__, words), dtype=np.uint64, count=n)
     out = h[: n - width + 1].copy()
     for j in range(1, width):
         out *= _MIX

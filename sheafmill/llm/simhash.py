@@ -235,9 +235,14 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Rows of one doc_id are told apart by their text; of rows alike in both, one stays. A row without doc_id stays only where its
     component has no row with one.
     """
-    columns, key = docs.columns, F.xxhash64("text")
     marks = keep(fingerprints(docs), "fingerprints")
     _, root = rooted(marks)
+    return one_of_each(docs, marks, root)
+
+
+def one_of_each(docs: DataFrame, marks: DataFrame, root: DataFrame) -> DataFrame:
+    """The rows of docs that stay, by (doc_id, text_hash, fp) of every row and (fp, root) of every fp."""
+    columns, key = docs.columns, F.xxhash64("text")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("first")
     stay = keep(marks.join(root.select("fp", "root"), "fp").groupBy("root").agg(first).select("first.doc_id", "first.text_hash"), "representatives")
     kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]) & (key == stay["text_hash"]), "left_semi").select(columns)
