@@ -49,12 +49,15 @@ LEAST_CHANGES = 3
 HEX_ONLY = re.compile(r"[0-9a-fA-F]+\Z")
 ALNUM_ONLY = re.compile(r"(?:[a-z0-9]+|[A-Z0-9]+)\Z")
 CHANGES = re.compile(r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")
-ALLOWED = [
-    re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
-    re.compile(r"\d+(?:[-_/]\d+)+\Z"),
-    re.compile(r"(?:[A-Za-z]+[-_/=]+)+[A-Za-z]*\d{0,6}\Z"),
-    re.compile(r"(?i)example|placeholder|your[-_]|sample|dummy|changeme|x{6}|0123456789|abcdefgh"),
+#: Chains of numbers (dates, versions) and of words with a number at the end; a span is allowed if it is one as a whole, padding aside.
+CHAINS = [
+    re.compile(r"[-_/]*\d+(?:[-_/]+\d+)*[-_/]*"),
+    re.compile(r"[-_/=]*(?:[A-Za-z]+[-_/=]+)+[A-Za-z]*\d{0,6}"),
 ]
+#: What is left of a span without UUIDs and without the parts between separators that hold a placeholder or an ascending sequence is judged alone.
+KNOWN = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9A-Za-z])|(?i:your[-_][a-z]*)")
+PART = re.compile(r"[A-Za-z0-9]+")
+PLACEHOLDER = re.compile(r"(?i)example|placeholder|sample|dummy|changeme|x{6}|0123456789|abcdefgh")
 
 _N_LOG_N = [0.0, *(n * math.log2(n) for n in range(1, 4096))]
 
@@ -94,7 +97,10 @@ def allowed(found: str, before: str) -> bool:
     """Whether the allow list names this span. before: the text that leads to it."""
     if not any(c.isdigit() for c in found) or len(CHANGES.findall(found)) * 20 < LEAST_CHANGES * len(found):
         return True
-    if any(p.search(found) for p in ALLOWED):
+    if any(p.fullmatch(found.rstrip("=")) for p in CHAINS):
+        return True
+    rest = PART.sub(lambda m: "" if PLACEHOLDER.search(m[0]) else m[0], KNOWN.sub("", found))
+    if rest != found and not any(not allowed(m[0][a:b], before) for m in CANDIDATE.finditer(rest) for a, b in dense_spans(m[0], *CLASSES[candidate_class(m[0])])):
         return True
     return "://" in before[max(before.rfind(c) for c in " \n\t\"'<>") + 1 :]
 

@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import math
 import random
@@ -61,3 +62,18 @@ def test_rows(spark):
     clean = {(r["doc_id"], r["text"]) for r in secrets.redact_secrets(docs).collect()}
     assert clean == {(1, "[SECRET]"), (None, "[SECRET] é " * 3), (2, None), (3, ""), (4, "x" * 300_000 + " [SECRET]")}
     assert secrets.secret_spans(docs.limit(0)).collect() == []
+
+
+def test_padded_and_url_safe_keys():
+    """Random keys whose end looks like a chain of words or numbers, or that stand beside a known form."""
+    rng = random.Random(12)
+    for encode in (base64.b64encode, base64.urlsafe_b64encode):
+        for size in (16, 20, 32, 64):
+            keys = [encode(rng.randbytes(size)).decode() for _ in range(300)]
+            found = sum(bool(secrets.scan(f"here is {k} and")[1]) for k in keys)
+            assert found >= 0.7 * len(keys), (encode, size, found)
+    key = "9aF3kLm2Qx8Zt5Rw7Vb1Ny4Hc6Jd0"
+    for beside in (key + "==", key + "/ab=", "sample/" + key, key + "-example", key + "/550e8400-e29b-41d4-a716-446655440000", key + "-2024-01-01"):
+        assert any(k >= 3 for _, k, _ in secrets.scan(f"here is {beside} and")[1]), beside
+    for clean in ("id=550e8400-e29b-41d4-a716-446655440000", "550e8400-e29b-41d4-a716-446655440000/550e8400-e29b-41d4-a716-446655440001", "your-api-key-goes_in-here-1234", "A9f3k2m1sample8z7x6c5v4b3"):
+        assert not [x for x in secrets.scan(f"here is {clean} and")[1] if x[1] >= 3], clean
