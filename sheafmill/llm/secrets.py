@@ -7,9 +7,9 @@ Entropy kinds: a candidate is a run of the characters of base64 and its URL-safe
 holds all its characters: hexadecimal (`entropy_hex`), one case of letters with digits (`entropy_alnum`) or the whole
 alphabet (`entropy_base64`). A window of the class's width slides along it; the character counts and the sum of
 n*log2(n) change by one character in and one out, so a candidate costs its length whatever the width. Windows at or
-above the class's threshold are joined to spans. The allow list then drops spans that are no secrets: without a
-digit, with few changes between letters and digits (words with a number), of a well-known form (UUID, date or version
-chain, ascending sequence, placeholder), or inside a URL path. A span within a base span is not reported again.
+above the class's threshold are joined to spans. The allow list then drops spans that are no secrets: with few changes
+between letters, digits and case (words with a number, words written together), of a well-known form (UUID, chain of
+words or numbers, ascending sequence, placeholder), or inside a URL path. A span within a base span is not reported again.
 
 Offsets are code points, end exclusive. Defined cases: null is the empty text and has no spans; rows are scanned one by one, so ties and repeated
 rows do not matter; an empty table gives an empty result; other columns are not read.
@@ -43,12 +43,15 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 CLASSES = {"entropy_hex": (20, 3.0), "entropy_alnum": (20, 3.5), "entropy_base64": (20, 3.8)}
 #: The order of kinds among spans that start together.
 KINDS = ("assign", "access", "hex", *CLASSES)
-#: Letter-digit changes that a span must have in every 20 characters.
+#: Letter-digit changes that a span must have in every 20 characters, or changes of any kind (a capital before small letters is none, so that
+#: a word has one), which are more than words written together have.
 LEAST_CHANGES = 3
+LEAST_ALL_CHANGES = 6
 
 HEX_ONLY = re.compile(r"[0-9a-fA-F]+\Z")
 ALNUM_ONLY = re.compile(r"(?:[a-z0-9]+|[A-Z0-9]+)\Z")
 CHANGES = re.compile(r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")
+ALL_CHANGES = re.compile(CHANGES.pattern + r"|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])")
 #: Chains of numbers (dates, versions) and of words with a number at the end; a span is allowed if it is one as a whole, padding aside.
 CHAINS = [
     re.compile(r"[-_/]*\d+(?:[-_/]+\d+)*[-_/]*"),
@@ -95,7 +98,7 @@ def dense_spans(candidate: str, width: int, least: float) -> list[tuple[int, int
 
 def allowed(found: str, before: str) -> bool:
     """Whether the allow list names this span. before: the text that leads to it."""
-    if not any(c.isdigit() for c in found) or len(CHANGES.findall(found)) * 20 < LEAST_CHANGES * len(found):
+    if len(CHANGES.findall(found)) * 20 < LEAST_CHANGES * len(found) and len(ALL_CHANGES.findall(found)) * 20 < LEAST_ALL_CHANGES * len(found):
         return True
     if any(p.fullmatch(found.rstrip("=")) for p in CHAINS):
         return True
@@ -122,7 +125,7 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
     found = []
     for m in CANDIDATE.finditer(text):
         candidate, at = m[0], m.start()
-        if candidate.isalpha():  # the allow list drops spans without a digit
+        if candidate.isalpha() and (candidate.isupper() or candidate[1:].islower()):  # the allow list drops spans without changes
             continue
         kind = candidate_class(candidate)
         for a, b in dense_spans(candidate, *CLASSES[kind]):

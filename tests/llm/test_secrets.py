@@ -77,3 +77,13 @@ def test_padded_and_url_safe_keys():
         assert any(k >= 3 for _, k, _ in secrets.scan(f"here is {beside} and")[1]), beside
     for clean in ("id=550e8400-e29b-41d4-a716-446655440000", "550e8400-e29b-41d4-a716-446655440000/550e8400-e29b-41d4-a716-446655440001", "your-api-key-goes_in-here-1234", "A9f3k2m1sample8z7x6c5v4b3"):
         assert not [x for x in secrets.scan(f"here is {clean} and")[1] if x[1] >= 3], clean
+
+
+def test_keys_with_few_digits():
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet, least in ((letters + letters.upper() + "0123456789", 0.95), (letters + letters.upper(), 0.5)):
+        keys = ["".join(rng.choice(alphabet) for _ in range(32)) for _ in range(300)]
+        assert sum(bool(secrets.scan(f"here is {k} and")[1]) for k in keys) >= least * len(keys), alphabet
+    for clean in ("getElementsByClassNameAndIndex", "TheQuickBrownFoxJumpsOverLazyDogs", "DONAUDAMPFSCHIFFFAHRTSKAPITAEN", "my-longVariable-Name_andMore-42", "AbstractSingletonProxyFactoryBean2"):
+        assert not secrets.scan(f"here is {clean} and")[1], clean
