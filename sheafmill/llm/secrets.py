@@ -59,6 +59,8 @@ CHAINS = [
 ]
 #: What is left of a span without UUIDs and without the parts between separators that hold a placeholder or an ascending sequence is judged alone.
 KNOWN = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9A-Za-z])|(?i:your[-_][a-z]*)")
+#: What follows a password or user name in a URL.
+USER_END = re.compile(r"[^\s\"'<>?#@]*@")
 PART = re.compile(r"[A-Za-z0-9]+")
 PLACEHOLDER = re.compile(r"(?i)example|placeholder|sample|dummy|changeme|x{6}|0123456789|abcdefgh")
 
@@ -96,16 +98,29 @@ def dense_spans(candidate: str, width: int, least: float) -> list[tuple[int, int
     return spans
 
 
-def allowed(found: str, before: str) -> bool:
-    """Whether the allow list names this span. before: the text that leads to it."""
+def in_url_path(found: str, before: str, after: str) -> bool:
+    """Whether the span belongs to the path of a URL: not to its query, fragment or user and password."""
+    lead = before[max(before.rfind(c) for c in " \n\t\"'<>") + 1 :]
+    _, mark, rest = lead.partition("://")
+    if not mark or "?" in rest or "#" in rest:
+        return False
+    rest = rest.rpartition("://")[2]  # of a URL within a URL's path
+    if "/" in rest:
+        return True
+    # The host has not ended before the span. A password can hold an unescaped slash, a user name is taken to hold none.
+    return ("/" in found and ":" not in rest) or not USER_END.match(after)
+
+
+def allowed(found: str, before: str, after: str = "") -> bool:
+    """Whether the allow list names this span. before and after: the text that leads to it and that follows it."""
     if len(CHANGES.findall(found)) * 20 < LEAST_CHANGES * len(found) and len(ALL_CHANGES.findall(found)) * 20 < LEAST_ALL_CHANGES * len(found):
         return True
     if any(p.fullmatch(found.rstrip("=")) for p in CHAINS):
         return True
     rest = PART.sub(lambda m: "" if PLACEHOLDER.search(m[0]) else m[0], KNOWN.sub("", found))
-    if rest != found and not any(not allowed(m[0][a:b], before) for m in CANDIDATE.finditer(rest) for a, b in dense_spans(m[0], *CLASSES[candidate_class(m[0])])):
+    if rest != found and not any(not allowed(m[0][a:b], before, after) for m in CANDIDATE.finditer(rest) for a, b in dense_spans(m[0], *CLASSES[candidate_class(m[0])])):
         return True
-    return "://" in before[max(before.rfind(c) for c in " \n\t\"'<>") + 1 :]
+    return in_url_path(found, before, after)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -131,7 +146,7 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
         for a, b in dense_spans(candidate, *CLASSES[kind]):
             if any(s <= at + a and at + b <= e for s, _, e in base):
                 continue
-            if not allowed(candidate[a:b], text[max(0, at + a - 2000) : at + a]):
+            if not allowed(candidate[a:b], text[max(0, at + a - 2000) : at + a], text[at + b : at + b + 2000]):
                 found.append((at + a, KINDS.index(kind), at + b))
     return found
 

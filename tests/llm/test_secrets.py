@@ -87,3 +87,13 @@ def test_keys_with_few_digits():
         assert sum(bool(secrets.scan(f"here is {k} and")[1]) for k in keys) >= least * len(keys), alphabet
     for clean in ("getElementsByClassNameAndIndex", "TheQuickBrownFoxJumpsOverLazyDogs", "DONAUDAMPFSCHIFFFAHRTSKAPITAEN", "my-longVariable-Name_andMore-42", "AbstractSingletonProxyFactoryBean2"):
         assert not secrets.scan(f"here is {clean} and")[1], clean
+
+
+def test_keys_in_urls():
+    key = "b1c2d3e4f5g6h7i8j9k0l1m2"
+    for url in ("https://h.org/?sig={}", "https://h.org/a/b?x=1&sig={}&y=2", "https://h.org/a#key={}", "postgres://u:{}@h/db", "https://{}@h.org/a", "https://u:ab/{}@h.org/a"):
+        text = f"see {url.format(key)} now"
+        assert key not in secrets.redact(text, secrets.scan(text)[1]), url
+    for url in ("https://h.org/a/{}", "https://h.org:8080/{}/b", "https://h.org/{}?x=1", "https://h.org/a/{}/me@here.org", "https://h.org/a/{}.html#top"):
+        text = f"see {url.format(key)} now"
+        assert not secrets.scan(text)[1], url
