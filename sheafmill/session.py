@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -26,22 +27,52 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; where the cluster names none (tests), a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary folder if all run in one JVM (tests); else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sheafmill.shared.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="sheafmill-")
         spark.conf.set("spark.sheafmill.shared.dir", root)
     return root.rstrip("/")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_root(spark)}/sheafmill-{name}-{uuid.uuid4().hex}"
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df into the shared folder and read it back: it is worked out once, and lineage ends there."""
+    """Write df into the shared folder and read it back: it is worked out once, lineage ends there and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables and files in the shared folder that go when the block ends; what is read later has to be kept outside of it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def path(self, name: str) -> str:
+        self.paths.append(shared_path(self.spark, name))
+        return self.paths[-1]
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in map(jvm.org.apache.hadoop.fs.Path, self.paths):
+            path.getFileSystem(conf).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df over all cores: an input with fewer partitions than cores (a small single file) is dealt out anew; larger ones stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
