@@ -6,8 +6,9 @@ token, any other is merged from its bytes, the adjacent pair of lowest rank firs
 Merging uses a rank queue: each rank has a bucket of linked-list positions whose pair has that rank, and a bitmap of
 three levels with 64-way fan-out says which buckets are filled, so that finding the next rank is three find-first-set
 steps. Merged or changed positions stay in their buckets and are skipped when they come up. The work for n bytes is
-O(n log n) for the order within buckets, so very long pre-tokens are no trouble. All pre-tokens of a batch that are new go
-through one queue: a bucket then holds positions of many of them, and no pair reaches over the end of its pre-token.
+O(n log n) for the order within buckets, so very long pre-tokens are no trouble. All pre-tokens of a group of texts that are new go
+through one queue: a bucket then holds positions of many of them, and no pair reaches over the end of its pre-token. Positions of a bucket that are
+the only ones of their pre-token in it can't disturb one another and are merged together, as arrays; the others are merged one after another.
 
 Results of chunks (a run of non-space characters with one space before it, if there is one) are remembered, a bounded number per worker. No match of the pattern crosses from such a chunk into
 the next, so a chunk can be encoded without what is around it.
@@ -22,6 +23,7 @@ import base64
 import gc
 import hashlib
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, islice
@@ -36,16 +38,21 @@ from sheafmill.llm.common import documents, text_session, texts
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: The characters of Unicode's White_Space property (fixed values).
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Chunks remembered by a worker, and pre-tokens.
-REMEMBERED = 400_000
+#: Chunks remembered by a worker, and merged pre-tokens.
+REMEMBERED = 100_000
+REMEMBERED_PIECES = 30_000
 #: Characters of the chunks that were learnt since all was forgotten; bounds a worker's memory where pre-tokens are long.
-REMEMBERED_CHARACTERS = 1 << 26
-#: Characters of texts that are encoded together.
+REMEMBERED_CHARACTERS = 1 << 24
+#: Characters (or bytes) of texts that are encoded together.
 TOGETHER = 1 << 21
 #: Chunks of a longer text that are encoded at once.
 BLOCK = 1 << 16
+#: Positions in a bucket from which on they are merged as arrays; fewer cost less one by one.
+ARRAYS = 40
 
 CHUNKS = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+#: A chunk of ASCII letters, with a mark after them or without, is cut there by the pattern.
+PLAIN = re.compile("( ?[A-Za-z]+)([,.;:!?]?)")
 
 
 class RankQueue:
@@ -101,22 +108,40 @@ class Codec:
         for piece, rank in ranks.items():
             self.token[rank] = piece
         self.queue = RankQueue(self.size)
-        self.decimal = [str(i) for i in range(self.size)]
         self.byte = np.array([ranks[bytes([b])] for b in range(256)])
         self.two = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)])
+        #: Rank of a pair, by the left rank * size + the right one; as a table, and as sorted arrays.
+        self.joined = {ranks[t[:i]] * self.size + ranks[t[i:]]: r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        self.keys, self.values = (np.array(x, dtype=np.int64) for x in (zip(*sorted(self.joined.items())) if self.joined else ((), ())))
         self.characters = 0
-        self.chunks: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[bytes, tuple[int, ...]] = {}
+        self.chunks: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.own = {t: r.to_bytes(4, sys.byteorder) for t, r in ranks.items()}
+        self.pieces: dict[bytes, bytes] = dict(self.own)
+        self.bytes_of = _Ragged(self.token)
+        self.decimal_of = _Ragged([f"{i},".encode() for i in range(self.size)])
+
+    def _pair_ranks(self, left, right) -> np.ndarray:
+        """The rank of each pair, or -1."""
+        keys = left * self.size + right
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == keys, self.values[at], -1)
 
     def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Token ids of each piece, all merged through one queue: ranks ascend in every piece as they do in the queue."""
+        """The token ids of each piece."""
+        ids, last = self.merged(pieces)
+        return [tuple(ids[a:b].tolist()) for a, b in zip([0, *last], last)]
+
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """The token ids of pieces one after another and where each piece's end, all merged through one queue: ranks ascend in every piece as they do in the queue."""
         if not pieces:
-            return []
-        whole = b"".join(pieces)
-        n, rank_of, queue = len(whole), self.ranks.get, self.queue
-        octets = np.frombuffer(whole, dtype=np.uint8).astype(np.int64)
-        stops = np.cumsum([len(p) for p in pieces])
-        ranks = np.full(n, -1)
+            return np.empty(0, dtype=np.int64), []
+        octets = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.int64)
+        n, rank_of, size, queue = len(octets), self.joined.get, self.size, self.queue
+        lengths = np.array([len(p) for p in pieces])
+        stops = np.cumsum(lengths)
+        owner = np.repeat(np.arange(len(pieces)), lengths)
+        ranks = np.full(n, -1)  # of the pair of the symbol at a position and the next; -1: none, -2: no symbol starts there any more
         ranks[:-1] = self.two[octets[:-1] << 8 | octets[1:]]
         ranks[stops - 1] = -1
         order = np.argsort(ranks, kind="stable")
@@ -124,36 +149,62 @@ class Codec:
         filled, first = np.unique(ranks[order], return_index=True)
         for rank, positions in zip(filled.tolist(), np.split(order, first[1:])):
             queue.fill(rank, positions.tolist())
-        symbol = self.byte[octets].tolist()
-        end = list(range(1, n + 1))  # of the symbol that starts at a position
-        before = list(range(-1, n - 1))  # start of the symbol before, -1: none; only for live starts
-        pair = ranks.tolist()  # rank of the pair of the symbol at a position and the next, -1: none
-        starts = bytearray(n + 1)  # where a piece starts, or all end
-        starts[n] = 1
-        for stop in [0, *stops[:-1].tolist()]:
-            starts[stop] = 1
-            before[stop] = -1
+        symbols = self.byte[octets]
+        ends = np.arange(1, n + 1)  # of the symbol that starts at a position
+        befores = np.arange(-1, n - 1)  # start of the symbol before, -1: none; only for live starts
+        piece_starts = np.zeros(n + 1, dtype=np.uint8)  # where a piece starts, or all end
+        piece_starts[0] = piece_starts[stops] = 1
+        befores[stops[:-1]] = -1
+        pair, symbol, end, before, starts = map(memoryview, (ranks, symbols, ends, befores, piece_starts))
         while (item := queue.next()) is not None:
             rank, bucket = item
-            bucket.sort()
+            if len(bucket) < ARRAYS:
+                bucket.sort()
+            else:
+                at = np.array(bucket)
+                at = np.sort(at[ranks[at] == rank])
+                together = owner[at[1:]] == owner[at[:-1]]
+                alone = np.ones(len(at), dtype=bool)
+                alone[1:] &= ~together
+                alone[:-1] &= ~together
+                bucket, at = at[~alone].tolist(), at[alone]
+                middle = ends[at]
+                stop = ends[middle]
+                ends[at] = stop
+                symbols[at] = rank
+                ranks[middle] = -2
+                ranks[at] = -1
+                inner = piece_starts[stop] == 0
+                i, right = at[inner], stop[inner]
+                befores[right] = i
+                new = self._pair_ranks(rank, symbols[right])
+                ranks[i] = new
+                j = befores[at]
+                j = j[j >= 0]
+                newer = self._pair_ranks(symbols[j], rank)
+                ranks[j] = newer
+                have, haver = new >= 0, newer >= 0
+                for new, i in zip(new[have].tolist() + newer[haver].tolist(), i[have].tolist() + j[haver].tolist()):
+                    queue.push(new, i)
             for k, i in enumerate(bucket):
                 if pair[i] != rank:  # stale
                     continue
                 middle = end[i]
                 stop = end[i] = end[middle]
                 symbol[i] = rank
-                pair[middle] = pair[i] = -1
+                pair[middle] = -2
+                pair[i] = -1
                 lower = False
                 if not starts[stop]:
                     before[stop] = i
-                    new = rank_of(whole[i : end[stop]])
+                    new = rank_of(rank * size + symbol[stop])
                     if new is not None:
                         pair[i] = new
                         queue.push(new, i)
                         lower = new < rank
                 j = before[i]
                 if j >= 0:
-                    new = rank_of(whole[j:stop])
+                    new = rank_of(symbol[j] * size + rank)
                     if new is None:
                         pair[j] = -1
                     else:
@@ -163,47 +214,45 @@ class Codec:
                 if lower and k + 1 < len(bucket):  # that pair comes first
                     queue.fill(rank, bucket[k + 1 :])
                     break
-        out, i = [], 0
-        for stop in stops.tolist():
-            ids = []
-            while i < stop:
-                ids.append(symbol[i])
-                i = end[i]
-            out.append(tuple(ids))
-        return out
+        live = ranks > -2
+        return symbols[live], np.cumsum(live)[stops - 1].tolist()
 
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not remembered; after it all of them are."""
         fresh = chunks.difference(self.chunks)
         self.characters += sum(map(len, fresh))
-        if self.characters > REMEMBERED_CHARACTERS:  # long pre-tokens
-            self.chunks, self.pieces, fresh = {}, {}, chunks
-            self.characters = sum(map(len, fresh))
-        elif len(self.chunks) + len(fresh) > REMEMBERED:
-            self.chunks, fresh = {}, chunks
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        parts, wanted, findall, ranks, known = [], set(), self.pattern.findall, self.ranks, self.pieces
+        long = self.characters > REMEMBERED_CHARACTERS  # long pre-tokens
+        if long or len(self.chunks) + len(fresh) > REMEMBERED:
+            self.chunks = {c: self.chunks[c] for c in chunks.difference(fresh)}
+            self.characters = sum(map(len, chunks))
+        if long or len(self.pieces) > len(self.own) + REMEMBERED_PIECES:
+            self.pieces = dict(self.own)
+        parts, wanted, known = [], set(), self.pieces
+        findall, plain = self.pattern.findall, PLAIN.fullmatch
         for chunk in fresh:
-            own = [p.encode("utf-8", "surrogatepass") for p in findall(chunk)]
+            if m := plain(chunk):
+                word, mark = m.groups()
+                own = (word.encode(), mark.encode()) if mark else (word.encode(),)
+            else:
+                own = [p.encode("utf-8", "surrogatepass") for p in findall(chunk)]
             parts.append((chunk, own))
             for piece in own:
-                if piece not in ranks and piece not in known:
+                if piece not in known:
                     wanted.add(piece)
         unmerged = list(wanted)
-        known.update(zip(unmerged, self.merge(unmerged)))
+        ids, last = self.merged(unmerged)
+        packed = ids.astype(np.int32).tobytes()
+        known.update((p, packed[4 * a : 4 * b]) for p, a, b in zip(unmerged, [0, *last], last))
+        piece_ids = known.__getitem__
         for chunk, own in parts:
-            self.chunks[chunk] = tuple(chain.from_iterable((ranks[p],) if p in ranks else known[p] for p in own))
+            self.chunks[chunk] = known[own[0]] if len(own) == 1 else b"".join(map(piece_ids, own))
 
-    def blocks(self, text: str) -> Iterator[list[int]]:
-        """The ids of a long text, some at a time."""
-        chunks = (m[0] for m in CHUNKS.finditer(text))
-        while block := list(islice(chunks, BLOCK)):
-            self.learn(set(block))
-            yield list(chain.from_iterable(map(self.chunks.__getitem__, block)))
+    def forget(self) -> None:
+        """Give back what is remembered: the worker goes on to other tasks."""
+        self.chunks, self.pieces, self.characters = {}, dict(self.own), 0
 
-    def encode_all(self, every: Iterable[str]) -> Iterator[Iterable[list[int]]]:
-        """The ids of each text, in blocks; short texts are worked through together."""
+    def learned(self, every: Iterable[str]) -> Iterator[Iterable[list[str]]]:
+        """The chunks of each text, in lists, all of them learned when they are given out; short texts are worked through together."""
         waiting: list[list[str]] = []
         size = 0
         for text in every:
@@ -212,16 +261,31 @@ class Codec:
                 yield from self._together(waiting)
                 waiting, size = [], 0
             if long:
-                yield self.blocks(text)
+                yield self._blocks(text)
             else:
                 waiting.append(CHUNKS.findall(text))
                 size += len(text)
         yield from self._together(waiting)
 
-    def _together(self, waiting: list[list[str]]) -> Iterator[list[list[int]]]:
-        self.learn(set(chain.from_iterable(waiting)))
+    def _blocks(self, text: str) -> Iterator[list[str]]:
+        chunks = (m[0] for m in CHUNKS.finditer(text))
+        while block := list(islice(chunks, BLOCK)):
+            self.learn(set(block))
+            yield block
+
+    def _together(self, waiting: list[list[str]]) -> Iterator[list[list[str]]]:
+        self.learn(set().union(*waiting))
         for chunks in waiting:
-            yield [list(chain.from_iterable(map(self.chunks.__getitem__, chunks)))]
+            yield [chunks]
+
+    def ids(self, chunks: list[str]) -> np.ndarray:
+        """The ids of learned chunks."""
+        return np.frombuffer(b"".join(map(self.chunks.__getitem__, chunks)), np.int32)
+
+    def encode_all(self, every: Iterable[str]) -> Iterator[Iterable[list[int]]]:
+        """The ids of each text, in blocks."""
+        for blocks in self.learned(every):
+            yield (self.ids(chunks).tolist() for chunks in blocks)
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(next(iter(self.encode_all([text])))))
@@ -230,6 +294,22 @@ class Codec:
         return b"".join(map(self.token.__getitem__, ids))
 
 
+class _Ragged:
+    """Byte strings of different lengths, looked up many at a time."""
+
+    def __init__(self, values: list[bytes]):
+        self.flat = np.frombuffer(b"".join(values), dtype=np.uint8)
+        self.length = np.array([len(v) for v in values], dtype=np.int64)
+        self.first = np.cumsum(self.length) - self.length
+
+    def joined(self, places: np.ndarray) -> bytes:
+        lengths = self.length[places]
+        stops = np.cumsum(lengths)
+        at = np.repeat(self.first[places] - (stops - lengths), lengths)
+        at += np.arange(len(at))
+        return self.flat[at].tobytes()
+
+
 @lru_cache(maxsize=2)
 def codec(name: str = RANKS) -> Codec:
     """The codec of a rank file of the public tokenizers; loaded once in a worker."""
@@ -241,32 +321,52 @@ def codec(name: str = RANKS) -> Codec:
     return Codec(ranks, public_tokenizers.PATTERN)
 
 
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to TOGETHER bytes (or a batch)."""
+    group, size = [], 0
+    for batch in batches:
+        if group and size + batch.nbytes > TOGETHER:
+            yield pa.concat_batches(group)
+            group, size = [], 0
+        group.append(batch)
+        size += batch.nbytes
+    if group:
+        yield pa.concat_batches(group)
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own = codec()
-    decimal = own.decimal.__getitem__
-    for batch in batches:
+    for batch in _grouped(batches):
         counts, ids_hex, bytes_hex = [], [], []
-        for blocks in own.encode_all(texts(batch)):
+        for blocks in own.learned(texts(batch)):
             ids_hash, bytes_hash, n = hashlib.sha256(), hashlib.sha256(), 0
-            for ids in blocks:
-                if n and ids:
-                    ids_hash.update(b",")
+            for ids in map(own.ids, blocks):
+                if not len(ids):
+                    continue
+                ids_hash.update(b"," * (n > 0) + own.decimal_of.joined(ids)[:-1])
+                bytes_hash.update(own.bytes_of.joined(ids))
                 n += len(ids)
-                ids_hash.update(",".join(map(decimal, ids)).encode())
-                bytes_hash.update(own.decode(ids))
             counts.append(n)
             ids_hex.append(ids_hash.hexdigest())
             bytes_hex.append(bytes_hash.hexdigest())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(bytes_hex, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    own.forget()
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own = codec()
-    for batch in batches:
+    for batch in _grouped(batches):
+        ids, exact = [], []
         every = list(texts(batch))
-        ids = [list(chain.from_iterable(blocks)) for blocks in own.encode_all(every)]
-        exact = [own.decode(x).decode("utf-8", "surrogatepass") == text for x, text in zip(ids, every)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array(exact, pa.bool_())], names=["doc_id", "ids", "n_tokens", "exact"])
+        for text, blocks in zip(every, own.learned(every)):
+            parts = [own.ids(chunks) for chunks in blocks]
+            ids.append(np.concatenate(parts) if parts else np.empty(0, dtype=np.int32))
+            exact.append(b"".join(map(own.bytes_of.joined, parts)) == text.encode("utf-8", "surrogatepass"))
+        counts = np.array([len(x) for x in ids], dtype=np.int64)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, dtype=np.int32)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(counts), pa.array(exact, pa.bool_())], names=["doc_id", "ids", "n_tokens", "exact"])
+    own.forget()
 
 
 def token_ids(docs: DataFrame) -> DataFrame:
