@@ -1,57 +1,35 @@
-"""Helpers that the training-data operators share: the shared folder, written intermediates, batches of whole texts."""
+"""Helpers that the training-data operators share: batches of whole texts, folds, and those of the session."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text in one Arrow batch. Texts average a few kilobytes, so a batch stays at some megabytes; where texts are long, Spark's own
-#: bound on the bytes of a batch (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB) cuts it earlier.
+from sheafmill.session import Scratch, keep, shared_path, shared_root, spread  # noqa: F401
+
+#: Rows of text in one Arrow batch, and its bytes: texts average a few kilobytes, where they are long the bytes cut a batch earlier.
 TEXT_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df over all cores: an input with fewer partitions than cores (a small single file) is dealt out anew; larger ones stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the cluster names none (tests), a temporary one is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sheafmill.shared.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="sheafmill-")
-        spark.conf.set("spark.sheafmill.shared.dir", root)
-    return root.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/sheafmill-{name}-{uuid.uuid4().hex}"
-
-
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df into the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_session(spark: SparkSession) -> None:
-    """Bound the rows in an Arrow batch, so that long texts do not pile up in a Python worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > TEXT_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+    """Bound the rows and bytes of an Arrow batch, so that long texts do not pile up in a Python worker or beside the heap.
+
+    Results do not depend on it. The setting stays, as plans are run after the operator has returned.
+    """
+    for name, most in (("maxRecordsPerBatch", TEXT_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key)
+        own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) if name == "maxBytesPerBatch" else int(now)
+        if own > most or own <= 0:
+            spark.conf.set(key, str(most))
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:

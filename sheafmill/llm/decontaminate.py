@@ -37,7 +37,7 @@ LEAST = 0.8
 #: Shingles of the items whose sketches are broadcast together (some 50 MB with their words).
 ITEM_BLOCK_SHINGLES = 200_000
 #: Word hashes remembered by a worker.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Words hashed at once.
 BLOCK = 1 << 18
 
@@ -140,6 +140,7 @@ def _searcher(sketches):
             ids = batch.column(0).take(pa.array(doc, pa.int64()))
             columns = list(zip(*rows)) or [()] * 3
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "item_id", "n_shingles", "shared"])
+        _hash_of.clear()
 
     return run
 
@@ -180,6 +181,7 @@ def _clean_rows(sketches):
         for batch in batches:
             stay = [next(own.search(text), None) is None for text in texts(batch)]
             yield batch.filter(pa.array(stay, pa.bool_()))
+        _hash_of.clear()
 
     return run
 

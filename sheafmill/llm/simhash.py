@@ -6,12 +6,12 @@ words has its whole word sequence as one shingle; a null, empty or blank text ha
 are linked if their fingerprints differ in at most two bits, and a component is what links reach.
 
 Search: the byte-position inverted index. Two fingerprints that differ in at most two bits differ in at most two of the
-eight bytes, so they share at least six (position, byte) entries. A posting list of a single entry would hold a 256th
-of all fingerprints, so entries are combined before they are looked up: of the four 2-byte blocks at least two agree,
-and each fingerprint is posted under its six block pairs. Within a posting list, pairs are tallied by the positional
-bytes they share, those that reach six are kept and verified by counting differing bits. A posting list of more than
-HOT_POSTING fingerprints is posted again under two more bytes: four bytes remain, of which two or more agree. Such a
-list has 16 free bits, so it never holds over 65,536 fingerprints, whatever the input. A list reports a spanning
+eight bytes, so they share at least six (position, byte) entries, the guaranteed minimum. A posting list of a single entry would hold a 256th
+of all fingerprints, so entries are posted in combinations: of the four 2-byte blocks at least two agree,
+and each fingerprint is posted under its six block pairs, four entries each. Within a posting list the entries that each pair shares are
+tallied, pairs below six are dropped, and those that are left are verified by counting differing bits. A posting list of more than
+HOT_POSTING fingerprints is posted again under two more entries: four bytes remain, of which two or more agree. Such a
+list has 16 free bits, so it never holds over 65,536 fingerprints, whatever the input; all lists are worked through alike. A list reports a spanning
 forest of its links, not the pairs.
 
 Defined cases: repeated rows and equal texts share a fingerprint, which is indexed once; an empty table gives an empty
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafmill.llm.common import documents, keep, text_session, texts
+from sheafmill.llm.common import Scratch, documents, keep, text_session, texts
 
 SEED = 42
 WIDTH = 3
@@ -38,6 +38,10 @@ MAX_BITS = 2
 MIN_SHARED = 8 - MAX_BITS
 #: Fingerprints in a posting list that is worked through as it is; longer lists are posted under more bytes.
 HOT_POSTING = 1024
+#: Pairs tallied at once.
+TALLIED = 1 << 21
+#: Bits of the filter over rows that may go.
+GONE_BITS = 1 << 24
 #: Shingles hashed at once, so that a very long text needs no more memory than a long one.
 BLOCK = 1 << 16
 
@@ -95,22 +99,30 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_fingerprint_batches, f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
-def _labels_by_pairs(members: np.ndarray) -> np.ndarray:
+def tally(members: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """How many (position, byte) entries each of members shares with each of others."""
+    x = members[:, None] ^ others[None, :]
+    shared = np.zeros(x.shape, dtype=np.int8)
+    for p in range(8):
+        shared += (x & np.uint64(0xFF << (8 * p))) == 0
+    return shared
+
+
+def _labels(members: np.ndarray) -> np.ndarray:
     """The smallest member (by position) each member is linked to, directly or not; members: distinct uint64."""
     n = len(members)
-    label = np.arange(n)
-    links_a, links_b = [], []
-    for start in range(0, n, 1024):
-        x = members[start : start + 1024, None] ^ members[None, :]
-        shared = np.zeros(x.shape, dtype=np.int8)
-        for p in range(8):
-            shared += ((x >> np.uint64(8 * p)) & np.uint64(0xFF)) == 0
-        a, b = np.nonzero(shared >= MIN_SHARED)
-        near = np.bitwise_count(x[a, b]) <= MAX_BITS
-        links_a.append(a[near] + start)
+    links_a, links_b = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    start = 0
+    while start < n - 1:
+        stop = min(n, start + max(1, TALLIED // (n - start)))
+        a, b = np.nonzero(tally(members[start:stop], members[start:]) >= MIN_SHARED)
+        a, b = a[a < b] + start, b[a < b] + start
+        near = np.bitwise_count(members[a] ^ members[b]) <= MAX_BITS
+        links_a.append(a[near])
         links_b.append(b[near])
+        start = stop
     a, b = np.concatenate(links_a), np.concatenate(links_b)
-    return _settle(label, a, b)
+    return _settle(np.arange(n), np.concatenate([a, b]), np.concatenate([b, a]))
 
 
 def _settle(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -122,52 +134,27 @@ def _settle(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def _labels_by_flips(members: np.ndarray, free: list[int]) -> np.ndarray:
-    """As _labels_by_pairs, for many members that agree in all but the two bytes at positions free: every member looks up the fingerprints at one and two flipped bits."""
-    low = np.zeros(len(members), dtype=np.int64)
-    for k, p in enumerate(free):
-        low |= ((members >> np.uint64(8 * p)) & np.uint64(0xFF)).astype(np.int64) << (8 * k)
-    at = np.full(1 << 16, -1, dtype=np.int64)
-    at[low] = np.arange(len(members))
-    flips = [1 << i for i in range(16)]
-    flips += [x | y for x, y in combinations(flips, 2)]
-    a, b = [], []
-    for f in flips:
-        other = at[low ^ f]
-        have = np.flatnonzero(other >= 0)
-        a.append(have)
-        b.append(other[have])
-    return _settle(np.arange(len(members)), np.concatenate(a), np.concatenate(b))
-
-
 def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From posting lists (mask, members): links (u, v), u > v as signed longs, one for each member that is not its list's smallest of a component."""
+    """From posting lists (members): links (u, v), u > v as signed longs, one for each member that is not its list's smallest of a component."""
     for batch in batches:
-        masks = batch.column(0).to_numpy(zero_copy_only=False)
-        column = batch.column(1)
+        column = batch.column(0)
         offsets = column.offsets.to_numpy()
         flat = column.values.to_numpy(zero_copy_only=False)
         sizes = np.diff(offsets)
-        out_u, out_v = [], []
-        two = np.flatnonzero(sizes == 2)
-        if len(two):
-            a, b = flat[offsets[two]], flat[offsets[two] + 1]
-            x = a.view(np.uint64) ^ b.view(np.uint64)
-            shared = sum((((x >> np.uint64(8 * p)) & np.uint64(0xFF)) == 0).astype(np.int8) for p in range(8))
-            near = (shared >= MIN_SHARED) & (np.bitwise_count(x) <= MAX_BITS)
-            out_u.append(np.maximum(a, b)[near])
-            out_v.append(np.minimum(a, b)[near])
+        two = offsets[:-1][sizes == 2]  # most lists: all of these at once
+        a, b = flat[two], flat[two + 1]
+        x = a.view(np.uint64) ^ b.view(np.uint64)
+        shared = sum(((x & np.uint64(0xFF << (8 * p))) == 0).astype(np.int8) for p in range(8))
+        near = np.flatnonzero(shared >= MIN_SHARED)
+        near = near[np.bitwise_count(x[near]) <= MAX_BITS]
+        out_u, out_v = [np.maximum(a, b)[near]], [np.minimum(a, b)[near]]
         for i in np.flatnonzero(sizes > 2):
             members = np.sort(flat[offsets[i] : offsets[i + 1]])
-            if len(members) > 2 * HOT_POSTING:
-                mask = int(masks[i])
-                label = _labels_by_flips(members.view(np.uint64), [p for p in range(8) if not mask >> p & 1])
-            else:
-                label = _labels_by_pairs(members.view(np.uint64))
+            label = _labels(members.view(np.uint64))
             own = np.flatnonzero(label != np.arange(len(members)))
             out_u.append(members[own])
             out_v.append(members[label[own]])
-        if out_u and sum(map(len, out_u)):
+        if sum(map(len, out_u)):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_u)), pa.array(np.concatenate(out_v))], names=["u", "v"])
 
 
@@ -182,21 +169,22 @@ def links(fps: DataFrame) -> DataFrame:
     wide = _posted(fps, WIDE)
     sizes = wide.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1")
     lists = wide.join(sizes, ["mask", "key"])
-    short = lists.filter(f"n <= {HOT_POSTING}").groupBy("mask", "key").agg(F.collect_list("fp").alias("members")).select("mask", "members")
+    short = lists.filter(f"n <= {HOT_POSTING}").groupBy("mask", "key").agg(F.collect_list("fp").alias("members")).select("members")
     again = None
     for w, masks in NARROW.items():
         one = _posted(lists.filter((F.col("n") > HOT_POSTING) & (F.col("mask") == sum(1 << p for p in w))).select("fp"), masks)
         again = one if again is None else again.unionByName(one)
-    narrow = again.groupBy("mask", "key").agg(F.collect_set("fp").alias("members")).filter(F.size("members") > 1).select("mask", "members")
+    narrow = again.groupBy("mask", "key").agg(F.collect_set("fp").alias("members")).filter(F.size("members") > 1).select("members")
     return short.unionByName(narrow).mapInArrow(_link_batches, "u bigint, v bigint").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, root) of every node that has a link; root is the smallest node reachable.
 
     Alternating large-star and small-star rounds; each is a grouped minimum and a join, written to the shared folder.
     """
-    edges = keep(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "links")
+    scratch = scratch or Scratch(edges.sparkSession)
+    edges = scratch.keep(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "links")
     seen = None
     while True:
         mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
@@ -206,26 +194,26 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = keep(large, "large-star")
+        large = scratch.keep(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = keep(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        edges = scratch.keep(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
 
 
-def rooted(marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """ids: (fp, first_id) of each distinct fingerprint; and (fp, root) of each, root being one fingerprint of its component."""
-    ids = keep(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-ids")
-    roots = components(links(ids.select("fp")))
-    return ids, ids.join(roots, ids["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+def rooted(marks: DataFrame, scratch: Scratch) -> DataFrame:
+    """(fp, first_id, root) of each distinct fingerprint, root being one fingerprint of its component."""
+    ids = scratch.keep(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-ids")
+    roots = components(links(ids.select("fp")), scratch)
+    return ids.join(roots, ids["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) of every row of docs."""
     marks = keep(fingerprints(docs), "fingerprints")
-    _, root = rooted(marks)
-    root = keep(root, "roots")
-    smallest = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = root.join(smallest, "root").select("fp", "component_id")
+    with Scratch(docs.sparkSession) as scratch:
+        root = scratch.keep(rooted(marks, scratch), "roots")
+        smallest = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        of_fp = keep(root.join(smallest, "root").select("fp", "component_id"), "component-ids")
     return marks.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -235,21 +223,36 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Rows of one doc_id are told apart by their text; of rows alike in both, one stays. A row without doc_id stays only where its
     component has no row with one.
     """
-    marks = keep(fingerprints(docs), "fingerprints")
-    _, root = rooted(marks)
-    return one_of_each(docs, marks, root)
+    with Scratch(docs.sparkSession) as scratch:
+        marks = scratch.keep(fingerprints(docs), "fingerprints")
+        return one_of_each(docs, marks, rooted(marks, scratch))
 
 
 def one_of_each(docs: DataFrame, marks: DataFrame, root: DataFrame) -> DataFrame:
-    """The rows of docs that stay, by (doc_id, text_hash, fp) of every row and (fp, root) of every fp."""
-    columns, key = docs.columns, F.xxhash64("text")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("first")
-    stay = keep(marks.join(root.select("fp", "root"), "fp").groupBy("root").agg(first).select("first.doc_id", "first.text_hash"), "representatives")
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]) & (key == stay["text_hash"]), "left_semi").select(columns)
-    twice = marks.join(stay, marks["doc_id"].eqNullSafe(stay["doc_id"]) & (marks["text_hash"] == stay["text_hash"]), "left_semi").groupBy("doc_id", "text_hash").count().filter("count > 1")
-    if twice.limit(1).count():
-        kept = kept.withColumn("_text_hash", key).dropDuplicates(["doc_id", "_text_hash"]).select(columns)
-    return kept
+    """The rows of docs that stay, by (doc_id, text_hash, fp) of every row and (fp, root) of every fp.
+
+    Only rows that may go are shuffled with their texts: a bitmap of GONE_BITS bits, whatever the input, tells the others.
+    """
+    columns = docs.columns
+    first = marks.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("first"))
+    first = root.select("fp", "root").join(first, "fp")
+    stay = first.groupBy("root").agg(F.min("first").alias("stay"))
+    stay = first.join(stay, "root").select("fp", F.col("stay.doc_id").alias("_stay_id"), F.col("stay.text_hash").alias("_stay_text"))
+    own = F.col("doc_id").eqNullSafe(F.col("_stay_id")) & (F.col("text_hash") == F.col("_stay_text"))
+    rows = marks.join(stay, "fp").groupBy("doc_id", "text_hash").agg(F.first(own).alias("stays"), F.count("*").alias("n"))
+    told = keep(rows.filter("NOT stays OR n > 1").select(F.col("doc_id").alias("_told_id"), F.col("text_hash").alias("_told_text"), F.col("stays").alias("_stays")), "dropped")
+
+    def place(doc_id, text_hash):
+        return F.pmod(F.xxhash64(doc_id, text_hash), F.lit(GONE_BITS)) + 1  # Spark's bitmaps count from 1
+
+    bits = told.select(place("_told_id", "_told_text").alias("_p")).groupBy(F.expr("bitmap_bucket_number(_p)").alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_p))").alias("_bits"))
+    marked = docs.withColumn("_near_text", F.xxhash64("text")).withColumn("_p", place("doc_id", "_near_text"))
+    marked = marked.join(F.broadcast(bits), F.expr("bitmap_bucket_number(_p)") == F.col("_bucket"), "left")  # at most GONE_BITS / 8 bytes
+    octet = F.conv(F.hex(F.expr("substring(_bits, CAST(bitmap_bit_position(_p) DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    marked = marked.withColumn("_hit", F.coalesce(octet.bitwiseAND(F.expr("shiftleft(1, CAST(bitmap_bit_position(_p) % 8 AS INT))")) > 0, F.lit(False)))
+    may_go = marked.filter("_hit").select(*columns, "_near_text")
+    may_go = may_go.join(told.filter("NOT _stays"), may_go["doc_id"].eqNullSafe(F.col("_told_id")) & (F.col("_near_text") == F.col("_told_text")), "left_anti").dropDuplicates(["doc_id", "_near_text"])
+    return marked.filter("NOT _hit").select(columns).unionByName(may_go.select(columns))
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

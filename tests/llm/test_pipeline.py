@@ -1,5 +1,5 @@
 import corpus_pipeline
-from sheafmill.llm import bpe, decontaminate, quality, secrets, simhash
+from sheafmill.llm import bpe, decontaminate, near_copies, quality, secrets
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,16 +17,14 @@ def test_stages_like_brute_force(spark):
     assert 0.5 * len(rows) < len(good) < len(rows)
 
     ids = sorted(good)
-    prints = [simhash.fingerprint(good[i]["text"]) for i in ids]
+    sets = [near_copies.shingles(good[i]["text"]) for i in ids]  # the stage's rule: five words, similarity 0.8
+    links = [(a, b) for a in range(len(ids)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     root = list(range(len(ids)))
-    for _ in ids:
-        for a in range(len(ids)):
-            for b in range(a):
-                if (prints[a] ^ prints[b]).bit_count() <= 2:
-                    root[a] = root[b] = min(root[a], root[b])
-        if all(root[root[a]] == root[a] for a in range(len(ids))) and all(root[a] == root[b] for a in range(len(ids)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2):
-            break
+    while any(root[a] != root[b] for a, b in links):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
     single = {ids[a] for a in range(len(ids)) if root[a] == a}
+    assert len(single) < len(ids)
     docs = spark.createDataFrame([tuple(r.values()) for r in good.values()], docs.schema)
     out = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, SF)
     assert out.columns == columns and {r["doc_id"] for r in out.collect()} == single

@@ -86,11 +86,28 @@ def test_links_on_fingerprints(spark, monkeypatch):
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
-def test_flips_equal_pairs():
+def test_tally_drops_candidates_in_lists_of_all_lengths(monkeypatch):
+    """Members that agree in four bytes: links are those of brute force, and most pairs go by the tally, before any bits are counted."""
     import numpy as np
 
-    rng = np.random.default_rng(3)
-    low = rng.choice(1 << 16, 300, replace=False).astype(np.uint64)
-    members = np.sort((low & np.uint64(0xFF)) | (low >> np.uint64(8)) << np.uint64(40))
-    a, b = simhash._labels_by_pairs(members), simhash._labels_by_flips(members, [0, 5])
-    assert np.array_equal(a, b)
+    rng = random.Random(3)
+    for n in (2, 3, 40, 700, 2500):
+        base = rng.getrandbits(64)
+        members = {base ^ (rng.getrandbits(32) << 16) for _ in range(n // 2)}
+        while len(members) < n:
+            members.add(near(rng, rng.choice(sorted(members)[:50]), 1))
+        members = np.array(sorted(members), dtype=np.uint64)
+        shared = simhash.tally(members, members)
+        bits = np.bitwise_count(members[:, None] ^ members[None, :])
+        assert np.array_equal(shared, sum((members[:, None] >> np.uint64(8 * p) & np.uint64(255)) == (members[None, :] >> np.uint64(8 * p) & np.uint64(255)) for p in range(8)))
+        assert not ((bits <= simhash.MAX_BITS) & (shared < simhash.MIN_SHARED)).any()
+        if n > 100:
+            assert (shared < simhash.MIN_SHARED).mean() > 0.5
+        monkeypatch.setattr(simhash, "TALLIED", 1 << 12)
+        label, root = simhash._labels(members), np.arange(n)
+        while True:
+            new = np.array([root[row].min() for row in bits <= simhash.MAX_BITS])
+            if np.array_equal(new, root):
+                break
+            root = new
+        assert np.array_equal(label, root)
