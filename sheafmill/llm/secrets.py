@@ -59,8 +59,9 @@ CHAINS = [
 ]
 #: What is left of a span without UUIDs and without the parts between separators that hold a placeholder or an ascending sequence is judged alone.
 KNOWN = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9A-Za-z])|(?i:your[-_][a-z]*)")
-#: What follows a password or user name in a URL.
-USER_END = re.compile(r"[^\s\"'<>?#@]*@")
+#: What says where a span stands in a URL, and what ends a URL's user name and password.
+MARKS = re.compile(r"""://|[/:?#]|[ \n\t"'<>]""")
+USER_END = re.compile(r"""[\s"'<>?#@]""")
 PART = re.compile(r"[A-Za-z0-9]+")
 PLACEHOLDER = re.compile(r"(?i)example|placeholder|sample|dummy|changeme|x{6}|0123456789|abcdefgh")
 
@@ -98,29 +99,69 @@ def dense_spans(candidate: str, width: int, least: float) -> list[tuple[int, int
     return spans
 
 
-def in_url_path(found: str, before: str, after: str) -> bool:
-    """Whether the span belongs to the path of a URL: not to its query, fragment or user and password."""
-    lead = before[max(before.rfind(c) for c in " \n\t\"'<>") + 1 :]
-    _, mark, rest = lead.partition("://")
-    if not mark or "?" in rest or "#" in rest:
-        return False
-    rest = rest.rpartition("://")[2]  # of a URL within a URL's path
-    if "/" in rest:
-        return True
-    # The host has not ended before the span. A password can hold an unescaped slash, a user name is taken to hold none.
-    return ("/" in found and ":" not in rest) or not USER_END.match(after)
+class Place:
+    """What leads to a position of a text since the last blank, quote or angle bracket; positions ascend, so a text is read once."""
+
+    def __init__(self, text: str):
+        self.text, self.at, self.start = text, 0, 0
+        self.scheme = self.query = self.slash = self.colon = False
+        self.stop, self.user = -1, False
+
+    def go(self, to: int) -> None:
+        text, at = self.text, self.at
+        for s in (at - 2, at - 1):  # a mark that was cut
+            if s >= self.start and s + 3 <= to and text.startswith("://", s):
+                self._mark("://")
+                at = s + 3
+                break
+        for m in MARKS.finditer(text, at, to):
+            if m[0] in " \n\t\"'<>":
+                self.start = m.end()
+                self.scheme = self.query = self.slash = self.colon = False
+            else:
+                self._mark(m[0])
+        self.at = to
+
+    def _mark(self, mark: str) -> None:
+        if mark == "://":
+            self.scheme, self.slash, self.colon = True, False, False  # of a URL within a URL's path: the last counts
+        elif self.scheme:
+            self.query |= mark in "?#"
+            self.slash |= mark == "/"
+            self.colon |= mark == ":"
+
+    def user_ends(self, at: int) -> bool:
+        """Whether what follows is still user name or password."""
+        if self.stop < at:
+            m = USER_END.search(self.text, at)
+            self.stop, self.user = (m.start(), m[0] == "@") if m else (len(self.text), False)
+        return self.user
+
+    def in_url_path(self, found: str, end: int) -> bool:
+        """Whether the span found, which ends at `end`, belongs to the path of a URL: not to its query, fragment or user and password."""
+        if not self.scheme or self.query:
+            return False
+        # While the host has not ended: a password can hold an unescaped slash, a user name is taken to hold none.
+        return self.slash or ("/" in found and not self.colon) or not self.user_ends(end)
 
 
 def allowed(found: str, before: str, after: str = "") -> bool:
     """Whether the allow list names this span. before and after: the text that leads to it and that follows it."""
+    place = Place(before + found + after)
+    place.go(len(before))
+    return listed(found, place, len(before) + len(found))
+
+
+def listed(found: str, place: Place, end: int) -> bool:
+    """Whether the allow list names the span found, which begins at place and ends at `end`."""
     if len(CHANGES.findall(found)) * 20 < LEAST_CHANGES * len(found) and len(ALL_CHANGES.findall(found)) * 20 < LEAST_ALL_CHANGES * len(found):
         return True
     if any(p.fullmatch(found.rstrip("=")) for p in CHAINS):
         return True
     rest = PART.sub(lambda m: "" if PLACEHOLDER.search(m[0]) else m[0], KNOWN.sub("", found))
-    if rest != found and not any(not allowed(m[0][a:b], before, after) for m in CANDIDATE.finditer(rest) for a, b in dense_spans(m[0], *CLASSES[candidate_class(m[0])])):
+    if rest != found and not any(not listed(m[0][a:b], place, end) for m in CANDIDATE.finditer(rest) for a, b in dense_spans(m[0], *CLASSES[candidate_class(m[0])])):
         return True
-    return in_url_path(found, before, after)
+    return place.in_url_path(found, end)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -137,16 +178,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """base: in order. Spans and base spans are walked through together, and the text that leads to spans is read once, so the work is linear."""
     found = []
+    place, k, reach = Place(text), 0, 0  # reach: how far the base spans go that start before a span does
     for m in CANDIDATE.finditer(text):
         candidate, at = m[0], m.start()
         if candidate.isalpha() and (candidate.isupper() or candidate[1:].islower()):  # the allow list drops spans without changes
             continue
         kind = candidate_class(candidate)
         for a, b in dense_spans(candidate, *CLASSES[kind]):
-            if any(s <= at + a and at + b <= e for s, _, e in base):
+            while k < len(base) and base[k][0] <= at + a:
+                reach = max(reach, base[k][2])
+                k += 1
+            if at + b <= reach:
                 continue
-            if not allowed(candidate[a:b], text[max(0, at + a - 2000) : at + a], text[at + b : at + b + 2000]):
+            place.go(at + a)
+            if not listed(candidate[a:b], place, at + b):
                 found.append((at + a, KINDS.index(kind), at + b))
     return found
 

@@ -97,3 +97,38 @@ def test_keys_in_urls():
     for url in ("https://h.org/a/{}", "https://h.org:8080/{}/b", "https://h.org/{}?x=1", "https://h.org/a/{}/me@here.org", "https://h.org/a/{}.html#top"):
         text = f"see {url.format(key)} now"
         assert not secrets.scan(text)[1], url
+
+
+def test_long_path_and_many_spans():
+    """A URL of over 2,000 characters before the span; a megabyte of keys in seconds; a span in the query behind a long path."""
+    import time
+
+    key = "q7Zp2Xv9Lm4Ks8Tw1Rb6Yd3Nf5Hj"
+    path = "https://example.org/" + "a/b.c," * 900
+    assert not any(k >= 3 for _, k, _ in secrets.scan(path + key)[1])
+    assert any(k >= 3 for _, k, _ in secrets.scan(path + "?s=" + key)[1])
+    assert any(k >= 3 for _, k, _ in secrets.scan("https://u:" + key + "x" * 3000 + "@h/")[1])
+    rng = random.Random(8)
+    line = lambda: "token=" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGH") for _ in range(36))
+    for sep in (" ", ";", "://"):
+        text = sep.join(line() for _ in range(24_000))
+        began = time.process_time()
+        base, every = secrets.scan(text)
+        assert time.process_time() - began < 20 and len(base) == 24_000 and set(base) <= set(every)
+
+
+def test_place_like_plain_text():
+    """The incremental reading of what leads to a span gives what the whole lead says."""
+    rng = random.Random(6)
+    for _ in range(4000):
+        text = "".join(rng.choice(["://", "/", ":", "?", "#", "@", " ", "'", "a", "b", "//", "x.y"]) for _ in range(rng.randint(1, 30)))
+        place = secrets.Place(text)
+        for at in sorted(rng.choices(range(len(text) + 1), k=4)):
+            place.go(at)
+            lead = text[:at][max(text[:at].rfind(c) for c in " \n\t\"'<>") + 1 :]
+            _, mark, rest = lead.partition("://")
+            want = bool(mark) and "?" not in rest and "#" not in rest
+            if want:
+                last = rest.rpartition("://")[2]
+                want = "/" in last or not re.match(r"[^\s\"'<>?#@]*@", text[at:])
+            assert place.in_url_path("", at) == want, (text, at)
