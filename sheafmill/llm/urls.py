@@ -7,7 +7,10 @@ those that fit the longest decides.
 Where no given rule fits, association rules decide. FP-growth mines the token sets of labelled urls (scheme, top-level domain, each
 host label, domain, path words, extension, query keys, fragment) together with their label; rules that lead to the label
 `block` are kept if they reach the least support and confidence and if no rule with a part of their tokens is as confident. An inverted index from
-token to rules finds, for each distinct token set, the rules whose tokens it has by counting them; one rule that fires blocks.
+a rule's rarest token to the rule finds, for each distinct token set, the rules whose tokens it has; one rule that fires blocks.
+
+Tokens that stand on just the same labelled pages (a template's host, domain and path words) are one item when mined, as any choice of them makes the same rule; tokens on
+too few bad pages are in no rule and are left out. So rules have no greatest length, and a template of many tokens does not give every subset of them.
 
 Labels say of a page id whether its page is bad: for `labels`, quality 0 or toxic 1. An id with several labels is
 bad if one of them is. All labelled rows are mined.
@@ -18,6 +21,8 @@ repeated rows and ids are judged each; null ids have no label; an empty table gi
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +35,6 @@ MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
 #: Labelled pages on which a rule of the query must hold at least; below that, confidence is chance.
 MIN_PAGES = 20
-#: Tokens in a rule at most; FP-growth's longer itemsets are not turned into rules.
-MAX_TOKENS = 4
 BLOCK, ALLOW = "=block", "=allow"
 #: Tasks among which the pages of one token set are dealt when they get their verdict.
 SALTS = 16
@@ -83,27 +86,53 @@ def tokens(url: Column) -> Column:
 
 
 def firing(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(key, rule_id) where the set's tokens (key, tokens) include all of the rule's (rule_id, antecedent), through the inverted index token -> rules."""
-    index = rules.select("rule_id", F.size("antecedent").alias("n"), F.explode("antecedent").alias("token"))
-    posted = sets.select("key", F.explode("tokens").alias("token"))
-    return posted.join(index, "token").groupBy("key", "rule_id", "n").agg(F.count("*").alias("found")).filter("found = n").select("key", "rule_id")
+    """(key, rule_id) where the set's tokens (key, tokens) include all of the rule's (rule_id, antecedent), through the inverted index from a rule's rarest token."""
+    index = rules.select("rule_id", "antecedent", F.explode("antecedent").alias("token"))
+    asked = index.select("token").distinct()
+    counts = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).join(asked, "token")
+    rarest = index.join(counts, "token").groupBy("rule_id").agg(F.min(F.struct("n", "token")).alias("rarest"), F.first("antecedent").alias("antecedent"))  # rules with a token in no set drop out below
+    rarest = rarest.select("rule_id", "antecedent", F.col("rarest.token").alias("token"))
+    posted = sets.select("key", "tokens", F.explode("tokens").alias("token"))
+    return posted.join(rarest, "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0).select("key", "rule_id")
 
 
-def mine(transactions: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_pages: int = 1) -> DataFrame:
-    """(rule_id, antecedent, confidence, support) of the pruned rules to `block`. transactions: items, with the label among them.
+def mine_items(transactions: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_pages: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(rule_id, antecedent, confidence, support) of the pruned rules to `block`, whose antecedents are items, and (token, item). transactions: items, with the label among them.
 
-    A rule holds on a share min_support of the transactions and on min_pages of them.
+    A rule holds on a share min_support of the transactions and on min_pages of them. There are at most 1 / min_support frequent tokens for each token of a page.
     """
-    n = max(1, transactions.count())
-    least = min_pages - 0.5  # of a count, so that rounding of shares can't move it by a page
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, least / n)), minConfidence=min_confidence).fit(transactions)
-    rules = model.associationRules.filter(F.col("support") * n >= least).filter((F.size("consequent") == 1) & (F.element_at("consequent", 1) == BLOCK) & (F.size("antecedent") <= MAX_TOKENS))
-    rules = rules.filter(~F.array_contains("antecedent", ALLOW)).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
+    rows = keep(transactions.select(F.monotonically_increasing_id().alias("row"), "items"), "labelled-pages")
+    n = rows.count()
+    least = max(math.ceil(min_support * n - 1e-9), min_pages, 1)
+    bad = F.array_contains("items", BLOCK)
+    each = rows.select("row", bad.alias("bad"), F.explode("items").alias("token")).filter(~F.col("token").isin(BLOCK, ALLOW))
+    pages = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y")]  # which pages, in 128 bits
+    tokens_of = each.groupBy("token").agg(F.count_if("bad").alias("bad"), *pages).filter(F.col("bad") >= least)
+    alike = tokens_of.groupBy("n", "x", "y").agg(F.min("token").alias("item"), F.collect_list("token").alias("tokens"))
+    items = keep(alike.select(F.explode("tokens").alias("token"), "item"), "items")
+    mark = F.array(F.when(bad, F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
+    found = each.join(items, "token").groupBy("row").agg(F.collect_set("item").alias("found"))
+    mined = rows.join(found, "row").select(F.concat("found", mark).alias("items"))
+    mined = keep(mined, "transactions")
+    held = max(1, mined.count())
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / held), minConfidence=min_confidence).fit(mined)  # of a count, so that rounding of shares can't move it by a page
+    rules = model.associationRules.filter((F.size("consequent") == 1) & (F.element_at("consequent", 1) == BLOCK) & ~F.array_contains("antecedent", ALLOW))
+    rules = rules.filter(F.round(F.col("support") * held) >= least).select(F.array_sort("antecedent").alias("antecedent"), "confidence", (F.col("support") * held / max(1, n)).alias("support"))
     rules = keep(rules.withColumn("rule_id", F.xxhash64("antecedent")), "rules")
     sets = rules.select(F.col("rule_id").alias("key"), F.col("antecedent").alias("tokens"))
     inner = firing(sets, rules).filter("key <> rule_id")
     weaker = inner.join(rules.select(F.col("rule_id").alias("key"), F.col("confidence").alias("own")), "key").join(rules.select("rule_id", "confidence"), "rule_id").filter("confidence >= own")
-    return rules.join(weaker.select(F.col("key").alias("rule_id")).distinct(), "rule_id", "left_anti")
+    return rules.join(weaker.select(F.col("key").alias("rule_id")).distinct(), "rule_id", "left_anti"), items
+
+
+def mine(transactions: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_pages: int = 1) -> DataFrame:
+    """(antecedent, confidence, support) of the pruned rules to `block` in tokens: a rule for each choice of a token for each item."""
+    rules, items = mine_items(transactions, min_support, min_confidence, min_pages)
+    choices = items.groupBy("item").agg(F.collect_list("token").alias("tokens"))
+    lists = rules.withColumn("item", F.explode("antecedent")).join(choices, "item").groupBy("rule_id", "confidence", "support").agg(F.collect_list("tokens").alias("lists"))
+    start = F.array(F.array().cast("array<string>"))
+    chosen = F.aggregate("lists", start, lambda done, tokens: F.flatten(F.transform(done, lambda d: F.transform(tokens, lambda t: F.array_append(d, t)))))
+    return lists.select(F.explode(chosen).alias("antecedent"), "confidence", "support").select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_pages: int = 1) -> DataFrame:
@@ -112,11 +141,13 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float =
     rule, verdict = given_rule(F.col("host"), F.col("path"), rules)
     rows = pages.select("page_id", host.alias("host"), path.alias("path"), tokens(F.col("url")).alias("tokens"))
     bad = labels.filter("page_id IS NOT NULL AND bad IS NOT NULL").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    transactions = keep(rows.join(bad, "page_id").select(F.array_append("tokens", F.when(F.col("bad"), F.lit(BLOCK)).otherwise(F.lit(ALLOW))).alias("items")), "transactions")
-    mined = keep(mine(transactions, min_support, min_confidence, min_pages), "pruned-rules")
-    sets = rows.select("tokens").distinct().select(F.col("tokens").alias("key"), "tokens")
-    fired = firing(sets, mined).join(mined.select("rule_id", "confidence"), "rule_id").groupBy("key").agg(F.max("confidence").alias("confidence"))
-    fired = fired.select(F.col("key").alias("tokens"), "confidence", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    transactions = rows.join(bad, "page_id").select(F.array_append("tokens", F.when(F.col("bad"), F.lit(BLOCK)).otherwise(F.lit(ALLOW))).alias("items"))
+    mined, items = mine_items(transactions, min_support, min_confidence, min_pages)
+    mined = keep(mined, "pruned-rules")
+    sets = keep(rows.select("tokens").distinct().withColumn("key", F.struct(F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit(1), "tokens").alias("b"))), "token-sets")  # 128 bits
+    found = sets.select("key", F.explode("tokens").alias("token")).join(items, "token").groupBy("key").agg(F.collect_set("item").alias("tokens"))
+    fired = firing(keep(found, "item-sets"), mined).join(mined.select("rule_id", "confidence"), "rule_id").groupBy("key").agg(F.max("confidence").alias("confidence"))
+    fired = fired.join(sets, "key").select("tokens", "confidence", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     judged = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", F.spark_partition_id()), F.lit(SALTS)).cast("int")).join(fired, ["tokens", "salt"], "left")
     judged = judged.withColumn("rule", rule).withColumn("given", verdict)
     own = F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
@@ -128,15 +159,12 @@ def op10_url_rules(spark, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"), labels, min_pages=MIN_PAGES)
 
 
-_SUBSETS = "\n  UNION ALL ".join(
-    f"SELECT a1.r, a1.bad, [{', '.join(f'a{i}.tok' for i in range(1, k + 1))}] AS a FROM b a1" + "".join(f" JOIN b a{i} ON a{i}.r = a1.r AND a{i}.tok > a{i - 1}.tok" for i in range(2, k + 1)) for k in range(1, MAX_TOKENS + 1)
-)
 _GIVEN = sorted(RULES, key=lambda r: -len(r[1]))
 _FITS = [(what, text, "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*text.split("/", 1))) for what, text in _GIVEN]
 
-#: The rules by counting every token set of up to MAX_TOKENS tokens, without FP-growth.
+#: The rules by counting every token set, without FP-growth.
 ORACLE_OP10 = rf"""
-WITH p AS (SELECT row_number() OVER () AS r, page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE p AS (SELECT row_number() OVER () AS r, page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
   q AS (SELECT r, page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '(?s)^[^?#]*(.*)$', 1) AS tail FROM p),
   v AS (SELECT r, 'scheme:' AS mark, translate(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1), '{UPPER}', '{LOWER}') AS tok FROM q
     UNION ALL SELECT r, 'top:', string_split(host, '.')[-1] FROM q
@@ -152,7 +180,7 @@ WITH p AS (SELECT row_number() OVER () AS r, page_id, url, CASE WHEN instr(url,
   m AS (SELECT greatest({MIN_SUPPORT} * count(*), {MIN_PAGES}) AS least FROM x),
   f AS (SELECT tok FROM t JOIN x USING (r) WHERE bad GROUP BY tok HAVING count(*) >= (SELECT least FROM m)),
   b AS (SELECT r, bad, tok FROM t JOIN x USING (r) JOIN f USING (tok)),
-  s AS ({_SUBSETS}),
+  s AS (SELECT r, bad, tok AS last, [tok] AS a FROM b UNION ALL SELECT s.r, s.bad, b.tok, list_append(s.a, b.tok) FROM s JOIN b ON b.r = s.r AND b.tok > s.last),
   c AS (SELECT a, count(*) FILTER (WHERE bad) AS together, count(*) AS n FROM s GROUP BY a),
   g AS (SELECT a, together / CAST(n AS DOUBLE) AS confidence FROM c WHERE together >= (SELECT least FROM m) AND together / CAST(n AS DOUBLE) >= {MIN_CONFIDENCE}),
   k AS (SELECT a, confidence FROM g o WHERE NOT EXISTS (SELECT 1 FROM g i WHERE len(i.a) < len(o.a) AND list_has_all(o.a, i.a) AND i.confidence >= o.confidence)),

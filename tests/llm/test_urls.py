@@ -47,8 +47,9 @@ def test_parts_and_rules(spark):
 def plain_mine(transactions, support, confidence):
     n, counts = len(transactions), {}
     for t in transactions:
-        for k in range(1, u.MAX_TOKENS + 1):
-            for c in combinations(sorted(x for x in t if x[0] != "="), k):
+        own = sorted(x for x in t if x[0] != "=")
+        for k in range(1, len(own) + 1):
+            for c in combinations(own, k):
                 a, b = counts.get(c, (0, 0))
                 counts[c] = a + 1, b + (u.BLOCK in t)
     rules = {c: b / a for c, (a, b) in counts.items() if b >= support * n and b / a >= confidence}
@@ -127,3 +128,16 @@ def test_least_pages(spark):
     assert [r["antecedent"] for r in u.mine(items, 0.002, 0.8, 20).collect()] == [["host:a"]]
     assert u.mine(items, 0.002, 0.8, 21).collect() == []
     assert u.mine(items.limit(10), 0.002, 0.8, 20).collect() == []
+
+
+def test_correlated_tokens(spark):
+    """A template of 24 tokens on the same pages is one item; any of its tokens fires; a rule of six tokens is found."""
+    template = [f"path:t{k}" for k in range(24)]
+    six = [f"key:k{k}" for k in range(6)]
+    rows = [template + ["scheme:https", u.BLOCK]] * 60 + [["scheme:https", f"path:p{i}", u.ALLOW] for i in range(60)]
+    rows += [six + ["scheme:https", u.BLOCK]] * 40 + [[x for x in six if x != out] + ["scheme:https", u.ALLOW] for out in six for _ in range(15)]
+    items = spark.createDataFrame([(r,) for r in rows], "items array<string>")
+    rules, merged = u.mine_items(items, 0.002, 0.8, 20)
+    assert sorted(tuple(r["antecedent"]) for r in rules.collect()) == [tuple(six), (min(template),)]
+    assert {r["token"] for r in merged.collect() if r["item"] == min(template)} == set(template)
+    assert sorted(r["antecedent"] for r in u.mine(items, 0.002, 0.8, 20).collect()) == sorted([six] + [[t] for t in template])
