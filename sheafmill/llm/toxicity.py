@@ -1,14 +1,14 @@
 """Toxicity after noisy-channel deobfuscation.
 
 A token that is written in letters is itself. A token with digits or signs among its letters, or with a letter three
-times in a row, and a run of three or more single characters apart, is a lattice: each character may stand for itself, for the letters it
+times in a row, and a run of three or more single characters apart (by any white space, between marks or not), is a lattice: each character may stand for itself, for the letters it
 imitates (leetspeak), for nothing (separators, the spaces of a run) or for a repetition of the letter before. Viterbi
 decoding finds the best path under a character trigram model and the channel's costs. The restored words are scored
 by a logistic regression on the words and their beginnings.
 
 The character model counts the trigrams of all whole texts (over an alphabet of 64 classes, so the counts are bounded). The
 classifier is fitted on at most SAMPLE labelled documents of each class outside the held-out fold; a score is a
-probability at the labels' own shares.
+probability at the labels' own shares. Features are chosen in Spark; the driver gets only those in use.
 
 Defined cases: null is the empty text, which has the score of no words; texts are scored one by one, so ties and
 repeated rows do not matter; a null doc_id is not held out; without labelled rows of both classes every score is the share of label 1
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafmill.llm.common import documents, fold_remainder, text_session, texts
+from sheafmill.llm.common import Scratch, documents, fold_remainder, text_session, texts
 from sheafmill.llm.folds import fit_linear, labelled_sample, logistic
 
 FOLDS, HELD_OUT = 5, 0
@@ -38,6 +38,8 @@ FEATURES = 1 << 20
 LEAST_DOCUMENTS = 3
 LEAST_RATIO = 4
 L2 = 1e-5
+#: Characters whose trigrams are counted at once.
+COUNTED = 1 << 20
 #: Tokens and words remembered by a worker.
 REMEMBERED = 300_000
 
@@ -50,7 +52,8 @@ IMITATE, SEPARATE, REPEAT, KEEP = -1.0, -0.5, -0.5, -2.0
 
 CLASSES = 64
 _DIGIT, _SIGN, _SEPARATOR, _OTHER = 57, 58, 59, 60
-_RUN = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+#: Single characters apart, between white space or marks.
+_RUN = re.compile(r"(?<![\w@$])[\w@$!|](?:\s+[\w@$!|]){2,}(?![\w@$])")
 _TRIPLE = re.compile(r"(.)\1\1", re.DOTALL)
 _EDGES = "".join(sorted(SEPARATORS | set("!?()[]{}<>&%=+«»„“”‘’…¡¿|@$*")))
 
@@ -85,8 +88,9 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     counts = np.zeros(CLASSES**3, dtype=np.int64)
     for batch in batches:
         for text in texts(batch):
-            for start in range(0, len(text), 1 << 20):
-                c = classes_of(" " + text[start : start + (1 << 20)] + " ").astype(np.int32)
+            padded = f" {text} ".lower()
+            for start in range(0, len(padded) - 2, COUNTED):  # blocks share two characters, so each trigram counts once
+                c = classes_of(padded[start : start + COUNTED + 2]).astype(np.int32)
                 counts += np.bincount((c[:-2] << 12) | (c[1:-1] << 6) | c[2:], minlength=CLASSES**3)
     have = np.flatnonzero(counts)
     if len(have):
@@ -180,8 +184,37 @@ def _featured(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.value)
         for batch in batches:
-            found = [np.array([f for w in restorer.words(t) for f in features(w)], dtype=np.int32) for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("label")), pa.array(found, pa.list_(pa.int32()))], names=["label", "features"])
+            found = [np.unique(np.array([f for w in restorer.words(t) for f in features(w)], dtype=np.int32), return_counts=True) for t in texts(batch)]
+            counts = [np.minimum(n, 3).astype(np.int32) for _, n in found]
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("label")), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], names=["label", "features", "counts"])
+
+    return run
+
+
+def _documents_of_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(feature, label, n): in how many documents each feature is."""
+    n = np.zeros((2, FEATURES), dtype=np.int64)
+    for batch in batches:
+        lists = batch.column(1)
+        label = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy()))
+        np.add.at(n, (label, lists.flatten().to_numpy(zero_copy_only=False)), 1)
+    for k in (0, 1):
+        have = np.flatnonzero(n[k])
+        yield pa.RecordBatch.from_arrays([pa.array(have.astype(np.int32)), pa.array(np.full(len(have), k, dtype=np.int32)), pa.array(n[k][have])], names=["feature", "label", "n"])
+
+
+def _selected(used):
+    """The documents with the features in use only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, counts = batch.column(1), batch.column(2)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            stay = used.value[flat]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))[stay]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=batch.num_rows))]).astype(np.int32))
+            parts = [pa.ListArray.from_arrays(offsets, pa.array(x[stay])) for x in (flat, counts.flatten().to_numpy(zero_copy_only=False))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *parts], names=["label", "features", "counts"])
 
     return run
 
@@ -194,17 +227,21 @@ def fit(docs: DataFrame, labels: DataFrame, model) -> tuple[np.ndarray, float]:
     if not zeros or not ones:
         share = (ones + 0.5) / (zeros + ones + 1) if zeros + ones else 0.5
         return base, float(np.log(share / (1 - share)))
-    rows = sample.mapInArrow(_featured(model), "label int, features array<int>").toArrow()
+    spark = docs.sparkSession
+    schema = "label int, features array<int>, counts array<int>"
+    with Scratch(spark) as scratch:
+        found = scratch.keep(sample.mapInArrow(_featured(model), schema), "toxicity-features")
+        size = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}  # a row for each label
+        n = found.mapInArrow(_documents_of_features, "feature int, label int, n bigint").groupBy("feature").agg(*(F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(c) for k, c in ((1, "toxic"), (0, "clean"))))
+        ratio = (F.col("toxic") + 0.5) / (size.get(1, 0) + 1) / ((F.col("clean") + 0.5) / (size.get(0, 0) + 1))
+        chosen = n.filter((F.col("toxic") >= LEAST_DOCUMENTS) & (ratio >= LEAST_RATIO)).select("feature").toPandas()["feature"].to_numpy(dtype=np.int64)  # at most FEATURES
+        used = np.zeros(FEATURES, dtype=bool)
+        used[chosen] = True
+        rows = found.mapInArrow(_selected(spark.sparkContext.broadcast(used)), schema).toArrow()
     y = rows["label"].to_numpy().astype(np.float64)
-    lists = rows["features"].combine_chunks()
+    lists, counts = (rows[c].combine_chunks() for c in ("features", "counts"))
     row = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
-    cell, value = np.unique(row.astype(np.int64) * FEATURES + lists.values.to_numpy(), return_counts=True)
-    row, column = cell // FEATURES, cell % FEATURES
-    toxic = np.bincount(column, weights=y[row], minlength=FEATURES)
-    clean = np.bincount(column, minlength=FEATURES) - toxic
-    ratio = (toxic + 0.5) / (y.sum() + 1) / ((clean + 0.5) / (len(y) - y.sum() + 1))
-    have = ((toxic >= LEAST_DOCUMENTS) & (ratio >= LEAST_RATIO))[column]
-    row, column, value = row[have], column[have], np.minimum(value[have], 3).astype(np.float64)
+    column, value = lists.flatten().to_numpy(zero_copy_only=False), counts.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     used, column = np.unique(column, return_inverse=True)
     w, b = fit_linear(row, column, value, y, len(used), L2)
     base[used] = w

@@ -98,3 +98,30 @@ def test_edges(spark):
     none = t.toxicity(docs, labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.5}
     assert t.toxicity(docs.limit(0), labels).collect() == []
+
+
+def test_trigrams_of_long_texts(monkeypatch):
+    """Counts do not depend on the blocks that a text is counted in."""
+    import numpy as np
+    import pyarrow as pa
+
+    text = "Straße İΣ the quick brown fox, " * 40_000
+    c = t.classes_of(f" {text} ").astype(np.int64)
+    want = np.bincount((c[:-2] << 12) | (c[1:-1] << 6) | c[2:], minlength=t.CLASSES**3)
+    for counted in (1 << 20, 1000, 7):
+        monkeypatch.setattr(t, "COUNTED", counted)
+        own = text if counted > 7 else text[:20_000]
+        got = np.zeros(t.CLASSES**3, dtype=np.int64)
+        for out in t._count_trigrams(iter([pa.RecordBatch.from_pydict({"text": [own]})])):
+            got[out.column(0).to_numpy()] += out.column(1).to_numpy()
+        if counted > 7:
+            assert np.array_equal(got, want)
+        else:
+            assert got.sum() == len(f" {own} ".lower()) - 2
+    assert len(text) > 1 << 20
+
+
+def test_runs_at_marks():
+    runs = lambda text: [m[0] for m in t._RUN.finditer(text)]
+    assert runs("you i d i o t.") == ["i d i o t"] and runs('"i d i o t"') == ["i d i o t"]
+    assert runs("x  i  d\ni o t!") and runs("an id is it") == []
