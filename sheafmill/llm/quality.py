@@ -6,7 +6,7 @@ Forward-backward gives each line's probability of being good; a document's raw q
 by line length, and a logistic calibration turns it into the probability of label 1 at the labels' own shares.
 
 The field and the calibration are fitted on the driver on at most SAMPLE labelled documents of each class outside the held-out fold, where a
-document's label stands for its lines; documents of over SAMPLE_LINES lines are left out of the fit (never of scoring).
+document's label stands for its lines; of a document of over SAMPLE_LINES lines four stretches of so many lines together stand for it in the fit (scoring takes all).
 
 Defined cases: null is the empty text; a text without a line that is not blank has score 0; texts are scored one by one, so
 ties and repeated rows do not matter; a null doc_id is not held out; without labelled rows of both classes the score of any other text is the share of label 1 (0.5
@@ -33,6 +33,8 @@ SAMPLE = 2500
 SAMPLE_LINES = 2000
 ROUNDS = 120
 L2 = 1e-3
+#: Lines whose features are held at once.
+BLOCK_LINES = 1 << 14
 #: Documents whose chains are run side by side.
 SIDE_BY_SIDE = 128
 
@@ -61,12 +63,41 @@ def _classes(text: str) -> np.ndarray:
     return np.where(codes < 1 << 16, _TABLE[np.minimum(codes, (1 << 16) - 1)], _LOWER)
 
 
+def lines_of(text: str) -> list[str]:
+    """The lines that are not blank."""
+    return [x for x in text.split("\n") if x and not x.isspace()]
+
+
 def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """A row of WIDTH features for each line that is not blank, and the lines' lengths."""
-    lines = [x for x in text.split("\n") if x and not x.isspace()]
+    lines = lines_of(text)
+    blocks = list(feature_blocks(lines))
+    return np.concatenate(blocks) if blocks else np.empty((0, WIDTH), dtype=np.float32), np.array([len(x) for x in lines], dtype=np.float64)
+
+
+def feature_blocks(lines: list[str]) -> Iterator[np.ndarray]:
+    """The features of lines, of at most BLOCK_LINES at a time; repetition is that in the whole text."""
+    seen = Counter(lines)
+    for start in range(0, len(lines), BLOCK_LINES):
+        stop = min(len(lines), start + BLOCK_LINES)
+        first = max(0, start - 1)  # neighbours are features too
+        own = own_features(lines[first : stop + 1], seen)
+        n = stop - start
+        out = np.zeros((n, WIDTH), dtype=np.float32)
+        out[:, :OWN] = own[start - first : start - first + n]
+        before = own[: start - first + n - 1]
+        out[n - len(before) :, OWN : 2 * OWN] = before
+        after = own[start - first + 1 : start - first + 1 + n]
+        out[: len(after), 2 * OWN : 3 * OWN] = after
+        out[0, 3 * OWN] = start == 0
+        out[-1, 3 * OWN + 1] = stop == len(lines)
+        out[:, 3 * OWN + 2] = 1
+        yield out
+
+
+def own_features(lines: list[str], seen: Counter) -> np.ndarray:
+    """What is said of each line by itself."""
     n = len(lines)
-    if not n:
-        return np.empty((0, WIDTH), dtype=np.float32), np.empty(0)
     lengths = np.array([len(x) for x in lines], dtype=np.float64)
     classes = _classes("".join(lines))
     starts = np.concatenate([[0], np.cumsum(lengths[:-1])]).astype(np.int64)
@@ -74,7 +105,6 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     words = [x.split() for x in lines]
     n_words = np.array([len(w) for w in words], dtype=np.float64)
     distinct = np.array([len(set(w)) for w in words], dtype=np.float64)
-    seen = Counter(lines)
     letters = count[_LOWER] + count[_UPPER]
     own = np.empty((n, OWN), dtype=np.float32)
     own[:, 0] = np.log1p(lengths)
@@ -89,15 +119,10 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     own[:, 12] = [x.lstrip()[0].isupper() for x in lines]
     own[:, 13] = [x.rstrip()[-1] in ".!?" for x in lines]
     own[:, 14] = count[_SIGN] > 0.1 * n_words
-    out = np.zeros((n, WIDTH), dtype=np.float32)
-    out[:, :OWN] = own
-    out[1:, OWN : 2 * OWN] = own[:-1]
-    out[:-1, 2 * OWN : 3 * OWN] = own[1:]
-    out[0, 3 * OWN] = out[-1, 3 * OWN + 1] = out[:, 3 * OWN + 2] = 1
-    return out, lengths
+    return own
 
 
-def forward_backward(potentials: np.ndarray, lengths: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forward_backward(potentials: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, with_pairs: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of chains side by side.
 
     potentials: (chain, line, label), padded; lengths: lines of each chain; pairs: (label, next label). Returns the
@@ -118,7 +143,7 @@ def forward_backward(potentials: np.ndarray, lengths: np.ndarray, pairs: np.ndar
     total = np.logaddexp(both[:, 0, 0], both[:, 0, 1])
     marginals = np.exp(both - total[:, None, None])
     joint = np.zeros((b, 2, 2))
-    for i in range(t - 1):
+    for i in range(t - 1 if with_pairs else 0):
         x = np.exp(ahead[:, i, :, None] + pairs + (potentials[:, i + 1] + back[:, i + 1])[:, None, :] - total[:, None, None])
         joint += np.where((i + 1 < lengths)[:, None, None], x, 0)
     return marginals, joint
@@ -140,7 +165,7 @@ def good_marginals(score: np.ndarray, counts: np.ndarray, pairs: np.ndarray, wit
         potentials = np.zeros((len(part), longest, 2))
         for k, d in enumerate(part):
             potentials[k, : counts[d], 1] = score[first[d] : first[d + 1]]
-        marginals, two = forward_backward(potentials, counts[part], pairs)
+        marginals, two = forward_backward(potentials, counts[part], pairs, with_pairs)
         for k, d in enumerate(part):
             out[first[d] : first[d + 1]] = marginals[k, : counts[d], 1]
         if with_pairs:
@@ -157,24 +182,40 @@ class Field:
         self.w, self.pairs = np.zeros(WIDTH), np.zeros((2, 2))
         self.slope, self.intercept = 0.0, 0.0
 
-    def raw(self, features: list[np.ndarray], lengths: list[np.ndarray]) -> np.ndarray:
-        """The length-weighted good marginals of documents, as log odds; lines are needed."""
-        counts = np.array([len(x) for x in features])
-        x = (np.concatenate(features) - self.mean) / self.scale
-        good = good_marginals(x @ self.w, counts, self.pairs)
+    def raw(self, scores: list[np.ndarray], lengths: list[np.ndarray]) -> np.ndarray:
+        """The length-weighted good marginals of documents by their lines' scores, as log odds; lines are needed."""
+        counts = np.array([len(x) for x in scores])
+        good = good_marginals(np.concatenate(scores), counts, self.pairs)
         weights = np.concatenate(lengths)
         first = np.concatenate([[0], np.cumsum(counts)[:-1]])
         mean = np.add.reduceat(good * weights, first) / np.add.reduceat(weights, first)
         mean = np.clip(mean, 1e-4, 1 - 1e-4)
         return np.log(mean / (1 - mean))
 
+    def line_scores(self, features: np.ndarray) -> np.ndarray:
+        return ((features - self.mean) / self.scale) @ self.w
+
     def scores(self, every: list[str]) -> np.ndarray:
+        """The scores of texts; lines wait as one number each, and their features are made BLOCK_LINES at a time."""
         out = np.zeros(len(every))
-        parts = [line_features(t) for t in every]
-        have = [i for i, (x, _) in enumerate(parts) if len(x)]
-        if have:
-            raw = self.raw([parts[i][0] for i in have], [parts[i][1] for i in have])
-            out[have] = logistic(self.slope * raw + self.intercept)
+        waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def settle():
+            if waiting:
+                at, scores, lengths = zip(*waiting)
+                out[list(at)] = logistic(self.slope * self.raw(scores, lengths) + self.intercept)
+                waiting.clear()
+
+        for i, text in enumerate(every):
+            lines = lines_of(text)
+            if lines:
+                waiting.append((i, np.concatenate([self.line_scores(x) for x in feature_blocks(lines)]), np.array([len(x) for x in lines], dtype=np.float64)))
+                size += len(lines)
+            if size > 4 * BLOCK_LINES:
+                settle()
+                size = 0
+        settle()
         return out
 
 
@@ -200,7 +241,7 @@ def fit_field(features: list[np.ndarray], lengths: list[np.ndarray], y: np.ndarr
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
         params = params - 0.1 / (1 + t / 50) * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
     field.w, field.pairs = params[:-1], np.array([[params[-1], 0], [0, params[-1]]])
-    raw = field.raw(features, lengths)
+    raw = field.raw([field.line_scores(f) for f in features], lengths)
     each = np.where(y == 1, shares[1] / max(1, (y == 1).sum()), shares[0] / max(1, (y == 0).sum()))
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton, with a weak prior on the slope
@@ -215,13 +256,22 @@ def fit_field(features: list[np.ndarray], lengths: list[np.ndarray], y: np.ndarr
     return field
 
 
+def sampled_lines(n: int) -> np.ndarray:
+    """The lines that stand for a labelled document of n: all up to SAMPLE_LINES, else four stretches of it, evenly apart, of so many together."""
+    if n <= SAMPLE_LINES:
+        return np.arange(n)
+    part = SAMPLE_LINES // 4
+    return np.concatenate([np.arange(part) + k * (n - part) // 3 for k in range(4)])
+
+
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels = batch.column(batch.schema.get_field_index("label"))
         rows = [line_features(t) for t in texts(batch)]
-        some = [0 < len(x) <= SAMPLE_LINES for x, _ in rows]
-        flat = [x.ravel() for (x, _), s in zip(rows, some) if s]
-        sizes = [z for (_, z), s in zip(rows, some) if s]
+        some = [len(x) > 0 for x, _ in rows]
+        rows = [(x[at], z[at]) for x, z in rows if len(x) for at in [sampled_lines(len(x))]]
+        flat = [x.ravel() for x, _ in rows]
+        sizes = [z for _, z in rows]
         yield pa.RecordBatch.from_arrays([labels.filter(pa.array(some, pa.bool_())), pa.array(flat, pa.list_(pa.float32())), pa.array(sizes, pa.list_(pa.float64()))], names=["label", "features", "lengths"])
 
 

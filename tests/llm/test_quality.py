@@ -74,3 +74,29 @@ def test_edges(spark):
     assert {r["doc_id"] for r in q.keep_good(docs, labels).collect()} >= {i for i in range(60) if i % 2}
     assert {r["score"] for r in q.quality(docs, labels.limit(0)).collect()} == {0.0, 0.5}
     assert q.quality(docs.limit(0), labels).collect() == []
+
+
+def test_many_short_lines(monkeypatch):
+    """Blocks change no feature and no score; megabytes of short lines need little memory; long documents are in the fit."""
+    import tracemalloc
+
+    rng = random.Random(1)
+    text = "\n".join(rng.choice(["A b.", "12|34", "", "Some longer line of words!", "x"]) for _ in range(700))
+    want, lengths = q.line_features(text)
+    field = q.Field()
+    field.w, field.slope = np.linspace(-1, 1, q.WIDTH), 1.0
+    field.pairs = np.array([[0.5, 0], [0, 0.5]])
+    score = field.scores([text, "", "one line", text + "\nmore"])
+    for block in (1, 2, 7, 699):
+        monkeypatch.setattr(q, "BLOCK_LINES", block)
+        got, same = q.line_features(text)
+        assert np.array_equal(got, want) and np.array_equal(same, lengths)
+        assert np.allclose(field.scores([text, "", "one line", text + "\nmore"]), score)
+    monkeypatch.undo()
+    tracemalloc.start()
+    field.scores(["ab\ncd\n" * 60_000] * 4)
+    assert tracemalloc.get_traced_memory()[1] < 120e6
+    tracemalloc.stop()
+    for n in (1, 2000, 2001, 90_000):
+        at = q.sampled_lines(n)
+        assert len(at) == min(n, 2000) and len(set(at.tolist())) == len(at) and at.max() == n - 1 and at.min() == 0
