@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.operators import runs as ops
+from sheafmill.session import keep
 from sheafmill.sources.harvest import read_snapshot, write_snapshot
 from sheafmill.sources.tables import conform
 from sheafmill.streaming.ingest import index_run
@@ -60,12 +61,10 @@ class Warehouse:
         """
         events = self.table("harvest_events")
         key = F.sha2(F.concat_ws("|", "harvest_url", "harvest_run_id", "record_identifier", "raw_metadata"), 256)
-        judged = ops.register_events(events, requests.withColumn("id", key), self.table("harvest_runs"), self.table("endpoints"), self.table("repositories"))
+        judged = keep(ops.register_events(events, requests.withColumn("id", key), self.table("harvest_runs"), self.table("endpoints"), self.table("repositories")), "judged-requests")
         new = judged.filter("reason IS NULL").withColumns({"metadata_format": F.lit("XML"), "metadata_protocol": F.lit("OAI-PMH")})
-        outcome = judged.select("id", "record_identifier", "reason")
-        rows = [tuple(r) for r in outcome.collect()]  # a row for each request, as the caller gets them
         self._write(events.unionByName(conform(new, "harvest_events")), "harvest_events")
-        return self.spark.createDataFrame(rows, outcome.schema)
+        return judged.select("id", "record_identifier", "reason")
 
     def start_index(self, run_id: str, index: str, batch_size: int = ops.BATCH_SIZE) -> int:
         """Transform the events of a closed run into records and index documents; returns the number of batches they make up."""

@@ -60,7 +60,7 @@ def transform(events: DataFrame, now: Column, make_embedder=HashingEmbedder, mod
             "updated_at": now,
         }
     )
-    documents = done.select(F.col("doc.id").alias("id"), "doc", "emb", F.col("additional_metadata").alias("_additional_metadata"), F.col("code").alias("_repo"), F.col("harvest_url").alias("_harvest_url"))
+    documents = done.select(F.struct("datestamp", F.col("id").alias("event_id")).alias("_order"), F.col("doc.id").alias("id"), "doc", "emb", F.col("additional_metadata").alias("_additional_metadata"), F.col("code").alias("_repo"), F.col("harvest_url").alias("_harvest_url"))
     return Change(conform(records, "records"), gone, results, documents)
 
 
@@ -78,9 +78,9 @@ def apply_to_events(events: DataFrame, change: Change) -> DataFrame:
 
 
 def apply_to_index(index: DataFrame, records: DataFrame, change: Change) -> DataFrame:
-    """The index after the change. A deleted record's document goes by the id it was indexed under."""
+    """The index after the change. A deleted record's document goes by the id it was indexed under; of records with one document id the latest (date stamp, then event id) counts."""
     ids = records.join(change.gone, KEY, "left_semi").select(make_id(F.col("doi"), F.col("url")).alias("id"))
-    fresh = change.documents.dropDuplicates(["id"])
+    fresh = last_of_key(change.documents, ["id"], [F.col("_order").desc()])
     kept = delete_by_key(delete_by_key(index, ids, ["id"]), fresh, ["id"])
     return kept.unionByName(fresh.select(index.columns))
 

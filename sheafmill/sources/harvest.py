@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.operators.xml import header, parse
-from sheafmill.sources.tables import RESOURCE_TYPE, SCHEMAS, conform, empty_table, seed_endpoints, seed_repositories
+from sheafmill.sources.tables import ENUMS, RESOURCE_TYPE, SCHEMAS, conform, empty_table, seed_endpoints, seed_repositories
 
 
 def read_xml_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,17 +28,16 @@ def extract_headers(files: DataFrame) -> DataFrame:
 def attach_side_file(files: DataFrame, sides: DataFrame) -> DataFrame:
     """files (with name) and additional_metadata: the value of the side file (name, value) whose name starts with the file's name up to `.oai`, if there is exactly one.
 
-    A side file's name can only start with the prefixes of itself, so it is joined by each of its own prefixes that ends before a dot or at its end; a prefix that
-    ends elsewhere is found through the general path, a join on the first characters with a check of the rest.
+    A side file is joined by its beginnings of just those lengths that names of files have (file names are short, so there are few), each to the name that is equal to it.
     """
-    stem = F.split_part(F.col("name"), F.lit(".oai"), F.lit(1))
-    keyed = files.withColumn("_stem", stem).withColumn("_head", F.substring("_stem", 1, 8))
-    heads = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda i: F.col("side_name").substr(F.lit(1), i))
-    side = sides.select(F.col("name").alias("side_name"), F.col("value").alias("_value")).withColumn("_head", F.explode(F.array_distinct(heads)))
-    stems = keyed.select("_stem", "_head").distinct()
-    found = stems.join(side, "_head").filter(F.col("side_name").startswith(F.col("_stem")))
+    keyed = files.withColumn("_stem", F.split_part(F.col("name"), F.lit(".oai"), F.lit(1)))
+    stems = keyed.select("_stem").distinct()
+    lengths = [r["n"] for r in stems.select(F.char_length("_stem").alias("n")).distinct().collect() if r["n"] is not None]  # a row for each length of a file name
+    starts = F.transform(F.array(*map(F.lit, sorted(lengths))).cast("array<int>"), lambda n: F.when(F.char_length("_side") >= n, F.substr(F.col("_side"), F.lit(1), n)))
+    side = sides.select(F.col("name").alias("_side"), F.col("value").alias("_value")).select("_value", F.explode(starts).alias("_stem")).filter("_stem IS NOT NULL")
+    found = stems.join(side, "_stem")
     single = found.groupBy("_stem").agg(F.count("*").alias("_n"), F.first("_value").alias("additional_metadata")).filter("_n = 1").drop("_n")
-    return keyed.join(single, "_stem", "left").drop("_stem", "_head")
+    return keyed.join(single, "_stem", "left").drop("_stem")
 
 
 def write_json(documents: DataFrame, path: str) -> None:
@@ -46,41 +45,50 @@ def write_json(documents: DataFrame, path: str) -> None:
     documents.select(F.to_json("doc").alias("value")).write.text(path)
 
 
-def _pointer(root: str, name: str) -> str:
-    return f"{root}/{name}/_current"
+_POINTER = "number long, name string, version string"
 
 
-_POINTER = "number long, version string"
-
-
-def _pointers(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(_POINTER).json(_pointer(root, name))
+def _pointers(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(_POINTER).json(f"{root}/_current")
 
 
 def _missing(e: Exception) -> bool:
     return "PATH_NOT_FOUND" in str(e)
 
 
-def write_snapshot(df: DataFrame, root: str, name: str, version: str) -> None:
-    """Write a table to a new version folder, then point to it. A version that is there already is replaced, so a repeated batch does no harm.
+def write_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame], version: str) -> None:
+    """Write tables to new version folders, then point to all of them at once: one file says all. A version that is there already is replaced, so a repeated batch does no harm.
 
-    Pointers are numbered and added, never replaced: a writer that dies leaves the table at the version before. One writer at a time is assumed.
+    Pointers are numbered and added, never replaced: a writer that dies leaves all tables at the versions before. One writer at a time is assumed.
     """
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{root}/{name}/version={version}")
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}/version={version}")
     try:
-        number = _pointers(spark, root, name).agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0] + 1
+        number = _pointers(spark, root).agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0] + 1
     except AnalysisException as e:
         if not _missing(e):
             raise
         number = 0
-    spark.createDataFrame([(number, version)], _POINTER).coalesce(1).write.mode("append").json(_pointer(root, name))
+    spark.createDataFrame([(number, name, version) for name in tables], _POINTER).coalesce(1).write.mode("append").json(f"{root}/_current")
+
+
+def write_snapshot(df: DataFrame, root: str, name: str, version: str) -> None:
+    write_snapshots(df.sparkSession, root, {name: df}, version)
+
+
+def current_version(spark: SparkSession, root: str, name: str) -> str | None:
+    """The version of a table that is pointed to last; None for a table that was never written."""
+    try:
+        return _pointers(spark, root).filter(F.col("name") == name).agg(F.max_by("version", "number")).first()[0]
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        return None
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The version of a table that is pointed to last."""
-    version = _pointers(spark, root, name).agg(F.max_by("version", "number")).first()[0]
-    return spark.read.parquet(f"{root}/{name}/version={version}")
+    """The version of a table that is pointed to last; of one that was never written, the error of a path that is not there."""
+    return spark.read.parquet(f"{root}/{name}/version={current_version(spark, root, name)}")
 
 
 def bootstrap(spark: SparkSession, root: str, now: datetime.datetime) -> None:
@@ -100,7 +108,8 @@ def verify(spark: SparkSession, root: str) -> dict[str, int]:
         except Exception as e:  # a table that is missing is counted as missing
             if not _missing(e):
                 raise
-    return {"tables": tables, "enumerations": 4, "resource_types": len(RESOURCE_TYPE)}
+    enumerations = {tuple(values) for columns in ENUMS.values() for values in columns.values()}
+    return {"tables": tables, "enumerations": len(enumerations), "resource_types": len(RESOURCE_TYPE)}
 
 
 def create_index(spark: SparkSession, root: str, name: str, dimensions: int) -> None:

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from sheafmill.operators.merge import last_of_key, upsert
+from sheafmill.operators.merge import last_of_key
 from sheafmill.plans.transform import apply_to_events, apply_to_index, apply_to_records, transform
-from sheafmill.sources.harvest import read_snapshot, write_snapshot
+from sheafmill.sources.harvest import current_version, read_snapshot, write_snapshot, write_snapshots
+
+#: The partition column of the changes of micro-batches.
+BATCH = "change_batch"
 
 
 def run_batches(source: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -21,30 +26,38 @@ def run_batches(source: DataFrame, handle: Callable[[DataFrame, int], None], che
 
 
 def stream_upsert(spark: SparkSession, folder: str, pattern: str, schema, root: str, name: str, keys: list[str], order: list[Column], checkpoint: str, files: int = 8) -> DataFrame:
-    """Upsert a stream of parquet files (those in a folder whose names match the pattern) into a snapshot table, a version for each micro-batch, and return the table.
+    """Upsert a stream of parquet files (those in a folder whose names match the pattern) into a snapshot table and return the table.
 
-    A batch that is run again writes its version again from the version before it, so the result is the same.
+    Of all rows of a key the first in `order` stays, whatever batch it comes in; of rows alike in it, one of the latest batch. A micro-batch writes its changes only;
+    the table is merged with them once, when the stream has worked through what is there. A batch that is run again writes its changes again, so the result is the same.
     """
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", pattern).parquet(folder)
+    changes = f"{root}/{name}-changes"
 
     def handle(batch: DataFrame, number: int) -> None:
-        changes = last_of_key(batch, keys, order)
-        if number == 0:
-            write_snapshot(changes, root, name, "0")
-            return
-        current = spark.read.schema(changes.schema).parquet(f"{root}/{name}/version={number - 1}")
-        updates = [c for c in changes.columns if c not in keys]
-        write_snapshot(upsert(current, changes, keys, updates), root, name, str(number))
+        last_of_key(batch, keys, order).write.mode("overwrite").parquet(f"{changes}/{BATCH}={number}")
 
     run_batches(rows, handle, checkpoint)
+    merged = current_version(spark, root, name)
+    done = -1 if merged is None else int(merged)
+    try:
+        new = spark.read.schema(StructType([*rows.schema, StructField(BATCH, IntegerType())])).parquet(changes).filter(F.col(BATCH) > done)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        new = spark.createDataFrame([], rows.schema).withColumn(BATCH, F.lit(done + 1))
+    last = new.agg(F.max(BATCH)).first()[0]
+    if last is None and merged is not None:
+        return read_snapshot(spark, root, name)
+    if merged is not None:
+        new = new.unionByName(read_snapshot(spark, root, name).withColumn(BATCH, F.lit(done)))
+    write_snapshot(last_of_key(new, keys, [*order, F.col(BATCH).desc()]).select(rows.columns), root, name, str(done if last is None else last))
     return read_snapshot(spark, root, name)
 
 
 def index_run(spark: SparkSession, root: str, index: str, scanned: DataFrame, version: str, now: Column | None = None) -> None:
-    """Transform the events of a run (of event_scan()) and move records, events and the index to a new version."""
+    """Transform the events of a run (of event_scan()) and move records, events and the index to a new version, all three or none."""
     now = F.current_timestamp() if now is None else now
     change = transform(scanned, now)
     records, events, documents = (read_snapshot(spark, root, n) for n in ("records", "harvest_events", index))
-    write_snapshot(apply_to_index(documents, records, change), root, index, version)
-    write_snapshot(apply_to_events(events, change), root, "harvest_events", version)
-    write_snapshot(apply_to_records(records, change, now), root, "records", version)
+    write_snapshots(spark, root, {index: apply_to_index(documents, records, change), "harvest_events": apply_to_events(events, change), "records": apply_to_records(records, change, now)}, version)

@@ -141,3 +141,43 @@ def test_stream_in_several_batches(spark, tmp_path):
         spark.createDataFrame([r for r in rows if r[1] == v], "key int, v int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     table = stream_upsert(spark, str(tmp_path / "in"), "*.parquet", spark.read.parquet(str(tmp_path / "in")).schema, str(tmp_path / "out"), "t", ["key"], [F.col("v").desc()], str(tmp_path / "check"), files=1)
     assert sorted(r["key"] for r in table.collect()) == list(range(6))
+
+
+def test_late_and_repeated_rows(spark, tmp_path):
+    """The row that is first in the order stays, whatever batch it comes in; of rows alike in it, one of the latest batch; also when the stream goes on later."""
+    from sheafmill.streaming.ingest import stream_upsert
+
+    schema = "key int, ts int, v string"
+
+    def come(*batches):
+        for rows in batches:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        table = stream_upsert(spark, str(tmp_path / "in"), "*.parquet", spark.read.parquet(str(tmp_path / "in")).schema, str(tmp_path / "out"), "t", ["key"], [F.col("ts").desc()], str(tmp_path / "check"), files=1)
+        return sorted(map(tuple, table.collect()))
+
+    assert come([(1, 10, "a"), (2, 1, "a"), (2, 2, "b")], [(1, 5, "late"), (3, 1, "a")], [(2, 2, "again")]) == [(1, 10, "a"), (2, 2, "again"), (3, 1, "a")]
+    assert come([(1, 9, "late"), (3, 1, "again"), (4, 1, "a")]) == [(1, 10, "a"), (2, 2, "again"), (3, 1, "again"), (4, 1, "a")]
+    assert come() == [(1, 10, "a"), (2, 2, "again"), (3, 1, "again"), (4, 1, "a")]
+
+
+def test_writer_that_dies(spark, tmp_path):
+    """A failure between tables leaves all of them at the versions before."""
+    root = str(tmp_path)
+    frame = lambda v: spark.createDataFrame([(v,)], "v int")
+    harvest.write_snapshots(spark, root, {"a": frame(1), "b": frame(1)}, "1")
+    broken = frame(2).select(F.raise_error(F.lit("dies")).cast("int").alias("v"))
+    with pytest.raises(Exception, match="dies"):
+        harvest.write_snapshots(spark, root, {"a": frame(2), "b": broken}, "2")
+    assert [harvest.read_snapshot(spark, root, n).first()["v"] for n in "ab"] == [1, 1]
+    harvest.write_snapshots(spark, root, {"a": frame(2), "b": frame(2)}, "2")
+    assert [harvest.read_snapshot(spark, root, n).first()["v"] for n in "ab"] == [2, 2]
+
+
+def test_latest_document_of_an_id(spark):
+    from sheafmill.plans.transform import Change, apply_to_index
+
+    index = spark.createDataFrame([("x", 0), ("y", 0)], "id string, v int")
+    documents = spark.createDataFrame([((5, "e1"), "x", 1), ((7, "e0"), "x", 2), ((7, "e2"), "x", 3), ((1, "e9"), "z", 4)], "_order struct<datestamp:int,event_id:string>, id string, v int")
+    none = spark.createDataFrame([], "endpoint_id string, record_identifier string, doi string, url string")
+    got = apply_to_index(index, none, Change(none, none.select("endpoint_id", "record_identifier"), none, documents))
+    assert sorted(map(tuple, got.collect())) == [("x", 3), ("y", 0), ("z", 4)]
