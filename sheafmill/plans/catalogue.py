@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -14,6 +15,7 @@ from sheafmill.operators import merge, runs, search, validate, xml
 from sheafmill.plans import reports
 from sheafmill.plans.roles import role, with_roles
 from sheafmill.session import keep, shared_root, spread
+from sheafmill.sources import harvest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -533,3 +535,45 @@ def streaming_upsert(spark, sf_dir):
     schema = _read(spark, sf_dir, "events").schema
     table = stream_upsert(spark, sf_dir, "events.parquet", schema, root, "latest", ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], f"{root}/checkpoint")
     return table.select("user_id", "event_id", "event_type", "ts")
+
+
+@query("SELECT user_id, event_id, event_type, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def streaming_upsert_late(spark, sf_dir):
+    """As streaming_upsert, in several micro-batches among which the rows of a user are dealt by hash, so that many come late."""
+    from sheafmill.streaming.ingest import stream_upsert
+
+    root = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"
+    events = _read(spark, sf_dir, "events")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(f"{root}/in")
+    table = stream_upsert(spark, f"{root}/in", "*.parquet", events.schema, root, "latest", ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], f"{root}/checkpoint", files=2)
+    return table.select("user_id", "event_id", "event_type", "ts")
+
+
+@query("""SELECT doc_id, CASE WHEN source = 'src4' THEN '''title'' is a required property' WHEN source = 'src1' THEN '''subject'' is a required property' WHEN source = 'src2' THEN '''EN'' does not match ''^[a-z]{2}$'''
+    WHEN source = 'src3' THEN '''creatorName'' is a required property' WHEN source = 'src5' THEN '''dateType'' is a required property' END AS message FROM documents""")
+def validate_elements(spark, sf_dir):
+    """The rules on the elements of titles, subjects, creators and dates."""
+    c, none = F.col, F.lit(None).cast("string")
+
+    def subject(text, lang):
+        return F.struct(text.alias("subject"), lang.alias("lang"), *(none.alias(n) for n in ("subjectScheme", "schemaUri", "valueUri", "classificationCode")))
+
+    doc = F.struct(
+        F.lit("x").alias("id"), c("source").alias("doi"), none.alias("url"),
+        F.array(F.struct(F.when(c("source") != "src4", c("text")).alias("title"), none.alias("lang"), none.alias("titleType"))).alias("titles"),
+        F.array(subject(c("text"), F.lit("en")), subject(F.when(c("source") != "src1", F.lit("s")), F.when(c("source") == "src2", "EN"))).alias("subjects"),
+        F.array(F.struct(F.when(c("source") != "src3", c("source")).alias("creatorName"), *(none.alias(n) for n in ("nameType", "nameIdentifierScheme", "nameIdentifier", "givenName", "familyName")))).alias("creators"),
+        F.lit("2024").alias("publicationYear"), F.lit(None).alias("descriptions"),
+        F.array(F.struct(F.lit("2024-01-02").alias("date"), F.when(c("source") != "src5", "Issued").alias("dateType"))).alias("dates"),
+        F.struct(none.alias("resourceType"), F.lit("Dataset").alias("resourceTypeGeneral")).alias("types"),
+    ).cast(xml.DOCUMENT_SCHEMA)
+    return _read(spark, sf_dir, "documents").select("doc_id", validate.validation_error(doc).alias("message"))
+
+
+@query("SELECT CAST(5 AS BIGINT) AS tables, CAST(4 AS BIGINT) AS enumerations, CAST(32 AS BIGINT) AS resource_types")
+def warehouse_verify(spark, sf_dir):
+    """What the check of a new warehouse counts."""
+    root = f"{shared_root(spark)}/warehouse-{uuid.uuid4().hex}"
+    harvest.bootstrap(spark, root, datetime.datetime(2025, 1, 1, tzinfo=datetime.timezone.utc))
+    found = harvest.verify(spark, root)
+    return spark.createDataFrame([(found["tables"], found["enumerations"], found["resource_types"])], "tables long, enumerations long, resource_types long")
