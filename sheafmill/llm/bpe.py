@@ -38,13 +38,14 @@ from sheafmill.llm.common import documents, text_session, texts
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: The characters of Unicode's White_Space property (fixed values).
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Chunks remembered by a worker, and merged pre-tokens.
-REMEMBERED = 100_000
-REMEMBERED_PIECES = 30_000
+#: Chunks, and merged pre-tokens, remembered by a worker that does nothing else; it takes some 150 MB for them.
+REMEMBERED = 400_000
+#: By one that leaves memory to the stages before and after.
+REMEMBERED_AMONG_STAGES = 80_000
 #: Characters of the chunks that were learnt since all was forgotten; bounds a worker's memory where pre-tokens are long.
 REMEMBERED_CHARACTERS = 1 << 24
-#: Characters (or bytes) of texts that are encoded together.
-TOGETHER = 1 << 21
+#: Characters (or bytes) of texts that are encoded together, for each chunk that is remembered.
+TOGETHER = 20
 #: Chunks of a longer text that are encoded at once.
 BLOCK = 1 << 16
 #: Positions in a bucket from which on they are merged as arrays; fewer cost less one by one.
@@ -100,8 +101,9 @@ class RankQueue:
 class Codec:
     """Encoder and decoder of one rank file."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED):
         self.ranks = ranks
+        self.remembered, self.together = remembered, TOGETHER * remembered
         self.pattern = regex.compile(pattern)
         self.size = max(ranks.values(), default=-1) + 1
         self.token = [b""] * self.size
@@ -222,12 +224,10 @@ class Codec:
         fresh = chunks.difference(self.chunks)
         self.characters += sum(map(len, fresh))
         long = self.characters > REMEMBERED_CHARACTERS  # long pre-tokens
-        if long or len(self.chunks) + len(fresh) > REMEMBERED:
+        if long or len(self.chunks) + len(fresh) > self.remembered:
             self.chunks = {c: self.chunks[c] for c in chunks.difference(fresh)}
             self.characters = sum(map(len, chunks))
-        if long or len(self.pieces) > len(self.own) + REMEMBERED_PIECES:
-            self.pieces = dict(self.own)
-        parts, wanted, known = [], set(), self.pieces
+        parts, pieces = [], set()
         findall, plain = self.pattern.findall, PLAIN.fullmatch
         for chunk in fresh:
             if m := plain(chunk):
@@ -236,10 +236,11 @@ class Codec:
             else:
                 own = [p.encode("utf-8", "surrogatepass") for p in findall(chunk)]
             parts.append((chunk, own))
-            for piece in own:
-                if piece not in known:
-                    wanted.add(piece)
-        unmerged = list(wanted)
+            pieces.update(own)
+        unmerged = list(pieces.difference(self.pieces))
+        if long or len(self.pieces) + len(unmerged) > len(self.own) + self.remembered:  # those that came again stay
+            self.pieces = self.own | {p: self.pieces[p] for p in pieces.difference(unmerged)}
+        known = self.pieces
         ids, last = self.merged(unmerged)
         packed = ids.astype(np.int32).tobytes()
         known.update((p, packed[4 * a : 4 * b]) for p, a, b in zip(unmerged, [0, *last], last))
@@ -248,7 +249,7 @@ class Codec:
             self.chunks[chunk] = known[own[0]] if len(own) == 1 else b"".join(map(piece_ids, own))
 
     def forget(self) -> None:
-        """Give back what is remembered: the worker goes on to other tasks."""
+        """Give back what is remembered: after this the worker does other work."""
         self.chunks, self.pieces, self.characters = {}, dict(self.own), 0
 
     def learned(self, every: Iterable[str]) -> Iterator[Iterable[list[str]]]:
@@ -256,8 +257,8 @@ class Codec:
         waiting: list[list[str]] = []
         size = 0
         for text in every:
-            long = len(text) > TOGETHER
-            if long or size + len(text) > TOGETHER:
+            long = len(text) > self.together
+            if long or size + len(text) > self.together:
                 yield from self._together(waiting)
                 waiting, size = [], 0
             if long:
@@ -311,21 +312,21 @@ class _Ragged:
 
 
 @lru_cache(maxsize=2)
-def codec(name: str = RANKS) -> Codec:
+def codec(name: str = RANKS, remembered: int = REMEMBERED) -> Codec:
     """The codec of a rank file of the public tokenizers; loaded once in a worker."""
     import public_tokenizers
 
     gc.set_threshold(1_000_000, 20, 100)  # what is remembered is many small tuples without cycles; scanning them often costs a third of the time
     with open(public_tokenizers.path(name), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
-    return Codec(ranks, public_tokenizers.PATTERN)
+    return Codec(ranks, public_tokenizers.PATTERN, remembered)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches put together up to TOGETHER bytes (or a batch)."""
+def _grouped(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to so many bytes (or a batch)."""
     group, size = [], 0
     for batch in batches:
-        if group and size + batch.nbytes > TOGETHER:
+        if group and size + batch.nbytes > most:
             yield pa.concat_batches(group)
             group, size = [], 0
         group.append(batch)
@@ -336,7 +337,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own = codec()
-    for batch in _grouped(batches):
+    for batch in _grouped(batches, own.together):
         counts, ids_hex, bytes_hex = [], [], []
         for blocks in own.learned(texts(batch)):
             ids_hash, bytes_hash, n = hashlib.sha256(), hashlib.sha256(), 0
@@ -350,12 +351,11 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids_hex.append(ids_hash.hexdigest())
             bytes_hex.append(bytes_hash.hexdigest())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(bytes_hex, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    own.forget()
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    own = codec()
-    for batch in _grouped(batches):
+    own = codec(remembered=REMEMBERED_AMONG_STAGES)
+    for batch in _grouped(batches, own.together):
         ids, exact = [], []
         every = list(texts(batch))
         for text, blocks in zip(every, own.learned(every)):
