@@ -1,39 +1,48 @@
 """Exact top-k search with vector-approximation files.
 
-Scores are integer inner products of vectors floor(256 * x). An approximation keeps, for each dimension, the 4-bit cell that the component is in;
-cells have even width over the block's range of that dimension. A search scans the approximations of a block: with q's positive part times the cells' upper ends
-and its negative part times their lower ends it has an upper bound of each score. Exact vectors are then read in the
-order of their bounds, best first, a step of them at a time, until the k-th best score found is above the next bound.
-(Largest inner product for smallest distance: an upper bound of the score plays the lower bound of the distance.)
+Scores are integer inner products of vectors floor(256 * x). (1) Vectors are gathered into blocks where they are read, without a shuffle, and
+each block is written as one file into the shared folder: its distinct exact vectors, their ids, and approximations, one
+byte for each component: the number of the cell that it is in. Cells of a dimension hold about equally many vectors; their
+lowest and highest components are kept. (2) Queries are written as files of packed vectors. (3) One task for each block scans its
+approximations for every query: cell ends give a lower and an upper bound of each score. What k others certainly beat is
+out; of the rest, exact vectors are read from the file at their places, largest upper bound first, until the k-th best score read is certain.
+A window ranks the k rows that each block reports for a query. (Largest inner product for smallest distance: an upper
+bound of the score plays the lower bound of the distance.)
 
-Vectors are put in blocks by hash, queries too; each block of queries meets each block of vectors in one task, which
-reports k rows a query, and a window over those rows ranks them. No task holds more than one block of either.
+A task holds one block (bounded in components) and a step of queries, however many rows there are; equal vectors of a block are one
+entry with many ids. Blocks are dealt out evenly, one to a task. What goes to the driver is a row for each query file.
 
 Defined cases: vectors that are null, empty or hold a null or a non-finite component, and rows without id, take no part; vectors of another
 dimension than the query's are no candidates; ties go to the smaller id; repeated rows are candidates each, except rows with the
-query's own id; a repeated query row is answered once; an empty table gives an empty result; other columns are not read.
+query's own id; of query rows with one id the smallest vector is answered, once; components and scores beyond 64 bits count as
+the nearest 64-bit number; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafmill.llm.common import Scratch, keep, spread, text_session
+from sheafmill.llm.language_model import write_arrays
+
 K = 5
 QUERY_EVERY = 50
 SCALE = 256
-#: Vectors and queries that meet in one task.
-BLOCK_VECTORS = 8192
-BLOCK_QUERIES = 4096
-CELLS = 16
-#: Queries whose bounds are held at once, and exact vectors read in one step.
-QUERY_STEP = 128
-READ_STEP = 64
+#: Components of a block of vectors, and of a file of queries.
+BLOCK_COMPONENTS = 1 << 21
+QUERY_COMPONENTS = 1 << 22
+#: Cells of a dimension.
+CELLS = 64
+#: Bounds held at once (queries times vectors), and exact vectors read in one step.
+BOUNDS = 1 << 20
+READ_STEP = 32
+LONG = np.iinfo(np.int64)
 
 
 def integer_vectors(vectors: DataFrame) -> DataFrame:
@@ -41,89 +50,197 @@ def integer_vectors(vectors: DataFrame) -> DataFrame:
     x = F.transform("embedding", lambda c: c.cast("double"))
     usable = F.coalesce(F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf"))), F.lit(False))
     rows = vectors.filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & usable)
-    return rows.select("vec_id", F.transform(x, lambda c: F.floor(c * SCALE)).alias("v"))
-
-
-class Approximations:
-    """The cells of a block of vectors (one row each, integers)."""
-
-    def __init__(self, exact: np.ndarray):
-        self.low, high = exact.min(axis=0), exact.max(axis=0)
-        self.width = np.maximum(1, -(-(high - self.low + 1) // CELLS))
-        self.cells = ((exact - self.low) // self.width).astype(np.uint8)
-
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """Upper bounds of the inner products, a row for each query."""
-        low = self.cells * self.width + self.low
-        positive, negative = np.maximum(queries, 0), np.minimum(queries, 0)
-        return positive.astype(np.float64) @ (low + self.width - 1).T.astype(np.float64) + negative.astype(np.float64) @ low.T.astype(np.float64)
-
-
-def search_block(query_ids, queries: np.ndarray, ids: np.ndarray, exact: np.ndarray, k: int) -> Iterator[tuple]:
-    """(query id, vector id, score) of each query's k best in the block, or all if there are fewer; ids ascend."""
-    if len(queries) == 0 or len(exact) == 0:
-        return
-    approximations = Approximations(exact)
-    for start in range(0, len(queries), QUERY_STEP):
-        part = queries[start : start + QUERY_STEP]
-        bounds = approximations.bounds(part)
-        for row, query, query_id in zip(bounds, part, query_ids[start : start + QUERY_STEP]):
-            row[ids == query_id] = -np.inf
-            best_id, best = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-            read, step = 0, min(READ_STEP, len(row))
-            order = _next(row, step)
-            while len(order):
-                order = order[row[order] > -np.inf]
-                best_id = np.concatenate([best_id, ids[order]])
-                best = np.concatenate([best, exact[order] @ query])
-                top = np.lexsort((best_id, -best))[:k]
-                best_id, best = best_id[top], best[top]
-                read += step
-                if read >= len(row):
-                    break
-                rest = row.copy() if read == step else rest
-                rest[order] = -np.inf
-                ahead = rest.max()
-                if ahead == -np.inf or (len(best) == k and ahead < best[-1]):
-                    break
-                step *= 2
-                order = _next(rest, step)
-            yield from ((query_id, i, s) for i, s in zip(best_id.tolist(), best.tolist()))
-
-
-def _next(bounds: np.ndarray, step: int) -> np.ndarray:
-    """Places of the `step` largest bounds, largest first."""
-    step = min(step, len(bounds))
-    top = np.argpartition(-bounds, step - 1)[:step]
-    return top[np.argsort(-bounds[top], kind="stable")]
-
-
-def _meet(k: int):
-    def run(key, queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(queries) and len(vectors):
-            vectors = vectors.sort_values("vec_id", kind="stable")
-            for d, part in vectors.groupby(vectors["v"].map(len)):
-                asked = queries[queries["v"].map(len) == d].drop_duplicates("vec_id")
-                if len(asked):
-                    found += search_block(asked["vec_id"].to_numpy(), np.stack(asked["v"].to_list()).astype(np.int64), part["vec_id"].to_numpy(), np.stack(part["v"].to_list()).astype(np.int64), k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * SCALE)).alias("v"))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of one dimension each, of about `most` components."""
+    held: dict[int, list] = {}
+    size: dict[int, int] = {}
+
+    def flush(d):
+        size.pop(d)
+        ids, vectors = zip(*held.pop(d))
+        return np.concatenate(ids), np.concatenate(vectors)
+
+    for batch in batches:
+        ids, v = batch.column(0).to_numpy(), batch.column(1)
+        start, values = v.offsets.to_numpy().astype(np.int64), v.values.to_numpy()
+        lengths = np.diff(start)
+        for d in np.unique(lengths).tolist():
+            rows = np.flatnonzero(lengths == d)
+            held.setdefault(d, []).append((ids[rows], values[start[rows][:, None] + np.arange(d)]))
+            size[d] = size.get(d, 0) + d * len(rows)
+            if size[d] >= most:
+                yield flush(d)
+        while sum(size.values()) >= 2 * most:
+            yield flush(max(size, key=size.get))
+    while size:
+        yield flush(next(iter(size)))
+
+
+def approximate(exact: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cells, lowest, highest): the cell of each component, and for each dimension the lowest and highest component of each cell."""
+    n, d = exact.shape
+    cells, low, high = np.empty((n, d), dtype=np.uint8), np.zeros((d, CELLS), dtype=np.int64), np.zeros((d, CELLS), dtype=np.int64)
+    places = (np.arange(1, CELLS + 1) * n + CELLS - 1) // CELLS - 1
+    for j in range(d):
+        column = np.sort(exact[:, j])
+        values = np.unique(column)
+        ends = values if len(values) <= CELLS else np.unique(column[places])
+        starts = values[np.concatenate([[0], np.searchsorted(values, ends[:-1], side="right")])]
+        low[j, : len(ends)], high[j, : len(ends)] = starts, ends
+        cells[:, j] = np.searchsorted(ends, exact[:, j])
+    return cells, low, high
+
+
+def _write_blocks(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, exact in gathered(batches, BLOCK_COMPONENTS):
+            d = exact.shape[1]
+            order = np.argsort(ids, kind="stable")
+            ids, exact = ids[order], np.ascontiguousarray(exact[order], dtype="<i8")
+            _, at, place = np.unique(exact.view(f"V{8 * d}").ravel(), return_index=True, return_inverse=True)
+            distinct = exact[at]
+            group = np.argsort(place, kind="stable")
+            first = np.searchsorted(place[group], np.arange(len(at) + 1)).astype("<i8")
+            cells, low, high = approximate(distinct)
+            uri = write_arrays(root, [distinct, ids[group].astype("<i8"), first, low.astype("<i8"), high.astype("<i8"), cells])
+            yield pa.RecordBatch.from_pylist([{"uri": uri, "d": d, "n": len(ids), "u": len(at)}], pa.schema([("uri", pa.string()), ("d", pa.int32()), ("n", pa.int64()), ("u", pa.int64())]))
+
+    return run
+
+
+def _write_queries(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, exact in gathered(batches, QUERY_COMPONENTS):
+            uri = write_arrays(root, [ids.astype("<i8"), exact.astype("<i8")])
+            yield pa.RecordBatch.from_pylist([{"uri": uri, "d": exact.shape[1], "n": len(ids)}], pa.schema([("uri", pa.string()), ("d", pa.int32()), ("n", pa.int64())]))
+
+    return run
+
+
+class File:
+    """Arrays in a file of the shared folder, read where they are needed: mapped, or by reads at a place."""
+
+    def __init__(self, uri: str):
+        store, path = fs.FileSystem.from_uri(uri)
+        self.map = np.memmap(path, dtype=np.uint8, mode="r") if isinstance(store, fs.LocalFileSystem) else None
+        self.source = None if self.map is not None else store.open_input_file(path)
+
+    def read(self, offset: int, kind: str, *shape: int) -> np.ndarray:
+        size = int(np.prod(shape)) * np.dtype(kind).itemsize
+        octets = self.map[offset : offset + size] if self.map is not None else np.frombuffer(self.source.read_at(size, offset), dtype=np.uint8)
+        return octets.view(kind).reshape(shape)
+
+    def rows(self, places: np.ndarray, d: int) -> np.ndarray:
+        """The vectors at these places of an array of vectors that starts the file."""
+        if self.map is not None:
+            return self.map[: len(self.map) // (8 * d) * 8 * d].view("<i8").reshape(-1, d)[places]
+        return np.concatenate([self.read(int(p) * 8 * d, "<i8", 1, d) for p in places]) if len(places) else np.empty((0, d), dtype="<i8")
+
+
+class Block:
+    """A block's approximations and ids; exact vectors stay in the file until they are read, `reads` of them so far."""
+
+    def __init__(self, uri: str, d: int, n: int, u: int):
+        self.file, self.d, self.u, self.reads = File(uri), d, u, 0
+        at = 8 * u * d
+        self.ids = np.array(self.file.read(at, "<i8", n))
+        self.first = np.array(self.file.read(at + 8 * n, "<i8", u + 1))
+        at += 8 * (n + u + 1)
+        low, high = self.file.read(at, "<i8", d, CELLS), self.file.read(at + 8 * d * CELLS, "<i8", d, CELLS)
+        cells = self.file.read(at + 16 * d * CELLS, "u1", u, d)
+        self.low, self.high = (ends[np.arange(d), cells].astype(np.float64) for ends in (low, high))
+        self.smallest = self.ids[self.first[:-1]]
+        self.reach = np.maximum(np.abs(self.low), np.abs(self.high)).max(axis=0)
+
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lower and upper bounds of the inner products, a row for each query, and what no product of it can be above.
+
+        Sums below 2**52 are exact; larger ones get what rounding may have cost.
+        """
+        positive, negative = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
+        lower, upper = positive @ self.low.T + negative @ self.high.T, positive @ self.high.T + negative @ self.low.T
+        reach = (positive - negative) @ self.reach
+        slack = np.where(reach < 2.0**52, 0.0, reach * (4 * self.d + 8) * 2.0**-52)[:, None]
+        return np.clip(lower - slack, -(2.0**63), 2.0**63), np.clip(upper + slack, -(2.0**63), 2.0**63), reach
+
+    def read(self, places: np.ndarray, query: np.ndarray, reach: float) -> np.ndarray:
+        """Exact scores of the vectors at these places."""
+        self.reads += len(places)
+        exact = self.file.rows(places, self.d)
+        if reach < 2.0**62:
+            return exact @ query
+        return np.array([min(max(s, LONG.min), LONG.max) for s in exact.astype(object) @ query.astype(object)], dtype=np.int64)
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
+        """(query id, vector id, score) of each query's k best, or all if there are fewer."""
+        step = max(1, BOUNDS // self.u)
+        for start in range(0, len(queries), step):
+            part = queries[start : start + step]
+            for own, query, lower, upper, reach in zip(query_ids[start : start + step].tolist(), part, *self.bounds(part)):
+                yield from ((own, i, s) for s, i in self._best(own, query, lower, upper, float(reach), k))
+
+    def _best(self, own: int, query: np.ndarray, lower: np.ndarray, upper: np.ndarray, reach: float, k: int) -> list[tuple[int, int]]:
+        for g in np.searchsorted(self.first, np.flatnonzero(self.ids == own), side="right") - 1:
+            lower[g] = -np.inf  # entries that hold the query's own id vouch for nothing
+            if (self.ids[self.first[g] : self.first[g + 1]] == own).all():
+                upper[g] = -np.inf
+        alive = upper > -np.inf
+        if self.u > k:
+            least = np.partition(lower, self.u - k)[self.u - k]
+            sure = np.flatnonzero(lower >= least)
+            last = self.smallest[sure[np.lexsort((self.smallest[sure], -lower[sure]))[k - 1]]]
+            alive &= (upper > least) | ((upper == least) & (self.smallest <= last)) | (least == -np.inf)
+        left = np.flatnonzero(alive)
+        left = left[np.lexsort((self.smallest[left], -upper[left]))]
+        best: list[tuple[int, int]] = []
+        for start in range(0, len(left), READ_STEP):
+            places = left[start : start + READ_STEP]
+            if len(best) == k and upper[places[0]] < best[-1][0]:
+                break
+            for g, s in zip(places.tolist(), self.read(places, query, reach).tolist()):
+                if len(best) < k or s >= best[-1][0]:
+                    some = self.ids[self.first[g] : min(self.first[g] + k, self.first[g + 1])]
+                    if own in some:
+                        some = self.ids[self.first[g] : self.first[g + 1]]
+                        some = some[some != own][:k]
+                    best = sorted([*best, *((s, i) for i in some.tolist())], key=lambda x: (-x[0], x[1]))[:k]
+        return best
+
+
+def _search(files: list[tuple[str, int, int]], k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = Block(**row)
+                for uri, d, n in files:
+                    if d != block.d:
+                        continue
+                    queries = File(uri)
+                    step = max(1, QUERY_COMPONENTS // 16 // d)
+                    for start in range(0, n, step):
+                        m = min(step, n - start)
+                        found = list(block.search(queries.read(8 * start, "<i8", m), queries.read(8 * (n + start * d), "<i8", m, d), k))
+                        columns = list(zip(*found)) or [()] * 3
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     return run
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best for each row whose vec_id is divisible by `every`."""
-    rows = integer_vectors(vectors)
-    n, asked = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0)).first()
-    blocks, parts = max(1, math.ceil(n / BLOCK_VECTORS)), max(1, math.ceil(asked / BLOCK_QUERIES))
-    place = F.xxhash64("vec_id")
-    all_blocks, all_parts = F.sequence(F.lit(0), F.lit(blocks - 1)), F.sequence(F.lit(0), F.lit(parts - 1))
-    queries = rows.filter(F.col("vec_id") % every == 0).withColumns({"part": F.pmod(place, F.lit(parts)).cast("int"), "block": F.explode(all_blocks)})
-    held = rows.withColumns({"block": F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"), "part": F.explode(all_parts)})
-    met = queries.groupBy("block", "part").cogroup(held.groupBy("block", "part")).applyInPandas(_meet(k), "query_id bigint, vec_id bigint, score bigint")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    spark = vectors.sparkSession
+    text_session(spark)
+    rows = integer_vectors(spread(vectors))
+    with Scratch(spark) as scratch:
+        blocks = scratch.keep(rows.mapInArrow(_write_blocks(scratch.path("vector-approximations")), "uri string, d int, n bigint, u bigint"), "blocks")
+        asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+        files = asked.mapInArrow(_write_queries(scratch.path("queries")), "uri string, d int, n bigint").collect()  # a row for each file of queries
+        found = blocks.repartition(max(1, blocks.count())).mapInArrow(_search([tuple(f) for f in files], k), "query_id bigint, vec_id bigint, score bigint")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+        return keep(found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "top-k")
 
 
 def op8_exact_top_k(spark, sf_dir: str) -> DataFrame:
