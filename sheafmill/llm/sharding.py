@@ -6,8 +6,10 @@ shard, never for a document, and is solved on the driver.
 
 Documents of an old shard are put in a row, larger size classes first, and cut into blocks by the flow: the block that
 stays comes first, so what moves is small documents and a cut is off by at most half of one. Their
-offsets are prefix sums in two levels, of buckets (old shard, size class, salt) and within a bucket; the number of salts
-grows with the rows, so no task holds a shard, a source or a group of equal texts. Slots are numbered the same way.
+offsets are prefix sums in two levels, of buckets (old shard, size class, salt) and within a bucket. Each old shard and size class has as many salts as
+its own rows need, and a salt comes from a number that every row is given when it is written, so no task holds a shard, a
+source, a group of equal texts or the copies of one row. Slots are numbered the same way. What goes to the driver is a row for
+each old shard and size class.
 
 The law is `bytes`: new shards' sizes are as near to equal (or to given capacities) as whole documents allow.
 
@@ -30,10 +32,11 @@ from sheafmill.llm.common import documents, keep
 ROW_BYTES = 16
 OLD_SHARDS = 32
 NEW_SHARDS = 40
-#: Rows for which there is one salt, and the least number of salts.
+#: Rows of a bucket: at most ROWS_OF_A_SALT or so, in smaller inputs a share of all rows.
 ROWS_OF_A_SALT = 50_000
-LEAST_SALTS = 4
-OWN = ["_old", "_size", "_crc", "_class", "_salt", "_shard", "_slot"]
+FEWEST_ROWS_OF_A_SALT = 64
+SHARE_OF_A_SALT = 2048
+OWN = ["_old", "_size", "_crc", "_class", "_row", "_salts", "_salt", "_shard", "_slot"]
 
 
 def solve(sizes: list[int], capacities: list[int], cost=None) -> dict[tuple[int, int], int]:
@@ -122,21 +125,22 @@ def measured(docs: DataFrame) -> DataFrame:
 def reshard(rows: DataFrame, old_shards: int, new_shards: int, capacities: list[int] | None = None) -> DataFrame:
     """rows (with _old, _size and _crc) with their new _shard and _slot."""
     spark = rows.sparkSession
-    n = rows.count()
-    salts = max(LEAST_SALTS, math.ceil(n / ROWS_OF_A_SALT))
-    identity = [F.col(c) for c in ("doc_id", "_crc")]
-    rows = rows.withColumns({"_class": -F.floor(F.log2("_size") * 4).cast("int"), "_salt": F.pmod(F.xxhash64(*identity), F.lit(salts)).cast("int")})
+    rows = keep(rows.withColumns({"_class": -F.floor(F.log2("_size") * 4).cast("int"), "_row": F.monotonically_increasing_id()}), "measured")
+    classes = rows.groupBy("_old", "_class").agg(F.count("*").alias("n"), F.sum("_size").alias("bytes")).collect()  # a row for each old shard and size class
+    of_a_salt = min(ROWS_OF_A_SALT, max(FEWEST_ROWS_OF_A_SALT, sum(r["n"] for r in classes) // SHARE_OF_A_SALT))
+    salts = spark.createDataFrame([(r["_old"], r["_class"], -(-r["n"] // of_a_salt)) for r in classes], "_old int, _class int, _salts long")
+    rows = rows.join(F.broadcast(salts), ["_old", "_class"]).withColumn("_salt", F.pmod(F.xxhash64("_row"), "_salts")).drop("_salts")
     bucket = ["_old", "_class", "_salt"]
-    sizes = keep(rows.groupBy(*bucket).agg(F.sum("_size").alias("_bytes")), "bucket-sizes")
+    sizes = rows.groupBy(*bucket).agg(F.sum("_size").alias("_bytes"))
     stored = [0] * old_shards
-    for r in sizes.groupBy("_old").agg(F.sum("_bytes").alias("n")).collect():  # a row for each old shard
-        stored[r["_old"]] = r["n"]
+    for r in classes:
+        stored[r["_old"]] += r["bytes"]
     flow = solve(stored, capacities or even(sum(stored), new_shards))
     plan = [(i, *parts) for i, parts in cuts(flow).items()]
     plan = spark.createDataFrame(plan, "_old int, _ends array<long>, _to array<int>")
     before = Window.partitionBy("_old").orderBy("_class", "_salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*bucket, F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*bucket).orderBy(F.col("_size").desc(), "doc_id", "_crc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy(*bucket).orderBy(F.col("_size").desc(), "doc_id", "_crc", "_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = F.col("_start") + F.sum("_size").over(within) - F.ceil(F.col("_size") / 2)
     placed = rows.join(starts, bucket).withColumn("_at", middle).join(F.broadcast(plan), "_old")  # plan: at most old + new shards blocks
     shard = F.expr("_to[least(size(filter(_ends, e -> e <= _at)), size(_ends) - 1)]")
@@ -145,8 +149,8 @@ def reshard(rows: DataFrame, old_shards: int, new_shards: int, capacities: list[
     counts = placed.groupBy(*piece).agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_shard").orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select(*piece, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    number = F.row_number().over(Window.partitionBy(*piece).orderBy(F.col("_size").desc(), "doc_id", "_crc"))
-    return placed.join(firsts, piece).withColumn("_slot", F.col("_first") + number - 1).drop("_first", "_class", "_salt")
+    number = F.row_number().over(Window.partitionBy(*piece).orderBy(F.col("_size").desc(), "doc_id", "_crc", "_row"))
+    return placed.join(firsts, piece).withColumn("_slot", F.col("_first") + number - 1).drop("_first", "_class", "_row", "_salt")
 
 
 def by_source(docs: DataFrame, shards: int = OLD_SHARDS) -> DataFrame:
@@ -171,8 +175,7 @@ def rewrite(docs: DataFrame, path: str, old_shards: int = OLD_SHARDS, new_shards
 
 def op4_min_cost_reshard(spark, sf_dir: str) -> DataFrame:
     docs = by_source(documents(spark, sf_dir).select("doc_id", "text", "source"))
-    rows = keep(measured(docs).select("doc_id", "_old", "_size", "_crc"), "measured")
-    placed = reshard(rows, OLD_SHARDS, NEW_SHARDS)
+    placed = reshard(measured(docs).select("doc_id", "_old", "_size", "_crc"), OLD_SHARDS, NEW_SHARDS)
     return placed.select(
         "doc_id", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("bytes").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("_old").alias("old_shard")
     )

@@ -68,6 +68,27 @@ def test_query_laws(spark, tmp_path):
     assert moved <= least * 1.02
 
 
+def test_copies_of_one_row_are_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(s, "FEWEST_ROWS_OF_A_SALT", 10)
+    buckets, keep = [], s.keep
+
+    def kept(df, name):
+        out = keep(df, name)
+        if name == "placed":
+            buckets.extend(r["count"] for r in out.groupBy("_old", "_class", "_salt").count().collect())
+        return out
+
+    monkeypatch.setattr(s, "keep", kept)
+    rows = [(5, "one text", "src")] * 2000 + [(i, "other" * (i % 7), f"src{i % 3}") for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = rows_of(spark, str(tmp_path))
+    assert len(got) == len(rows) and max(buckets) < 40
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def test_empty_and_rewrite(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
     assert rows_of(spark, str(tmp_path)) == []
