@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafmill.functions.scalars import terms
+from sheafmill.session import keep
 
 FACET_SIZE = 10
 TOP_K = 5
@@ -81,14 +82,17 @@ def facet(docs: DataFrame, field: str, size: int = FACET_SIZE) -> DataFrame:
 
 
 def bm25(docs: DataFrame, key: str, text: str, query: list[str]) -> DataFrame:
-    """(key, score) of the documents with a term of the query. Document frequencies and lengths are over all documents."""
+    """(key, score) of the documents with a term of the query. Document frequencies and lengths are over all documents.
+
+    Texts are read and cut into terms once; their counts, a few numbers a document, are written and read twice.
+    """
     query = sorted({q.lower() for q in query})
 
-    def times(q: str) -> Column:
-        return F.size(F.filter("_terms", lambda t: t == q))
+    def counts(words: Column) -> Column:
+        return F.struct(F.size(words).alias("_length"), *(F.size(F.filter(words, lambda t: t == q)).alias(f"_tf{i}") for i, q in enumerate(query)))
 
-    tokens = docs.select(key, terms(F.col(text)).alias("_terms"))
-    counted = tokens.select(key, F.size("_terms").alias("_length"), *(times(q).alias(f"_tf{i}") for i, q in enumerate(query)))
+    one = F.transform(F.array(terms(F.col(text))), counts)  # a lambda's variable is worked out once, a column that is used often may be inlined
+    counted = keep(docs.select(key, F.inline(one)), "term-counts")
     whole = counted.agg(F.count("*").alias("_n"), F.avg("_length").alias("_mean"), *(F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(query))))
     rows = counted.filter(reduce(lambda a, b: a | b, (F.col(f"_tf{i}") > 0 for i in range(len(query))))).join(F.broadcast(whole))  # one row
 
