@@ -11,8 +11,11 @@ smallest hash values: an item of n <= u shingles that is contained in a document
 shingles there, so at least one value of its sketch is among the document's. No contained item is lost, however long the
 document. Candidates are verified by exact shingle containment on the words themselves.
 
-The sketches are broadcast in blocks of items of at most ITEM_BLOCK_SHINGLES shingles, each block with its own pass over the documents, so that no broadcast
-grows with the benchmark.
+What departs from a size-partitioned ensemble over documents is this side: items are partitioned and sketched, documents probe.
+
+Sketches are built by tasks over the items and written into the shared folder, a file for each block of about ITEM_BLOCK_WORDS words: sorted hash
+values with their items, and the items' texts. The documents are read once, whatever the number of blocks; workers map the files, so memory does not grow
+with the benchmark. The driver holds a row for each file. A task that is lost writes another file, and only files of tasks that succeeded are listed.
 
 Defined cases: a null text is the empty text; repeated documents and repeated items each get their own rows; null ids are carried;
 an empty table on either side gives an empty result; other columns are not read.
@@ -30,12 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafmill.llm.common import documents, text_session, texts
+from sheafmill.llm.common import documents, shared_path, text_session, texts
+from sheafmill.llm.files import File, write_arrays
 
 WIDTH = 5
 LEAST = 0.8
-#: Shingles of the items whose sketches are broadcast together (some 50 MB with their words).
-ITEM_BLOCK_SHINGLES = 200_000
+#: Words of the items whose sketches are in one file, and shingles of items that a worker remembers.
+ITEM_BLOCK_WORDS = 1_000_000
+REMEMBERED_SHINGLES = 200_000
 #: Word hashes remembered by a worker.
 REMEMBERED = 100_000
 #: Words hashed at once.
@@ -85,56 +90,129 @@ def shingle_hashes(words: list, width: int, hash_of: dict = _hash_of) -> np.ndar
     return out
 
 
-class Sketches:
-    """The sketches of a block of items: for each shingle width sorted hash values and the items that have them."""
-
-    def __init__(self, items: list[tuple]):
-        """items: (id, text) each."""
-        self.items = []
-        by_width: dict[int, list[tuple[int, int]]] = {}
-        for item_id, text in items:
-            shingles = item_shingles(text)
-            if not shingles:
-                continue
-            width = len(next(iter(shingles)))
-            upper = 1 << (len(shingles) - 1).bit_length()  # the largest count of its partition
-            k = upper - needed(upper) + 1
-            values = sorted(int(shingle_hashes(list(s), width)[0]) for s in shingles)[:k]
-            by_width.setdefault(width, []).extend((v, len(self.items)) for v in values)
-            self.items.append((item_id, width, shingles))
-        self.index = {}
-        for width, entries in by_width.items():
-            entries.sort()
-            self.index[width] = (np.array([v for v, _ in entries], dtype=np.uint64), np.array([i for _, i in entries]))
-
-    def search(self, text: str) -> Iterator[tuple]:
-        """(item id, the item's shingles, shared) of each item that is contained in the text."""
+def sketch_arrays(items: list[tuple]) -> tuple[list[np.ndarray], list[int], int]:
+    """(arrays, values of each width, items) of a block of items, (id, text) each: sorted hash values and owners by width, then ids, whether they are null, ends of texts, texts."""
+    values, owners, kept = [[] for _ in range(WIDTH)], [[] for _ in range(WIDTH)], []
+    for item_id, text in items:
         words = words_of(text)
-        for width, (values, owners) in self.index.items():
-            candidates: set[int] = set()
-            for start in range(0, len(words) - width + 1, BLOCK):
-                hashes = shingle_hashes(words[start : start + BLOCK + width - 1], width)
-                at = np.searchsorted(values, hashes)
-                at[at == len(values)] = 0
-                hit = np.unique(hashes[values[at] == hashes])
-                for a, b in zip(np.searchsorted(values, hit, "left"), np.searchsorted(values, hit, "right")):
-                    candidates.update(owners[a:b].tolist())
-            if candidates:
-                own = set(zip(*(words[j:] for j in range(width))))
-                for i in sorted(candidates):
-                    item_id, _, shingles = self.items[i]
-                    shared = len(shingles & own)
-                    if shared >= needed(len(shingles)):
-                        yield item_id, len(shingles), shared
-
-
-def _searcher(sketches):
+        if not words:
+            continue
+        width = min(WIDTH, len(words))
+        shingles = item_shingles(text)
+        upper = 1 << (len(shingles) - 1).bit_length()  # the largest count of its partition
+        k = upper - needed(upper) + 1
+        sketch = np.sort(np.concatenate([shingle_hashes(list(s), width) for s in shingles]))[:k]
+        values[width - 1].append(sketch)
+        owners[width - 1].append(np.full(len(sketch), len(kept), dtype=np.int64))
+        kept.append((item_id, text.encode("utf-8", "surrogatepass")))
+    arrays, sizes = [], []
+    for v, o in zip(values, owners):
+        v, o = (np.concatenate(x) if x else np.empty(0, dtype=t) for x, t in ((v, np.uint64), (o, np.int64)))
+        order = np.argsort(v, kind="stable")
+        arrays += [v[order].astype("<u8"), o[order].astype("<i8")]
+        sizes.append(len(v))
+    ids = np.array([i or 0 for i, _ in kept], dtype="<i8")
+    null = np.array([i is None for i, _ in kept], dtype="<i8")
+    ends = np.cumsum([0, *(len(t) for _, t in kept)]).astype("<i8")
+    return [*arrays, ids, null, ends, np.frombuffer(b"".join(t for _, t in kept), dtype=np.uint8)], sizes, len(kept)
+
+
+class Sketches:
+    """A file of sketches: for each shingle width sorted hash values and the items that have them; items are read when they are candidates."""
+
+    def __init__(self, uri: str, sizes: list[int], n: int):
+        self.file, self.index, at = File(uri), {}, 0
+        for width, size in enumerate(sizes, 1):
+            if size:
+                self.index[width] = (self.file.read(at, "<u8", size), self.file.read(at + 8 * size, "<i8", size))
+            at += 16 * size
+        self.ids, self.null, self.ends = (self.file.read(at + 8 * k * n, "<i8", n + (k == 2)) for k in range(3))
+        self.texts = at + 8 * (3 * n + 1)
+        self.known: dict[int, set] = {}
+        self.size = 0
+
+    def probe(self, width: int, hashes: np.ndarray) -> set[int]:
+        """The items of this width with one of the hash values."""
+        found: set[int] = set()
+        if width in self.index:
+            values, owners = self.index[width]
+            at = np.searchsorted(values, hashes)
+            at[at == len(values)] = 0
+            hit = np.unique(hashes[values[at] == hashes])
+            for a, b in zip(np.searchsorted(values, hit, "left"), np.searchsorted(values, hit, "right")):
+                found.update(owners[a:b].tolist())
+        return found
+
+    def item(self, i: int) -> int | None:
+        return None if self.null[i] else int(self.ids[i])
+
+    def shingles(self, i: int) -> set[tuple[str, ...]]:
+        if i not in self.known:
+            if self.size > REMEMBERED_SHINGLES:
+                self.known, self.size = {}, 0
+            text = self.file.read(self.texts + int(self.ends[i]), "u1", int(self.ends[i + 1] - self.ends[i]))
+            self.known[i] = item_shingles(text.tobytes().decode("utf-8", "surrogatepass"))
+            self.size += len(self.known[i])
+        return self.known[i]
+
+
+def search(every: list[Sketches], text: str) -> Iterator[tuple]:
+    """(item id, the item's shingles, shared) of each item that is contained in the text."""
+    words = words_of(text)
+    for width in sorted(set().union(*(s.index for s in every))):
+        candidates: set[tuple[int, int]] = set()
+        for start in range(0, len(words) - width + 1, BLOCK):
+            hashes = shingle_hashes(words[start : start + BLOCK + width - 1], width)
+            for b, sketches in enumerate(every):
+                candidates.update((b, i) for i in sketches.probe(width, hashes))
+        if candidates:
+            asked = {(b, i): every[b].shingles(i) for b, i in sorted(candidates)}
+            own = set().union(*asked.values()).intersection(zip(*(words[j:] for j in range(width))))
+            for (b, i), shingles in asked.items():
+                shared = len(shingles & own)
+                if shared >= needed(len(shingles)):
+                    yield every[b].item(i), len(shingles), shared
+
+
+def _write_sketches(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def written():
+            arrays, sizes, n = sketch_arrays(held)
+            schema = pa.schema([("uri", pa.string()), ("sizes", pa.list_(pa.int64())), ("n", pa.int64())])
+            return pa.RecordBatch.from_pylist([{"uri": write_arrays(root, arrays), "sizes": sizes, "n": n}] if n else [], schema)
+
+        for batch in batches:
+            for item_id, text in zip(batch.column(0).to_pylist(), texts(batch)):
+                held.append((item_id, text))
+                size += len(words_of(text))
+                if size >= ITEM_BLOCK_WORDS:
+                    yield written()
+                    held, size = [], 0
+        if held:
+            yield written()
+
+    return run
+
+
+def write_sketches(items: DataFrame) -> list[tuple]:
+    """Write the sketches of all items; (file, values of each width, items) of each file."""
+    spark = items.sparkSession
+    text_session(spark)
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    words = items.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\W+")))).first()[0] or 0
+    files = items.repartition(math.ceil((words + 1) / ITEM_BLOCK_WORDS)).mapInArrow(_write_sketches(shared_path(spark, "sketches")), "uri string, sizes array<bigint>, n bigint")
+    return [tuple(r) for r in files.collect()]  # a row for each ITEM_BLOCK_WORDS words
+
+
+def _searcher(files: list[tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sketches.value
+        every = [Sketches(*f) for f in files]
         for batch in batches:
             doc, rows = [], []
             for k, text in enumerate(texts(batch)):
-                for row in own.search(text):
+                for row in search(every, text):
                     doc.append(k)
                     rows.append(row)
             ids = batch.column(0).take(pa.array(doc, pa.int64()))
@@ -145,41 +223,19 @@ def _searcher(sketches):
     return run
 
 
-def item_blocks(items: DataFrame) -> Iterator[list[tuple]]:
-    """(item_id, text) of all items in blocks of at most ITEM_BLOCK_SHINGLES words (or one item)."""
-    block, size = [], 0
-    for row in items.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        n = max(1, len(words_of(row["text"])))
-        if block and size + n > ITEM_BLOCK_SHINGLES:
-            yield block
-            block, size = [], 0
-        block.append((row["item_id"], row["text"]))
-        size += n
-    if block:
-        yield block
-
-
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_shingles, shared, containment) of each document and item that it contains."""
-    spark = docs.sparkSession
-    text_session(spark)
+    text_session(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id bigint, n_shingles bigint, shared bigint"
-    found = None
-    for block in item_blocks(items):
-        sketches = spark.sparkContext.broadcast(Sketches(block))
-        one = docs.select("doc_id", "text").mapInArrow(_searcher(sketches), schema)
-        found = one if found is None else found.unionByName(one)
-    if found is None:
-        found = spark.createDataFrame([], schema)
+    found = docs.select("doc_id", "text").mapInArrow(_searcher(write_sketches(items)), f"doc_id {kind}, item_id bigint, n_shingles bigint, shared bigint")
     return found.withColumn("containment", F.col("shared") / F.col("n_shingles"))
 
 
-def _clean_rows(sketches):
+def _clean_rows(files: list[tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sketches.value
+        every = [Sketches(*f) for f in files]
         for batch in batches:
-            stay = [next(own.search(text), None) is None for text in texts(batch)]
+            stay = [next(search(every, text), None) is None for text in texts(batch)]
             yield batch.filter(pa.array(stay, pa.bool_()))
         _hash_of.clear()
 
@@ -188,11 +244,8 @@ def _clean_rows(sketches):
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that contain no item."""
-    spark = docs.sparkSession
-    text_session(spark)
-    for block in item_blocks(items):
-        docs = docs.mapInArrow(_clean_rows(spark.sparkContext.broadcast(Sketches(block))), docs.schema)
-    return docs
+    text_session(docs.sparkSession)
+    return docs.mapInArrow(_clean_rows(write_sketches(items)), docs.schema)
 
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -28,9 +28,7 @@ score and base score is 0; an empty table gives an empty result; other columns a
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafmill.llm.common import documents, fold_remainder, keep, shared_path, text_session, texts
+from sheafmill.llm.files import write_arrays
 
 FOLDS, HELD_OUT = 7, 2
 #: The end token's hash stands for no word: words are not empty, and this is the hash of nothing.
@@ -95,17 +94,6 @@ def merged(blocks: list[bytes], columns: int) -> list[np.ndarray]:
 # Files in the shared folder.
 
 
-def write_arrays(root: str, arrays: list[np.ndarray]) -> str:
-    """Write arrays one after another; returns the file's URI."""
-    uri = f"{root}/{uuid.uuid4().hex}"
-    store, path = fs.FileSystem.from_uri(uri)
-    store.create_dir(os.path.dirname(path), recursive=True)
-    with store.open_output_stream(path) as out:
-        for a in arrays:
-            out.write(np.ascontiguousarray(a).tobytes())
-    return uri
-
-
 @lru_cache(maxsize=4096)
 def mapped(uri: str) -> np.ndarray:
     """A file's bytes, memory-mapped."""

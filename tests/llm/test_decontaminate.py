@@ -48,7 +48,8 @@ def test_like_brute_force(spark, monkeypatch):
     want = plain(docs, items)
     assert len(want) > 50
     assert run(spark, docs, items) == want
-    monkeypatch.setattr(d, "ITEM_BLOCK_SHINGLES", 150)
+    monkeypatch.setattr(d, "ITEM_BLOCK_WORDS", 150)
+    monkeypatch.setattr(d, "REMEMBERED_SHINGLES", 10)
     monkeypatch.setattr(d, "BLOCK", 64)
     assert run(spark, docs, items) == want
 
