@@ -29,8 +29,8 @@ def matches_all(words: Column, query: str) -> Column:
 
 
 def words_of(texts: Column) -> Column:
-    """The terms of an array of texts."""
-    return F.flatten(F.transform(texts, terms))
+    """The terms of an array of texts; null texts have none."""
+    return F.flatten(F.transform(texts, lambda t: F.coalesce(terms(t), F.array().cast("array<string>"))))
 
 
 def query_string(docs: DataFrame, field: str, query: str) -> DataFrame:
@@ -81,8 +81,8 @@ def facet(docs: DataFrame, field: str, size: int = FACET_SIZE) -> DataFrame:
     return counts.orderBy(F.col("doc_count").desc(), "key").limit(size)
 
 
-def bm25(docs: DataFrame, key: str, text: str, query: list[str]) -> DataFrame:
-    """(key, score) of the documents with a term of the query. Document frequencies and lengths are over all documents.
+def bm25(docs: DataFrame, key: str, text: str, query: list[str], every: bool = False) -> DataFrame:
+    """(key, score) of the documents with a term of the query, or, with `every`, with all of them. Document frequencies and lengths are over all documents. text: a text or an array of texts.
 
     Texts are read and cut into terms once; their counts, a few numbers a document, are written and read twice.
     """
@@ -91,10 +91,11 @@ def bm25(docs: DataFrame, key: str, text: str, query: list[str]) -> DataFrame:
     def counts(words: Column) -> Column:
         return F.struct(F.size(words).alias("_length"), *(F.size(F.filter(words, lambda t: t == q)).alias(f"_tf{i}") for i, q in enumerate(query)))
 
-    one = F.transform(F.array(terms(F.col(text))), counts)  # a lambda's variable is worked out once, a column that is used often may be inlined
+    words = words_of(F.col(text)) if docs.schema[text].dataType.typeName() == "array" else terms(F.col(text))
+    one = F.transform(F.array(words), counts)  # a lambda's variable is worked out once, a column that is used often may be inlined
     counted = keep(docs.select(key, F.inline(one)), "term-counts")
     whole = counted.agg(F.count("*").alias("_n"), F.avg("_length").alias("_mean"), *(F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(query))))
-    rows = counted.filter(reduce(lambda a, b: a | b, (F.col(f"_tf{i}") > 0 for i in range(len(query))))).join(F.broadcast(whole))  # one row
+    rows = counted.filter(reduce(lambda a, b: a & b if every else a | b, (F.col(f"_tf{i}") > 0 for i in range(len(query))))).join(F.broadcast(whole))  # one row
 
     def part(i: int) -> Column:
         tf, df = F.col(f"_tf{i}"), F.col(f"_df{i}")

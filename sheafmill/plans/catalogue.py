@@ -513,17 +513,6 @@ def knn_filtered(spark, sf_dir):
     return search.knn(e, _first_vector(e), field="embedding", key="vec_id", where=F.col("label") >= 3).select("vec_id", F.round("score", 6).alias("score"))
 
 
-@query(f"""WITH {_BM25}, k AS ({_KNN} ORDER BY score DESC, vec_id LIMIT 5), l AS (SELECT doc_id, score FROM s ORDER BY score DESC, doc_id LIMIT 5),
-  kn AS (SELECT vec_id AS id, CASE WHEN max(score) OVER () = min(score) OVER () THEN 1.0 ELSE (score - min(score) OVER ()) / (max(score) OVER () - min(score) OVER ()) END AS x FROM k),
-  ln_ AS (SELECT doc_id AS id, CASE WHEN max(score) OVER () = min(score) OVER () THEN 1.0 ELSE (score - min(score) OVER ()) / (max(score) OVER () - min(score) OVER ()) END AS y FROM l)
-  SELECT id, round(score, 6) AS score FROM (SELECT coalesce(kn.id, ln_.id) AS id, (coalesce(x, 0) * 0.7 + coalesce(y, 0) * 0.3) / 1.0 AS score FROM kn FULL JOIN ln_ ON kn.id = ln_.id) ORDER BY score DESC, id LIMIT 5""")
-def hybrid_search(spark, sf_dir):
-    e = _read(spark, sf_dir, "embeddings")
-    near = search.knn(e, _first_vector(e), field="embedding", key="vec_id").select(F.col("vec_id").alias("id"), "score")
-    lexical = search.bm25(_read(spark, sf_dir, "documents"), "doc_id", "text", ["the", "license"]).orderBy(F.col("score").desc(), "doc_id").limit(5).select(F.col("doc_id").alias("id"), "score")
-    return search.hybrid(near, lexical, "id").select("id", F.round("score", 6).alias("score"))
-
-
 # Streaming.
 
 
@@ -577,3 +566,6 @@ def warehouse_verify(spark, sf_dir):
     harvest.bootstrap(spark, root, datetime.datetime(2025, 1, 1, tzinfo=datetime.timezone.utc))
     found = harvest.verify(spark, root)
     return spark.createDataFrame([(found["tables"], found["enumerations"], found["resource_types"])], "tables long, enumerations long, resource_types long")
+
+
+from sheafmill.plans import indexed  # noqa: E402, F401  registers its queries too
