@@ -1,4 +1,4 @@
-"""What an operator of the warehouse calls: configuration, runs, events, indexing. Each works on the snapshots under a root folder."""
+"""What an operator of the warehouse calls: configuration, runs, events, indexing. Each is a transaction on the tables under a root folder, so several may work at once."""
 
 from __future__ import annotations
 
@@ -9,23 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.operators import runs as ops
-from sheafmill.session import keep
-from sheafmill.sources.harvest import read_snapshot, write_snapshot
-from sheafmill.sources.tables import conform
+from sheafmill.plans import changes
+from sheafmill.session import keep, ship_package
+from sheafmill.sources.commits import Log
 from sheafmill.streaming.ingest import index_run
 
 
 class Warehouse:
-    """Snapshots of all tables under a root folder (made by sources.harvest.bootstrap)."""
+    """All tables under a root folder (made by sources.harvest.bootstrap)."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+        self.spark, self.root, self.log = spark, root, Log(spark, root)
+        ship_package(spark)
 
     def table(self, name: str) -> DataFrame:
-        return read_snapshot(self.spark, self.root, name)
-
-    def _write(self, df: DataFrame, name: str) -> None:
-        write_snapshot(df, self.root, name, uuid.uuid4().hex)
+        return self.log.state().read(name)
 
     def health(self) -> dict:
         return {"status": "ok", "time": datetime.datetime.now(datetime.timezone.utc)}
@@ -39,19 +37,14 @@ class Warehouse:
 
     def open_run(self, harvest_url: str) -> dict:
         """Open a run; returns its id, dates and the endpoint's configuration. Raises ValueError if there can be none."""
-        runs = self.table("harvest_runs")
         run_id, now = str(uuid.uuid4()), datetime.datetime.now(datetime.timezone.utc)
-        new = ops.open_run(runs, self.table("endpoints"), harvest_url, F.lit(run_id), F.lit(now))
-        self._write(runs.unionByName(new), "harvest_runs")
+        self.log.transact(lambda t: changes.open_run(t, harvest_url, F.lit(run_id), F.lit(now)))
         return ops.open_runs(self.table("harvest_runs").filter(F.col("id") == run_id), self.table("endpoints"), self.table("repositories")).first().asDict()
 
     def close_run(self, run_id: str, success: bool, started_at: datetime.datetime, completed_at: datetime.datetime) -> str:
         """Close a run; closing one that is not open changes nothing. Raises ValueError for an unknown run."""
-        runs = self.table("harvest_runs")
-        if runs.filter(F.col("id") == run_id).isEmpty():
-            raise ValueError(f"no run has the id {run_id}")
         request = self.spark.createDataFrame([(run_id, success, started_at, completed_at)], "id string, success boolean, started_at timestamp, completed_at timestamp")
-        self._write(ops.close_runs(runs, request), "harvest_runs")
+        self.log.transact(lambda t: changes.close_run(t, request))
         return run_id
 
     def register_events(self, requests: DataFrame) -> DataFrame:
@@ -59,11 +52,9 @@ class Warehouse:
 
         requests: record_identifier, datestamp, raw_metadata, additional_metadata, harvest_url, repo_code, harvest_run_id, is_deleted.
         """
-        events = self.table("harvest_events")
         key = F.sha2(F.concat_ws("|", "harvest_url", "harvest_run_id", "record_identifier", "raw_metadata"), 256)
-        judged = keep(ops.register_events(events, requests.withColumn("id", key), self.table("harvest_runs"), self.table("endpoints"), self.table("repositories")), "judged-requests")
-        new = judged.filter("reason IS NULL").withColumns({"metadata_format": F.lit("XML"), "metadata_protocol": F.lit("OAI-PMH")})
-        self._write(events.unionByName(conform(new, "harvest_events")), "harvest_events")
+        judge = lambda *tables: keep(ops.register_events(*tables), "judged-requests")
+        judged = self.log.transact(lambda t: changes.register_events(t, requests.withColumn("id", key), judge))
         return judged.select("id", "record_identifier", "reason")
 
     def start_index(self, run_id: str, index: str, batch_size: int = ops.BATCH_SIZE) -> int:
@@ -71,5 +62,5 @@ class Warehouse:
         scanned = ops.event_scan(self.table("harvest_events").filter(F.col("harvest_run_id") == run_id), self.table("harvest_runs"), self.table("endpoints"), self.table("repositories"))
         n = scanned.count()
         if n:
-            index_run(self.spark, self.root, index, scanned, uuid.uuid4().hex)
+            index_run(self.spark, self.root, index, scanned)
         return -(-n // batch_size)

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafmill.session import ship_package
+
 DIMENSIONS = 384
 EMBEDDER_BATCH = 250
 
@@ -38,6 +40,8 @@ def embed(docs: DataFrame, text: str, make: Callable[[], Callable[[list[str]], l
     Raises ValueError if the model returns another number of vectors than it got texts.
     """
 
+    ship_package(docs.sparkSession)
+
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = make()
         for texts in parts:

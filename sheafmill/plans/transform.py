@@ -35,7 +35,7 @@ def transform(events: DataFrame, now: Column, make_embedder=HashingEmbedder, mod
     gone = latest.filter("is_deleted").select(*KEY)
     # Written once: a filter on the status of a lazy frame would be pushed below the parsing and repeat it for each rule.
     checked = keep(validate(normalize(events.filter("NOT is_deleted"))), "checked-events")
-    results = checked.filter("status <> 'skipped'").select("id", "message")
+    results = checked.filter("status <> 'skipped'").select("id", "endpoint_id", "harvest_run_id", "record_identifier", "message")
     ok = checked.filter("status = 'ok'").join(latest.filter("NOT is_deleted").select("id"), "id", "left_semi")
     text = embedding_text(F.col("doc.titles"), F.col("doc.subjects"), F.col("doc.descriptions"))
     done = keep(embed(ok.withColumn("_text", text), "_text", make_embedder).drop("_text"), "embedded-events")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
 from pathlib import Path
@@ -12,18 +13,22 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPING = threading.Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give Python workers this package, once for each Spark context, so that no search path has to be set for them."""
     context = spark.sparkContext
-    if getattr(context, "_sheafmill_shipped", False):
-        return
-    here = Path(__file__).resolve().parent
-    archive = os.path.join(tempfile.mkdtemp(prefix="sheafmill-code-"), "sheafmill.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for path in sorted(here.rglob("*.py")):
-            out.write(path, str(Path(here.name) / path.relative_to(here)))
-    context.addPyFile(archive)
-    context._sheafmill_shipped = True
+    with _SHIPPING:
+        if getattr(context, "_sheafmill_shipped", False):
+            return
+        here = Path(__file__).resolve().parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="sheafmill-code-"), "sheafmill.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(here.rglob("*.py")):
+                out.write(path, str(Path(here.name) / path.relative_to(here)))
+        context.addPyFile(archive)
+        context._sheafmill_shipped = True
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.operators.xml import header, parse
+from sheafmill.sources.commits import Log, NoTable, Transaction
 from sheafmill.sources.tables import ENUMS, RESOURCE_TYPE, SCHEMAS, conform, empty_table, seed_endpoints, seed_repositories
 
 
@@ -45,79 +46,62 @@ def write_json(documents: DataFrame, path: str) -> None:
     documents.select(F.to_json("doc").alias("value")).write.text(path)
 
 
-_POINTER = "number long, name string, version string"
+#: Columns that say a row's bucket: what is changed or checked together lies together (all runs of an endpoint, all events of one unique key).
+BUCKET_KEYS = {"harvest_runs": ["endpoint_id"], "harvest_events": ["endpoint_id", "harvest_run_id", "record_identifier"], "records": ["endpoint_id", "record_identifier"]}
+#: Buckets of a table that grows. A bucket is one file for each change that it saw, so choose them for files of some hundred MB.
+BUCKETS = 16
 
 
-def _pointers(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(_POINTER).json(f"{root}/_current")
+def write_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame], version: str, buckets: int = BUCKETS) -> None:
+    """Write whole tables, in the place of those that may be there, all at once: one commit says all. A writer that dies leaves all of them as they were."""
 
+    def work(t: Transaction) -> None:
+        for name, df in tables.items():
+            old = t.state.tables.get(name)
+            keys = old.keys if old and set(old.keys) <= set(df.columns) else BUCKET_KEYS.get(name, df.columns[:1])
+            t.create(name, df, keys, old.buckets if old else buckets, version)
 
-def _missing(e: Exception) -> bool:
-    return "PATH_NOT_FOUND" in str(e)
+    Log(spark, root).transact(work)
 
 
-def write_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame], version: str) -> None:
-    """Write tables to new version folders, then point to all of them at once: one file says all. A version that is there already is replaced, so a repeated batch does no harm.
-
-    Pointers are numbered and added, never replaced: a writer that dies leaves all tables at the versions before. One writer at a time is assumed.
-    """
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}/version={version}")
-    try:
-        number = _pointers(spark, root).agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0] + 1
-    except AnalysisException as e:
-        if not _missing(e):
-            raise
-        number = 0
-    spark.createDataFrame([(number, name, version) for name in tables], _POINTER).coalesce(1).write.mode("append").json(f"{root}/_current")
-
-
-def write_snapshot(df: DataFrame, root: str, name: str, version: str) -> None:
-    write_snapshots(df.sparkSession, root, {name: df}, version)
+def write_snapshot(df: DataFrame, root: str, name: str, version: str, buckets: int = BUCKETS) -> None:
+    write_snapshots(df.sparkSession, root, {name: df}, version, buckets)
 
 
 def current_version(spark: SparkSession, root: str, name: str) -> str | None:
-    """The version of a table that is pointed to last; None for a table that was never written."""
-    try:
-        return _pointers(spark, root).filter(F.col("name") == name).agg(F.max_by("version", "number")).first()[0]
-    except AnalysisException as e:
-        if not _missing(e):
-            raise
-        return None
+    """What the last writer of a table called its version; None for a table that was never written."""
+    found = Log(spark, root).state().tables.get(name)
+    return found.mark if found else None
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The version of a table that is pointed to last; of one that was never written, the error of a path that is not there."""
-    return spark.read.parquet(f"{root}/{name}/version={current_version(spark, root, name)}")
+    """The current state of a table; raises NoTable for one that was never written."""
+    return Log(spark, root).state().read(name)
 
 
-def bootstrap(spark: SparkSession, root: str, now: datetime.datetime) -> None:
-    """A new warehouse: all tables empty and typed, then the seed rows."""
+def bootstrap(spark: SparkSession, root: str, now: datetime.datetime, buckets: int = BUCKETS) -> None:
+    """A new warehouse: all tables empty and typed, and the seed rows. Repositories and endpoints have one bucket, the others `buckets`."""
     repositories = seed_repositories(spark, now)
     seeds = {"repositories": repositories, "endpoints": seed_endpoints(spark, repositories, now)}
-    for name in SCHEMAS:
-        write_snapshot(conform(seeds.get(name, empty_table(spark, name)), name), root, name, "0")
+    Log(spark, root).transact(lambda t: [t.create(n, conform(seeds.get(n, empty_table(spark, n)), n), BUCKET_KEYS.get(n, ["id"]), 1 if n in seeds else buckets, "0") for n in SCHEMAS])
 
 
 def verify(spark: SparkSession, root: str) -> dict[str, int]:
     """How many tables can be read, and how many enumerations there are."""
     tables = 0
     for name in SCHEMAS:
-        try:
+        with contextlib.suppress(NoTable):  # counted as missing
             tables += set(read_snapshot(spark, root, name).columns) == set(SCHEMAS[name].fieldNames())
-        except Exception as e:  # a table that is missing is counted as missing
-            if not _missing(e):
-                raise
     enumerations = {tuple(values) for columns in ENUMS.values() for values in columns.values()}
     return {"tables": tables, "enumerations": len(enumerations), "resource_types": len(RESOURCE_TYPE)}
 
 
-def create_index(spark: SparkSession, root: str, name: str, dimensions: int) -> None:
+def create_index(spark: SparkSession, root: str, name: str, dimensions: int, buckets: int = BUCKETS) -> None:
     """Drop a search index if it is there, and create it empty."""
     from sheafmill.operators.xml import DOCUMENT_SCHEMA
 
     schema = f"id string, doc {DOCUMENT_SCHEMA}, emb array<double>, _additional_metadata string, _repo string, _harvest_url string"
-    write_snapshot(spark.createDataFrame([], schema).withMetadata("emb", {"dimension": dimensions}), root, name, "0")
+    write_snapshot(spark.createDataFrame([], schema).withMetadata("emb", {"dimension": dimensions}), root, name, "0", buckets)
 
 
 def write_report(text: str, folder: str, now: datetime.datetime) -> str:

@@ -11,8 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sheafmill.operators.merge import last_of_key
-from sheafmill.plans.transform import apply_to_events, apply_to_index, apply_to_records, transform
-from sheafmill.sources.harvest import current_version, read_snapshot, write_snapshot, write_snapshots
+from sheafmill.plans.changes import apply_change
+from sheafmill.plans.transform import transform
+from sheafmill.sources.commits import Log, Transaction
+from sheafmill.sources.harvest import BUCKETS
 
 #: The partition column of the changes of micro-batches.
 BATCH = "change_batch"
@@ -26,7 +28,7 @@ def run_batches(source: DataFrame, handle: Callable[[DataFrame, int], None], che
 
 
 def stream_upsert(spark: SparkSession, folder: str, pattern: str, schema, root: str, name: str, keys: list[str], order: list[Column], checkpoint: str, files: int = 8) -> DataFrame:
-    """Upsert a stream of parquet files (those in a folder whose names match the pattern) into a snapshot table and return the table.
+    """Upsert a stream of parquet files (those in a folder whose names match the pattern) into a table and return it.
 
     Of all rows of a key the first in `order` stays, whatever batch it comes in; of rows alike in it, one of the latest batch. A micro-batch writes its changes only;
     the table is merged with them once, when the stream has worked through what is there. A batch that is run again writes its changes again, so the result is the same.
@@ -38,26 +40,45 @@ def stream_upsert(spark: SparkSession, folder: str, pattern: str, schema, root:
         last_of_key(batch, keys, order).write.mode("overwrite").parquet(f"{changes}/{BATCH}={number}")
 
     run_batches(rows, handle, checkpoint)
-    merged = current_version(spark, root, name)
-    done = -1 if merged is None else int(merged)
-    try:
-        new = spark.read.schema(StructType([*rows.schema, StructField(BATCH, IntegerType())])).parquet(changes).filter(F.col(BATCH) > done)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        new = spark.createDataFrame([], rows.schema).withColumn(BATCH, F.lit(done + 1))
-    last = new.agg(F.max(BATCH)).first()[0]
-    if last is None and merged is not None:
-        return read_snapshot(spark, root, name)
-    if merged is not None:
-        new = new.unionByName(read_snapshot(spark, root, name).withColumn(BATCH, F.lit(done)))
-    write_snapshot(last_of_key(new, keys, [*order, F.col(BATCH).desc()]).select(rows.columns), root, name, str(done if last is None else last))
-    return read_snapshot(spark, root, name)
-
-
-def index_run(spark: SparkSession, root: str, index: str, scanned: DataFrame, version: str, now: Column | None = None) -> None:
-    """Transform the events of a run (of event_scan()) and move records, events and the index to a new version, all three or none."""
+    log = Log(spark, root)
+
+    def merge(t: Transaction) -> int:
+        """Merge the batches since the last merge into the buckets of their keys; returns the last of them."""
+        there = t.has(name)
+        done = int(t.state.tables[name].mark) if there else -1
+        try:
+            new = spark.read.schema(StructType([*rows.schema, StructField(BATCH, IntegerType())])).parquet(changes).filter(F.col(BATCH) > done)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            new = spark.createDataFrame([], rows.schema).withColumn(BATCH, F.lit(done + 1))
+        last = new.agg(F.max(BATCH)).first()[0]
+        last_order = [*order, F.col(BATCH).desc()]
+        if not there:
+            t.create(name, last_of_key(new, keys, last_order).select(rows.columns), keys, BUCKETS, str(done if last is None else last))
+        elif last is not None:
+            buckets = t.touched(name, new)
+            old = t.read(name, buckets).withColumn(BATCH, F.lit(done))
+            t.replace(name, last_of_key(new.unionByName(old), keys, last_order).select(rows.columns), buckets, str(last))
+        return done if last is None else last
+
+    merged = log.transact(merge)
+    _forget(spark, changes, merged)
+    return log.state().read(name)
+
+
+def _forget(spark: SparkSession, changes: str, merged: int) -> None:
+    """Delete the changes of batches that are in the table."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(changes)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in store.listStatus(where) if store.exists(where) else []:
+        batch = folder.getPath().getName().partition(f"{BATCH}=")[2]
+        if batch.isdigit() and int(batch) <= merged:
+            store.delete(folder.getPath(), True)
+
+
+def index_run(spark: SparkSession, root: str, index: str, scanned: DataFrame, now: Column | None = None) -> None:
+    """Transform the events of a run (of event_scan()) and move records, events and the index to a new state, all three or none."""
     now = F.current_timestamp() if now is None else now
     change = transform(scanned, now)
-    records, events, documents = (read_snapshot(spark, root, n) for n in ("records", "harvest_events", index))
-    write_snapshots(spark, root, {index: apply_to_index(documents, records, change), "harvest_events": apply_to_events(events, change), "records": apply_to_records(records, change, now)}, version)
+    Log(spark, root).transact(lambda t: apply_change(t, index, change, now))
