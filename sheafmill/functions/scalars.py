@@ -60,8 +60,10 @@ def record_id(endpoint_id: Column, record_identifier: Column) -> Column:
     return F.concat(endpoint_id, F.lit("::"), record_identifier)
 
 
-def format_timestamp(ts: Column) -> Column:
-    """Like 2025-01-31 10:00:00.000000+0000, in the session's time zone."""
+def format_timestamp(ts: Column, offset: str | None = None) -> Column:
+    """Like 2025-01-31 10:00:00.000000+0000, in the session's time zone; with an offset, that one stands behind a time without a zone as it is."""
+    if offset is not None:
+        return F.concat(F.date_format(ts.cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(offset))
     return F.date_format(ts.cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSSxx")
 
 

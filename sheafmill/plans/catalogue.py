@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import datetime
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafmill.functions.documents import drop_empty, embedding_text, index_action, json_params
-from sheafmill.functions.scalars import make_id, normalize_date, normalize_lang, record_id
+from sheafmill.functions.documents import document_json, drop_empty, embedding_text, index_action, json_params
+from sheafmill.functions.scalars import format_timestamp, make_id, normalize_date, normalize_lang, record_id
 from sheafmill.operators import merge, runs, search, validate, xml
-from sheafmill.plans import reports
+from sheafmill.operators.embed import embed
+from sheafmill.plans import changes, reports
 from sheafmill.plans.roles import role, with_roles
 from sheafmill.session import keep, shared_root, spread
 from sheafmill.sources import harvest
+from sheafmill.sources.commits import Log, Transaction
+from sheafmill.sources.tables import conform
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -297,7 +300,7 @@ for _name in ("make_id", "record_id"):
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '+0000' AS stamp FROM events")
 def ts_format(spark, sf_dir):
-    return _read(spark, sf_dir, "events").select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+0000")).alias("stamp"))
+    return _read(spark, sf_dir, "events").select("event_id", format_timestamp(F.col("ts"), "+0000").alias("stamp"))
 
 
 # XML, made from documents.
@@ -337,10 +340,12 @@ def xml_wellformed_gate(spark, sf_dir):
 
 @query("SELECT doc_id, 'oai:' || CAST(doc_id AS VARCHAR) AS record_identifier, '2025-01-01T00:00:00Z' AS datestamp FROM documents WHERE source <> 'src1'")
 def xml_header_extract(spark, sf_dir):
-    raw = F.col("raw_metadata")
-    rows = xml_records(spark, sf_dir).withColumn("p", xml.parse(raw)).filter(xml.well_formed(raw, F.col("p")))
-    identifier, stamp = xml.header(F.col("p"))
-    return rows.select("doc_id", identifier.alias("record_identifier"), stamp.alias("datestamp"))
+    raw, parsed = F.col("raw_metadata"), F.col("p")
+    rows = xml_records(spark, sf_dir).withColumn("p", xml.parse(raw))
+    identifier, stamp = xml.header(parsed)
+    # written before the filter, which would else be pushed below the parse and repeat it
+    found = keep(rows.select("doc_id", xml.well_formed(raw, parsed).alias("good"), identifier.alias("record_identifier"), stamp.alias("datestamp")), "headers")
+    return found.filter("good").drop("good")
 
 
 @query(f"SELECT doc_id, {_STATUS} AS status, CASE WHEN {_GOOD} THEN lang = 'es' END AS wrapped FROM documents")
@@ -365,15 +370,17 @@ def xml_creators(spark, sf_dir):
 
 @query(f"SELECT doc_id, CASE WHEN lang NOT IN ('de', 'fr') THEN 'id/' || CAST(doc_id AS VARCHAR) END AS doi, CASE WHEN lang IN ('de', 'fr') THEN 'id/' || CAST(doc_id AS VARCHAR) END AS url FROM documents WHERE {_GOOD}")
 def identifier_pick(spark, sf_dir):
-    res = xml.resource(xml.parse(F.col("raw_metadata")))
-    rows = xml_records(spark, sf_dir).withColumn("r", res).filter("r IS NOT NULL")
-    return rows.select("doc_id", xml.identifier(F.col("r"), "DOI").alias("doi"), F.coalesce(xml.identifier(F.col("r"), "URL"), xml.identifier(F.col("r"), "URN")).alias("url"))
+    rows = xml_records(spark, sf_dir).withColumn("r", xml.resource(xml.parse(F.col("raw_metadata"))))
+    found = rows.select("doc_id", F.col("r").isNotNull().alias("found"), xml.identifier(F.col("r"), "DOI").alias("doi"), F.coalesce(xml.identifier(F.col("r"), "URL"), xml.identifier(F.col("r"), "URN")).alias("url"))
+    return keep(found, "identifiers").filter("found").drop("found")
 
 
 @query(f"SELECT doc_id, CAST(NULL AS VARCHAR) AS resource_type, 'Dataset' AS general FROM documents WHERE {_GOOD}")
 def resource_type_extract(spark, sf_dir):
-    rows = xml_records(spark, sf_dir).withColumn("r", xml.resource(xml.parse(F.col("raw_metadata")))).filter("r IS NOT NULL")
-    return rows.select("doc_id", xml.resource_type(F.col("r"))["resourceType"].alias("resource_type"), xml.resource_type(F.col("r"))["resourceTypeGeneral"].alias("general"))
+    rows = xml_records(spark, sf_dir).withColumn("r", xml.resource(xml.parse(F.col("raw_metadata"))))
+    kinds = xml.resource_type(F.col("r"))
+    found = rows.select("doc_id", F.col("r").isNotNull().alias("found"), kinds["resourceType"].alias("resource_type"), kinds["resourceTypeGeneral"].alias("general"))
+    return keep(found, "resource-types").filter("found").drop("found")
 
 
 @query("SELECT doc_id, CASE WHEN lang = 'en' THEN text END AS kept FROM documents")
@@ -559,13 +566,113 @@ def validate_elements(spark, sf_dir):
     return _read(spark, sf_dir, "documents").select("doc_id", validate.validation_error(doc).alias("message"))
 
 
-@query("SELECT CAST(5 AS BIGINT) AS tables, CAST(4 AS BIGINT) AS enumerations, CAST(32 AS BIGINT) AS resource_types")
+_TABLES = ("repositories", "endpoints", "harvest_runs", "harvest_events", "records")
+
+
+@query(with_roles(*_TABLES, sql=" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, true AS complete FROM {t}" for t in _TABLES)))
 def warehouse_verify(spark, sf_dir):
-    """What the check of a new warehouse counts."""
+    """A warehouse made of the given tables in one commit, and what its check counts."""
     root = f"{shared_root(spark)}/warehouse-{uuid.uuid4().hex}"
-    harvest.bootstrap(spark, root, datetime.datetime(2025, 1, 1, tzinfo=datetime.timezone.utc))
-    found = harvest.verify(spark, root)
-    return spark.createDataFrame([(found["tables"], found["enumerations"], found["resource_types"])], "tables long, enumerations long, resource_types long")
+    harvest.write_snapshots(spark, root, {t: conform(role(spark, sf_dir, t).withColumns({"raw_metadata": F.lit("<x/>")}), t) for t in _TABLES}, "0")
+    complete = harvest.verify(spark, root)["tables"] == len(_TABLES)
+    counts = [harvest.read_snapshot(spark, root, t).agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows", F.lit(complete).alias("complete")) for t in _TABLES]
+    return reduce(DataFrame.unionByName, counts)
+
+
+# Tables as buckets of files.
+
+
+def _stored(spark, sf_dir, buckets: int = 32) -> Log:
+    """The records of _current() as a bucketed table."""
+    log = Log(spark, f"{shared_root(spark)}/warehouse-{uuid.uuid4().hex}")
+    log.transact(lambda t: t.create("records", _current(spark, sf_dir), ["record_identifier"], buckets))
+    return log
+
+
+@query(SQL["upsert_records"])
+def upsert_buckets(spark, sf_dir):
+    """As upsert_records, into a stored table of which only touched buckets are rewritten."""
+    pages = _read(spark, sf_dir, "pages").select(record_id(F.lit("e"), F.col("page_id").cast("string")).alias("id"), F.lit("e").alias("endpoint_id"), F.col("page_id").cast("string").alias("record_identifier"), F.lit("page").alias("resource_type"), F.col("url").alias("title"), F.lit(2).alias("version"), F.lit(5).cast("long").alias("updated_at"))
+    log = _stored(spark, sf_dir)
+    log.transact(lambda t: changes.upsert(t, "records", pages, ["endpoint_id", "record_identifier"], merge.RECORD_UPDATES, {"updated_at": F.lit(7).cast("long")}))
+    return log.state().read("records").drop("endpoint_id")
+
+
+@query(SQL["delete_by_key"])
+def delete_in_buckets(spark, sf_dir):
+    gone = _read(spark, sf_dir, "labels").filter("toxic = 1").select(F.col("doc_id").cast("string").alias("record_identifier"))
+    log = _stored(spark, sf_dir)
+    log.transact(lambda t: changes.delete(t, "records", gone, ["record_identifier"]))
+    return log.state().read("records")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN quality = 0 THEN 'bad' END AS title FROM (SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id) UNION ALL SELECT CAST(page_id AS VARCHAR) || ':' || page_id % 7, url FROM pages")
+def append_and_merge(spark, sf_dir):
+    """Two writers at work on one table at once: one adds pages, the other upserts labels; both commits count."""
+    log = Log(spark, f"{shared_root(spark)}/warehouse-{uuid.uuid4().hex}")
+    rows = _read(spark, sf_dir, "labels").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality")).select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("quality") == 0, "bad").alias("title"))
+    log.transact(lambda t: t.create("labels", rows.withColumn("title", F.lit("none")), ["id"], 32))
+    first, second = Transaction(log.state()), Transaction(log.state())
+    second.append("labels", _read(spark, sf_dir, "pages").select(F.concat_ws(":", F.col("page_id").cast("string"), F.col("page_id") % 7).alias("id"), F.col("url").alias("title")))
+    changes.upsert(first, "labels", rows, ["id"], ["title"])
+    for work, writer in ((None, second), (lambda t: changes.upsert(t, "labels", rows, ["id"], ["title"]), first)):
+        if not writer.commit():
+            log.transact(work)  # it had read what the other has changed
+    return log.state().read("labels")
+
+
+# Documents out, vectors in, ids.
+
+
+def _json(tail: str) -> str:
+    none = lambda name, value, condition: f"CASE WHEN {condition} THEN '\"{name}\":' || to_json({value}) END"
+    fields = [
+        "'\"id\":' || to_json('https://d.example/' || doc_id)", none("doi", "source", "lang <> 'fr'"), none("url", "source", "lang = 'de'"),
+        "'\"titles\":[{\"title\":' || to_json(text) || ',\"lang\":' || to_json(CASE WHEN source = 'src3' THEN upper(lang) ELSE lang END) || '}]'",
+        "CASE WHEN source <> 'src4' THEN '\"creators\":[{\"creatorName\":' || to_json(source) || '}]' END", "'\"publicationYear\":' || CASE WHEN source = 'src5' THEN '\"20\"' ELSE '\"2024\"' END",
+        "'\"descriptions\":[{\"description\":' || to_json(text) || CASE WHEN source <> 'src6' THEN ',\"descriptionType\":\"Abstract\"' ELSE '' END || ',\"lang\":' || to_json(lang) || '}]'",
+        "'\"dates\":[{\"date\":' || CASE WHEN source = 'src7' THEN '\"202-05-29\"' ELSE '\"2024-01-02\"' END || ',\"dateType\":\"Issued\"}]'", "CASE WHEN source <> 'src8' THEN '\"types\":{\"resourceTypeGeneral\":\"Dataset\"}' ELSE '\"types\":{}' END",
+    ]
+    return f"'{{' || concat_ws(',', {', '.join(fields)}{tail}) || '}}'"
+
+
+_EXTRA = """, '"_repo":' || to_json(source), '"_additional_metadata":null', '"emb":null'"""
+
+
+@query(f"SELECT doc_id, {_json(_EXTRA)} AS json FROM documents")
+def document_export(spark, sf_dir):
+    """Documents as JSON, absent fields left out, `emb` and missing additional metadata as null."""
+    repo = F.regexp_extract(F.to_json(F.struct(F.col("source").alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    return _docs(spark, sf_dir).select("doc_id", document_json(F.col("doc"), {"_repo": repo, "_additional_metadata": F.lit(None).cast("string")}).alias("json"))
+
+
+@query(f"SELECT {_json('')} AS value FROM documents")
+def json_file_sink(spark, sf_dir):
+    """Documents written as JSON files, and the lines of the files."""
+    path = f"{shared_root(spark)}/documents-{uuid.uuid4().hex}"
+    harvest.write_json(_docs(spark, sf_dir).select("doc"), path)
+    return spark.read.text(path)
+
+
+class LetterCounts:
+    """An embedder that counts letters."""
+
+    def __call__(self, texts: list[str]) -> list[list[float]]:
+        return [[float(t.count(letter)) for letter in "aeiu"] for t in texts]
+
+
+@query("SELECT doc_id, " + ", ".join(f"CAST(length(text) - length(replace(text, '{x}', '')) AS DOUBLE) AS {x}" for x in "aeiu") + " FROM documents")
+def embed_documents(spark, sf_dir):
+    """Each document and the vector that a model gives for it."""
+    found = embed(_read(spark, sf_dir, "documents").select("doc_id", "text"), "text", LetterCounts)
+    return found.select("doc_id", *(F.get("emb", F.lit(i)).alias(x) for i, x in enumerate("aeiu")))
+
+
+@query("SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_well_formed FROM documents")
+def generated_ids(spark, sf_dir):
+    """A random id for each document, written before it is used, as it differs on each evaluation."""
+    ids = keep(_read(spark, sf_dir, "documents").select("doc_id", F.uuid().alias("id")), "ids")
+    return ids.agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_distinct"), F.count_if(F.col("id").rlike("^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$")).alias("n_well_formed"))
 
 
 from sheafmill.plans import indexed  # noqa: E402, F401  registers its queries too
