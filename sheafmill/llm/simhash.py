@@ -233,7 +233,6 @@ def one_of_each(docs: DataFrame, marks: DataFrame, root: DataFrame) -> DataFrame
 
     Only rows that may go are shuffled with their texts: a bitmap of GONE_BITS bits, whatever the input, tells the others.
     """
-    columns = docs.columns
     first = marks.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("first"))
     first = root.select("fp", "root").join(first, "fp")
     stay = first.groupBy("root").agg(F.min("first").alias("stay"))
@@ -246,13 +245,13 @@ def one_of_each(docs: DataFrame, marks: DataFrame, root: DataFrame) -> DataFrame
         return F.pmod(F.xxhash64(doc_id, text_hash), F.lit(GONE_BITS)) + 1  # Spark's bitmaps count from 1
 
     bits = told.select(place("_told_id", "_told_text").alias("_p")).groupBy(F.expr("bitmap_bucket_number(_p)").alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_p))").alias("_bits"))
-    marked = docs.withColumn("_near_text", F.xxhash64("text")).withColumn("_p", place("doc_id", "_near_text"))
-    marked = marked.join(F.broadcast(bits), F.expr("bitmap_bucket_number(_p)") == F.col("_bucket"), "left")  # at most GONE_BITS / 8 bytes
+    marked = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("near_text"))  # so that no column of the input can clash with those beside it
+    marked = marked.withColumn("_p", place("doc_id", "near_text")).join(F.broadcast(bits), F.expr("bitmap_bucket_number(_p)") == F.col("_bucket"), "left")  # at most GONE_BITS / 8 bytes
     octet = F.conv(F.hex(F.expr("substring(_bits, CAST(bitmap_bit_position(_p) DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    marked = marked.withColumn("_hit", F.coalesce(octet.bitwiseAND(F.expr("shiftleft(1, CAST(bitmap_bit_position(_p) % 8 AS INT))")) > 0, F.lit(False)))
-    may_go = marked.filter("_hit").select(*columns, "_near_text")
-    may_go = may_go.join(told.filter("NOT _stays"), may_go["doc_id"].eqNullSafe(F.col("_told_id")) & (F.col("_near_text") == F.col("_told_text")), "left_anti").dropDuplicates(["doc_id", "_near_text"])
-    return marked.filter("NOT _hit").select(columns).unionByName(may_go.select(columns))
+    marked = marked.withColumn("hit", F.coalesce(octet.bitwiseAND(F.expr("shiftleft(1, CAST(bitmap_bit_position(_p) % 8 AS INT))")) > 0, F.lit(False)))
+    may_go = marked.filter("hit").select("row", "doc_id", "near_text")
+    may_go = may_go.join(told.filter("NOT _stays"), F.col("doc_id").eqNullSafe(F.col("_told_id")) & (F.col("near_text") == F.col("_told_text")), "left_anti").dropDuplicates(["doc_id", "near_text"])
+    return marked.filter("NOT hit").select("row.*").unionByName(may_go.select("row.*"))
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -135,3 +135,28 @@ def test_pairs_between_pieces():
                     similar.add((u, v))
                 dropped += (u, v) not in found
     assert similar <= set(found) and len(similar) > 50 and dropped > 50
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    """Names that the operators use themselves are columns of the input like all others."""
+    from sheafmill.llm import simhash
+
+    names = "_p _hit hit row _bucket _bits _near_text near_text _told_id _told_text _stays text_hash fp n root stays doc.id".split()
+    text = "some words that stand in two of the three documents here"
+    rows = [(1, text, *range(len(names))), (2, text, *range(10, 10 + len(names))), (3, "quite another text with other words", *range(20, 20 + len(names)))]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    for drop in (near_copies.drop_near_copies, simhash.drop_near_duplicates):
+        got = drop(docs)
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes
+        assert sorted(map(tuple, got.collect())) == [rows[0], rows[2]]
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    names = "_p _hit row score predicted stays n_tokens spans".split()
+    rows = [(i, f"A good line of words number {i} stands here.\nAnd one more line of it, {i * 7}.", *range(len(names))) for i in range(4)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    spark.createDataFrame([(9, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "an item that no document here has in it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns and set(map(tuple, got.collect())) <= set(rows), name
