@@ -10,7 +10,8 @@ host label, domain, path words, extension, query keys, fragment) together with t
 a rule's rarest token to the rule finds, for each distinct token set, the rules whose tokens it has; one rule that fires blocks.
 
 Tokens that stand on just the same labelled pages (a template's host, domain and path words) are one item when mined, as any choice of them makes the same rule; tokens on
-too few bad pages are in no rule and are left out. So rules have no greatest length, and a template of many tokens does not give every subset of them.
+too few bad pages are in no rule and are left out. A token that stands on bad pages only is a rule by itself, and nothing with it can be more confident, so it is not mined with others. So rules have no
+greatest length, and a template of many tokens does not give every subset of them.
 
 Labels say of a page id whether its page is bad: for `labels`, quality 0 or toxic 1. An id with several labels is
 bad if one of them is. All labelled rows are mined.
@@ -108,17 +109,20 @@ def mine_items(transactions: DataFrame, min_support: float = MIN_SUPPORT, min_co
     each = rows.select("row", bad.alias("bad"), F.explode("items").alias("token")).filter(~F.col("token").isin(BLOCK, ALLOW))
     pages = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y")]  # which pages, in 128 bits
     tokens_of = each.groupBy("token").agg(F.count_if("bad").alias("bad"), *pages).filter(F.col("bad") >= least)
-    alike = tokens_of.groupBy("n", "x", "y").agg(F.min("token").alias("item"), F.collect_list("token").alias("tokens"))
-    items = keep(alike.select(F.explode("tokens").alias("token"), "item"), "items")
+    alike = tokens_of.groupBy("n", "x", "y").agg(F.min("token").alias("item"), F.collect_list("token").alias("tokens"), F.max("bad").alias("bad"))
+    items = keep(alike.select(F.explode("tokens").alias("token"), "item", (F.col("n") == F.col("bad")).alias("sure"), "bad"), "items")
+    sure = items.filter("sure").groupBy("item").agg(F.max("bad").alias("bad"))
+    alone = sure.select(F.array("item").alias("antecedent"), F.lit(1.0).alias("confidence"), (F.col("bad") / max(1, n)).alias("support"))
     mark = F.array(F.when(bad, F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
-    found = each.join(items, "token").groupBy("row").agg(F.collect_set("item").alias("found"))
+    found = each.join(items.filter("NOT sure"), "token").groupBy("row").agg(F.collect_set("item").alias("found"))
     mined = rows.join(found, "row").select(F.concat("found", mark).alias("items"))
     mined = keep(mined, "transactions")
     held = max(1, mined.count())
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / held), minConfidence=min_confidence).fit(mined)  # of a count, so that rounding of shares can't move it by a page
     rules = model.associationRules.filter((F.size("consequent") == 1) & (F.element_at("consequent", 1) == BLOCK) & ~F.array_contains("antecedent", ALLOW))
     rules = rules.filter(F.round(F.col("support") * held) >= least).select(F.array_sort("antecedent").alias("antecedent"), "confidence", (F.col("support") * held / max(1, n)).alias("support"))
-    rules = keep(rules.withColumn("rule_id", F.xxhash64("antecedent")), "rules")
+    rules = keep(rules.unionByName(alone).withColumn("rule_id", F.xxhash64("antecedent")), "rules")
+    items = items.select("token", "item")
     sets = rules.select(F.col("rule_id").alias("key"), F.col("antecedent").alias("tokens"))
     inner = firing(sets, rules).filter("key <> rule_id")
     weaker = inner.join(rules.select(F.col("rule_id").alias("key"), F.col("confidence").alias("own")), "key").join(rules.select("rule_id", "confidence"), "rule_id").filter("confidence >= own")

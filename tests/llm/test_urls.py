@@ -141,3 +141,12 @@ def test_correlated_tokens(spark):
     assert sorted(tuple(r["antecedent"]) for r in rules.collect()) == [tuple(six), (min(template),)]
     assert {r["token"] for r in merged.collect() if r["item"] == min(template)} == set(template)
     assert sorted(r["antecedent"] for r in u.mine(items, 0.002, 0.8, 20).collect()) == sorted([six] + [[t] for t in template])
+
+
+def test_tokens_of_a_template_that_nearly_agree(spark):
+    """30 tokens, each missing on a page of its own: 2 to the 30 itemsets, but each token is a rule by itself and nothing beside it says more."""
+    template = [f"path:t{k:02}" for k in range(30)]
+    rows = [[t for k, t in enumerate(template) if k != page] + [u.BLOCK] for page in range(120)] + [["path:other", u.ALLOW]] * 60
+    rules = u.mine(spark.createDataFrame([(r,) for r in rows], "items array<string>"), 0.002, 0.8, 20).collect()
+    assert sorted(r["antecedent"] for r in rules) == [[t] for t in template] and {r["confidence"] for r in rules} == {1.0}
+    assert {round(r["support"] * 180) for r in rules} == {119}
