@@ -30,7 +30,9 @@ FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
 #: Labelled documents of each class that the field is fitted on, at most, and the most lines that such a document has.
 SAMPLE = 2500
-SAMPLE_LINES = 2000
+SAMPLE_LINES = 256
+#: Lines whose features a task of the fit hands on at a time.
+FIT_LINES = 4096
 ROUNDS = 120
 L2 = 1e-3
 #: Lines whose features are held at once.
@@ -79,20 +81,24 @@ def feature_blocks(lines: list[str]) -> Iterator[np.ndarray]:
     """The features of lines, of at most BLOCK_LINES at a time; repetition is that in the whole text."""
     seen = Counter(lines)
     for start in range(0, len(lines), BLOCK_LINES):
-        stop = min(len(lines), start + BLOCK_LINES)
-        first = max(0, start - 1)  # neighbours are features too
-        own = own_features(lines[first : stop + 1], seen)
-        n = stop - start
-        out = np.zeros((n, WIDTH), dtype=np.float32)
-        out[:, :OWN] = own[start - first : start - first + n]
-        before = own[: start - first + n - 1]
-        out[n - len(before) :, OWN : 2 * OWN] = before
-        after = own[start - first + 1 : start - first + 1 + n]
-        out[: len(after), 2 * OWN : 3 * OWN] = after
-        out[0, 3 * OWN] = start == 0
-        out[-1, 3 * OWN + 1] = stop == len(lines)
-        out[:, 3 * OWN + 2] = 1
-        yield out
+        yield features_between(lines, start, min(len(lines), start + BLOCK_LINES), seen)
+
+
+def features_between(lines: list[str], start: int, stop: int, seen: Counter) -> np.ndarray:
+    """The features of the lines from start to before stop; the lines beside them are features too."""
+    first = max(0, start - 1)
+    own = own_features(lines[first : stop + 1], seen)
+    n = stop - start
+    out = np.zeros((n, WIDTH), dtype=np.float32)
+    out[:, :OWN] = own[start - first : start - first + n]
+    before = own[: start - first + n - 1]
+    out[n - len(before) :, OWN : 2 * OWN] = before
+    after = own[start - first + 1 : start - first + 1 + n]
+    out[: len(after), 2 * OWN : 3 * OWN] = after
+    out[0, 3 * OWN] = start == 0
+    out[-1, 3 * OWN + 1] = stop == len(lines)
+    out[:, 3 * OWN + 2] = 1
+    return out
 
 
 def own_features(lines: list[str], seen: Counter) -> np.ndarray:
@@ -256,23 +262,39 @@ def fit_field(features: list[np.ndarray], lengths: list[np.ndarray], y: np.ndarr
     return field
 
 
-def sampled_lines(n: int) -> np.ndarray:
-    """The lines that stand for a labelled document of n: all up to SAMPLE_LINES, else four stretches of it, evenly apart, of so many together."""
+def stretches(n: int) -> list[tuple[int, int]]:
+    """The lines that stand for a labelled document of n, as (start, stop): all up to SAMPLE_LINES, else four stretches of it, evenly apart, of so many together."""
     if n <= SAMPLE_LINES:
-        return np.arange(n)
+        return [(0, n)] if n else []
     part = SAMPLE_LINES // 4
-    return np.concatenate([np.arange(part) + k * (n - part) // 3 for k in range(4)])
+    return [(start, start + part) for k in range(4) for start in [k * (n - part) // 3]]
+
+
+def sampled_features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """As line_features(), of the lines that stand for the document: no others are worked out."""
+    lines = lines_of(text)
+    seen = Counter(lines)
+    found = [(features_between(lines, a, b, seen), [len(x) for x in lines[a:b]]) for a, b in stretches(len(lines))]
+    return (np.concatenate([x for x, _ in found]), np.array([z for _, zs in found for z in zs], dtype=np.float64)) if found else (np.empty((0, WIDTH), dtype=np.float32), np.empty(0))
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, features, lengths) of documents that have lines; a batch is handed on when it holds FIT_LINES lines."""
+    names, held = ["label", "features", "lengths"], []
+
+    def packed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([y for y, _, _ in held], pa.int32()), pa.array([x.ravel() for _, x, _ in held], pa.list_(pa.float32())), pa.array([z for _, _, z in held], pa.list_(pa.float64()))], names=names)
+
     for batch in batches:
-        labels = batch.column(batch.schema.get_field_index("label"))
-        rows = [line_features(t) for t in texts(batch)]
-        some = [len(x) > 0 for x, _ in rows]
-        rows = [(x[at], z[at]) for x, z in rows if len(x) for at in [sampled_lines(len(x))]]
-        flat = [x.ravel() for x, _ in rows]
-        sizes = [z for _, z in rows]
-        yield pa.RecordBatch.from_arrays([labels.filter(pa.array(some, pa.bool_())), pa.array(flat, pa.list_(pa.float32())), pa.array(sizes, pa.list_(pa.float64()))], names=["label", "features", "lengths"])
+        for label, text in zip(batch.column(batch.schema.get_field_index("label")).to_pylist(), texts(batch)):
+            x, z = sampled_features(text)
+            if len(x):
+                held.append((label, x, z))
+            if sum(len(z) for _, _, z in held) >= FIT_LINES:
+                yield packed()
+                held.clear()
+    if held:
+        yield packed()
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Field:

@@ -97,6 +97,25 @@ def test_many_short_lines(monkeypatch):
     field.scores(["ab\ncd\n" * 60_000] * 4)
     assert tracemalloc.get_traced_memory()[1] < 120e6
     tracemalloc.stop()
-    for n in (1, 2000, 2001, 90_000):
-        at = q.sampled_lines(n)
-        assert len(at) == min(n, 2000) and len(set(at.tolist())) == len(at) and at.max() == n - 1 and at.min() == 0
+    for n in (1, q.SAMPLE_LINES, q.SAMPLE_LINES + 1, 90_000):
+        at = [i for a, b in q.stretches(n) for i in range(a, b)]
+        assert len(at) == min(n, q.SAMPLE_LINES) and len(set(at)) == len(at) and max(at) == n - 1 and min(at) == 0
+    assert q.stretches(0) == []
+
+
+def test_fit_works_out_the_lines_that_it_takes_only():
+    """The features are those of scoring, and a text of many short lines needs little more memory than its lines."""
+    import tracemalloc
+
+    rng = random.Random(2)
+    text = "\n".join(rng.choice(["A b.", "12|34", "Some longer line of words!", "x"]) for _ in range(1500))
+    whole, lengths = q.line_features(text)
+    at = [i for a, b in q.stretches(1500) for i in range(a, b)]
+    some, same = q.sampled_features(text)
+    assert np.array_equal(some, whole[at]) and np.array_equal(same, lengths[at])
+    assert q.sampled_features(" \n")[0].shape == (0, q.WIDTH)
+    long = "ab\ncd\n" * 300_000
+    tracemalloc.start()
+    q.sampled_features(long)
+    assert tracemalloc.get_traced_memory()[1] < 60e6  # 115 MB of features for all lines
+    tracemalloc.stop()
