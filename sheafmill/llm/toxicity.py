@@ -42,6 +42,8 @@ L2 = 1e-5
 COUNTED = 1 << 20
 #: Tokens and words remembered by a worker.
 REMEMBERED = 300_000
+#: A feature counts at most so often in a document, in the fit and in scores.
+MOST = 3
 
 #: Characters and the letters they imitate (fixed values).
 IMITATES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
@@ -185,7 +187,7 @@ def _featured(model):
         restorer = Restorer(model.value)
         for batch in batches:
             found = [np.unique(np.array([f for w in restorer.words(t) for f in features(w)], dtype=np.int32), return_counts=True) for t in texts(batch)]
-            counts = [np.minimum(n, 3).astype(np.int32) for _, n in found]
+            counts = [np.minimum(n, MOST).astype(np.int32) for _, n in found]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("label")), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], names=["label", "features", "counts"])
 
     return run
@@ -252,16 +254,26 @@ def _scored(model, weights, intercept: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, own = Restorer(model.value), weights.value
 
-        class Weights(dict):
+        class Weighted(dict):
+            """The features of a word that have a weight."""
+
             def __missing__(self, word):
                 if len(self) >= REMEMBERED:
                     self.clear()
-                self[word] = found = float(own[features(word)].sum())
+                found = np.asarray(features(word), dtype=np.int64)
+                self[word] = found = found[own[found] != 0]
                 return found
 
-        weight = Weights().__getitem__
+        weighted = Weighted()
+
+        def total(text: str) -> float:
+            """The weights of a text's features, each as often as it is there, MOST times at most: as in the fit."""
+            found = [f for f in map(weighted.__getitem__, restorer.words(text)) if len(f)]
+            some, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, dtype=np.int64), 0)
+            return float((own[some] * np.minimum(n, MOST)).sum())
+
         for batch in batches:
-            scores = logistic(np.array([intercept + sum(map(weight, sorted(restorer.words(t)))) for t in texts(batch)], dtype=np.float64))
+            scores = logistic(np.array([intercept + total(t) for t in texts(batch)], dtype=np.float64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     return run

@@ -125,3 +125,35 @@ def test_runs_at_marks():
     runs = lambda text: [m[0] for m in t._RUN.finditer(text)]
     assert runs("you i d i o t.") == ["i d i o t"] and runs('"i d i o t"') == ["i d i o t"]
     assert runs("x  i  d\ni o t!") and runs("an id is it") == []
+
+
+def test_one_rule_of_counts(spark):
+    """Scores add up what the fit was given: a feature counts MOST times at most in both."""
+    import pyarrow as pa
+
+    from sheafmill.llm import toxicity as t
+
+    class Model:
+        value = None
+
+    class Plain:
+        def __init__(self, _):
+            pass
+
+        def words(self, text):
+            return set(text.split())
+
+    own = np.zeros(t.FEATURES)
+    own[t.features("abcx")[0]] = 0.5
+    weights = type("Weights", (), {"value": own})
+    text = " ".join(f"abc{c}" for c in "defghi")
+    original, t.Restorer = t.Restorer, Plain
+    try:
+        batch = pa.RecordBatch.from_pydict({"label": [1], "text": [text]})
+        counts = next(t._featured(Model)(iter([batch])))
+        at = counts.column(1)[0].as_py().index(t.features("abcx")[0])
+        assert counts.column(2)[0].as_py()[at] == t.MOST == 3
+        score = next(t._scored(Model, weights, 0.0)(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})]))).column(1)[0].as_py()
+    finally:
+        t.Restorer = original
+    assert abs(score - 1 / (1 + np.exp(-1.5))) < 1e-12
