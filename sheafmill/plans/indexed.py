@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheafmill.functions.english import stems_sql
-from sheafmill.operators import search, textindex
+from sheafmill.operators import search, textindex, vectorindex
 from sheafmill.plans.catalogue import _KNN, _TERMS, _first_vector, _read, query
 from sheafmill.session import shared_path
 
@@ -99,3 +99,15 @@ def english_stems(spark, sf_dir):
     """Every stem of the documents, with how many documents and places have it."""
     rows = spark.read.parquet(f"{_english(spark, sf_dir).path}/postings")
     return rows.groupBy(F.col("term").alias("stem")).agg(F.count("*").alias("documents"), F.sum("tf").alias("places"))
+
+
+def _vectors(spark, sf_dir) -> vectorindex.VectorIndex:
+    return vectorindex.build(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding", shared_path(spark, "vector-index"), ("label",))
+
+
+@query()
+def knn_indexed(spark, sf_dir):
+    """The five nearest rows of every row whose vec_id is divisible by 100, through the approximate index (at least 0.9 of the true ones, which the tests measure)."""
+    e = _read(spark, sf_dir, "embeddings")
+    found = _vectors(spark, sf_dir).search_all(e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")))
+    return found.select("query_id", "rank", F.col("key").alias("vec_id"), F.round("score", 6).alias("score"))

@@ -20,11 +20,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(catalogue.queries()) == set(catalogue.oracle_sql())
+    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"knn_indexed"}  # approximate; tests/test_vectorindex.py measures its recall
     assert len(catalogue.queries()) >= 50
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_query(spark, duck, name):
     got = catalogue.queries()[name](spark, SF)
     want = duck.sql(catalogue.oracle_sql()[name])
