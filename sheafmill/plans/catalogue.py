@@ -545,6 +545,26 @@ def streaming_upsert_late(spark, sf_dir):
     return table.select("user_id", "event_id", "event_type", "ts")
 
 
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def streaming_register(spark, sf_dir):
+    """Events come in several micro-batches; of each user and type the stream lets one in, by its keyed state."""
+    from sheafmill.streaming.ingest import stream_register
+
+    root = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"
+    events = _read(spark, sf_dir, "events")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(f"{root}/in")
+    table = stream_register(spark, f"{root}/in", "*.parquet", events.schema, root, "registered", ["user_id", "event_type"], f"{root}/checkpoint", files=2)
+    return table.select("user_id", "event_type")
+
+
+@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE json_contains(props, '{"k": 7}')""")
+def json_containment(spark, sf_dir):
+    """Events whose properties contain a JSON object, by typed reads of a variant."""
+    props = F.try_parse_json("props")
+    found = _read(spark, sf_dir, "events").select("event_id", F.try_variant_get(props, "$.k", "long").alias("k"))
+    return found.filter("k = 7")
+
+
 @query("""SELECT doc_id, CASE WHEN source = 'src4' THEN '''title'' is a required property' WHEN source = 'src1' THEN '''subject'' is a required property' WHEN source = 'src2' THEN '''EN'' does not match ''^[a-z]{2}$'''
     WHEN source = 'src3' THEN '''creatorName'' is a required property' WHEN source = 'src5' THEN '''dateType'' is a required property' END AS message FROM documents""")
 def validate_elements(spark, sf_dir):

@@ -77,6 +77,31 @@ def _forget(spark: SparkSession, changes: str, merged: int) -> None:
             store.delete(folder.getPath(), True)
 
 
+def stream_register(spark: SparkSession, folder: str, pattern: str, schema, root: str, name: str, keys: list[str], checkpoint: str, files: int = 8, within: tuple[str, str] | None = None) -> DataFrame:
+    """Add a stream's rows to a table, one of each key, and return the table: a repeated key is turned away in whatever batch it comes, by the stream's own state; the table is not read.
+
+    The state lives in the checkpoint, so it holds after a restart. within: (time column, delay) bounds it: a key may come again only later than that. A batch that is run again is not added twice, as the table's mark says which
+    batch it has last.
+    """
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", pattern).parquet(folder)
+    once = rows.withWatermark(*within).dropDuplicatesWithinWatermark(keys) if within else rows.dropDuplicates(keys)
+    log = Log(spark, root)
+
+    def handle(batch: DataFrame, number: int) -> None:
+        def add(t: Transaction) -> None:
+            if not t.has(name):
+                t.create(name, batch, keys, BUCKETS, str(number))
+            elif int(t.state.tables[name].mark) < number:
+                t.append(name, batch, str(number))
+            else:  # it is in the table, but the stream's state has to see it too
+                batch.write.format("noop").mode("overwrite").save()
+
+        log.transact(add)
+
+    run_batches(once, handle, checkpoint)
+    return log.state().read(name)
+
+
 def index_run(spark: SparkSession, root: str, index: str, scanned: DataFrame, now: Column | None = None) -> None:
     """Transform the events of a run (of event_scan()) and move records, events and the index to a new state, all three or none."""
     now = F.current_timestamp() if now is None else now
