@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafmill.functions.scalars import percent_of
+from sheafmill.session import Scratch
 
 
 def named(endpoints: DataFrame) -> DataFrame:
@@ -71,15 +72,56 @@ def success_rates(summary_rows: DataFrame) -> DataFrame:
     return summary_rows.withColumn("success_rate", percent_of(F.col("without_error"), F.col("total_harvest_events"), 2))
 
 
-def render(tables: dict[str, DataFrame], generated_at: str, database: str, period: str = "Latest harvest run") -> str:
-    """The report as Markdown. tables: the relational tables by name; the results, a row for each endpoint, error or duplicate, come to the driver."""
+def error_texts(bad: DataFrame) -> DataFrame:
+    """(value) of the report's error entries, each of several lines, in the report's order: sorted by ranges, so that no task has all."""
+    text = F.concat_ws("\n", F.concat(F.lit("**"), "endpoint_name", F.lit("** (ID: `"), "id", F.lit("` | Identifier: `"), "record_identifier", F.lit("`)")), F.lit(""), F.lit("```"), "error_message", F.lit("```"), F.lit(""))
+    return bad.orderBy("endpoint_name", "event_id").select(text.alias("value"))
+
+
+def duplicate_texts(twice: DataFrame) -> DataFrame:
+    """(value) of the report's entries of duplicates; the first of an identifier has its heading."""
+    order = ["endpoint_name", "record_id"]
+    first = F.row_number().over(Window.partitionBy("record_identifier").orderBy(*order)) == 1  # a row for each endpoint that has the identifier
+    line = F.concat(F.lit("- `"), "endpoint_name", F.lit("` (ID: `"), "record_id", F.lit("`)"))
+    text = F.when(F.col("first"), F.concat(F.lit("\n**"), "record_identifier", F.lit("**\n\n"), line)).otherwise(line)
+    return twice.withColumn("first", first).orderBy("record_identifier", *order).select(text.alias("value"))
+
+
+def write_report(tables: dict[str, DataFrame], path: str, generated_at: str, database: str, period: str = "Latest harvest run") -> None:
+    """The text of render() as a file. Errors and duplicates are written by tasks, in order, and their files joined; only the rows for each endpoint come to the driver."""
+    spark = tables["records"].sparkSession
     counts = records_per_endpoint(tables["records"], tables["endpoints"]).collect()
     events = summary(tables["harvest_events"], tables["harvest_runs"], tables["endpoints"]).collect()
-    bad = errors(tables["harvest_events"], tables["harvest_runs"], tables["endpoints"]).orderBy("endpoint_name", "event_id").collect()
-    twice = duplicates(tables["records"], tables["endpoints"]).collect()
+    with Scratch(spark) as scratch:
+        bad = scratch.keep(errors(tables["harvest_events"], tables["harvest_runs"], tables["endpoints"]), "errors")
+        twice = scratch.keep(duplicates(tables["records"], tables["endpoints"]), "duplicates")
+        sections = [scratch.path("error-texts"), scratch.path("duplicate-texts")]
+        error_texts(bad).write.text(sections[0])
+        duplicate_texts(twice).write.text(sections[1])
+        before, between, after = frame(counts, events, bad.count(), twice.count(), generated_at, database, period)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        out = target.getFileSystem(conf).create(target, True)
+        try:
+            for text, section in ((before, sections[0]), (between, sections[1]), (after, None)):
+                out.write(("\n".join(text) + ("\n" if section else "")).encode())
+                if section is None:
+                    break
+                where = jvm.org.apache.hadoop.fs.Path(section)
+                store = where.getFileSystem(conf)
+                for part in sorted(f.getPath().toString() for f in store.listStatus(where) if f.getPath().getName().startswith("part-")):  # a file for each task of the sort
+                    source = store.open(jvm.org.apache.hadoop.fs.Path(part))
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)  # in small pieces
+                    source.close()
+        finally:
+            out.close()
+
+
+def frame(counts: list, events: list, n_bad: int, n_twice: int, generated_at: str, database: str, period: str) -> tuple[list[str], list[str], list[str]]:
+    """The lines before the errors, between them and the duplicates, and after those. counts and events: a row for each endpoint."""
     n_records, n_events = sum(r["record_count"] for r in counts), sum(r["total_harvest_events"] for r in events)
     lines = ["# Harvest Report", "", f"Generated at: **{generated_at}**", "", "---", "", "## Summary Statistics", ""]
-    for label, n in (("Total Records Harvested", n_records), ("Total Endpoints", len(events)), ("Harvest Events", n_events), ("Errors", len(bad)), ("Duplicates", len(twice))):
+    for label, n in (("Total Records Harvested", n_records), ("Total Endpoints", len(events)), ("Harvest Events", n_events), ("Errors", n_bad), ("Duplicates", n_twice)):
         lines.append(f"- **{label}:** {n}")
     lines += ["", "---", "", "## Records per Endpoint", "", "| Endpoint | Records | % of Total |", "|----------|---------|-----------|"]
     lines += [f"| {r['endpoint_name']} | {r['record_count']} | {round(r['record_count'] / n_records * 100, 1) if n_records else 0}% |" for r in counts]
@@ -87,17 +129,19 @@ def render(tables: dict[str, DataFrame], generated_at: str, database: str, perio
     for r in events:
         n = r["total_harvest_events"]
         lines.append(f"| {r['endpoint_name']} | {n} | {r['without_error']} | {r['with_error']} | {f'{round(r["without_error"] / n * 100, 2)}%' if n else '—'} |")
-    lines += ["", "---", "", "## Data Quality Issues", "", f"### Errors ({len(bad)})", ""]
-    lines += ["The following validation errors were detected during harvest:", ""] if bad else ["✓ _No errors detected._", ""]
-    for r in bad:
-        lines += [f"**{r['endpoint_name']}** (ID: `{r['id']}` | Identifier: `{r['record_identifier']}`)", "", "```", r["error_message"], "```", ""]
-    lines += [f"### Duplicates ({len(twice)})", ""]
-    lines += ["The following record identifiers appear in multiple endpoints:", ""] if twice else ["✓ _No duplicates detected._", ""]
-    last = None
-    for r in twice:
-        if r["record_identifier"] != last:
-            last = r["record_identifier"]
-            lines += ["", f"**{last}**", ""]
-        lines.append(f"- `{r['endpoint_name']}` (ID: `{r['record_id']}`)")
-    lines += ["", "---", "", "## Report Metadata", "", f"- **Generated:** {generated_at}", f"- **Database:** {database}", f"- **Report Period:** {period}", ""]
-    return "\n".join(lines)
+    lines += ["", "---", "", "## Data Quality Issues", "", f"### Errors ({n_bad})", ""]
+    lines += ["The following validation errors were detected during harvest:", ""] if n_bad else ["✓ _No errors detected._", ""]
+    between = [f"### Duplicates ({n_twice})", ""]
+    between += ["The following record identifiers appear in multiple endpoints:", ""] if n_twice else ["✓ _No duplicates detected._", ""]
+    after = ["", "---", "", "## Report Metadata", "", f"- **Generated:** {generated_at}", f"- **Database:** {database}", f"- **Report Period:** {period}", ""]
+    return lines, between, after
+
+
+def render(tables: dict[str, DataFrame], generated_at: str, database: str, period: str = "Latest harvest run") -> str:
+    """The report as Markdown, for few errors and duplicates, which all come to the driver; write_report() is for any number."""
+    counts = records_per_endpoint(tables["records"], tables["endpoints"]).collect()
+    events = summary(tables["harvest_events"], tables["harvest_runs"], tables["endpoints"]).collect()
+    bad = [r["value"] for r in error_texts(errors(tables["harvest_events"], tables["harvest_runs"], tables["endpoints"])).collect()]
+    twice = [r["value"] for r in duplicate_texts(duplicates(tables["records"], tables["endpoints"])).collect()]
+    before, between, after = frame(counts, events, len(bad), len(twice), generated_at, database, period)
+    return "\n".join([*before, *bad, *between, *twice, *after])
