@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.operators import runs as ops
-from sheafmill.plans import changes
+from sheafmill.plans import changes, views
 from sheafmill.session import keep, ship_package
 from sheafmill.sources.commits import Log
 from sheafmill.streaming.ingest import index_run
@@ -35,6 +35,21 @@ class Warehouse:
         args = self.table("harvest_runs"), self.table("endpoints")
         return ops.latest_run(*args, harvest_url) if harvest_url is not None else ops.latest_runs(*args)
 
+    def create_views(self) -> None:
+        """Keep the statistics of records and the counts of events up to date from now on."""
+        self.log.transact(lambda t: views.create(t))
+
+    def records_statistics(self) -> DataFrame:
+        return views.records_statistics(self.log.state())
+
+    def events_summary(self) -> DataFrame:
+        return views.events_summary(self.log.state())
+
+    def delete(self, table: str, ids: list[str]) -> dict[str, list[int]]:
+        """Delete rows of a table by id, and all rows of other tables that refer to them; returns the buckets that were rewritten. Documents of deleted records stay in the search indexes."""
+        gone = self.spark.createDataFrame([(i,) for i in ids], "id string")
+        return self.log.transact(lambda t: changes.delete_cascade(t, table, gone))
+
     def open_run(self, harvest_url: str) -> dict:
         """Open a run; returns its id, dates and the endpoint's configuration. Raises ValueError if there can be none."""
         run_id, now = str(uuid.uuid4()), datetime.datetime.now(datetime.timezone.utc)

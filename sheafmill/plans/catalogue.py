@@ -695,4 +695,4 @@ def generated_ids(spark, sf_dir):
     return ids.agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_distinct"), F.count_if(F.col("id").rlike("^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$")).alias("n_well_formed"))
 
 
-from sheafmill.plans import indexed  # noqa: E402, F401  registers its queries too
+from sheafmill.plans import indexed, kept  # noqa: E402, F401  register their queries too

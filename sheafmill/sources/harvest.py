@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.operators.xml import header, parse
+from sheafmill.plans import views
 from sheafmill.sources.commits import Log, NoTable, Transaction
 from sheafmill.sources.tables import ENUMS, RESOURCE_TYPE, SCHEMAS, conform, empty_table, seed_endpoints, seed_repositories
 
@@ -60,6 +61,7 @@ def write_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame]
             old = t.state.tables.get(name)
             keys = old.keys if old and set(old.keys) <= set(df.columns) else BUCKET_KEYS.get(name, df.columns[:1])
             t.create(name, df, keys, old.buckets if old else buckets, version)
+        views.renew(t, tables)
 
     Log(spark, root).transact(work)
 
