@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheafmill.functions.english import stems_sql
-from sheafmill.operators import search, textindex, vectorindex
+from sheafmill.operators import bitmapindex, jsonindex, search, textindex, vectorindex
 from sheafmill.plans.catalogue import _KNN, _TERMS, _first_vector, _read, query
 from sheafmill.session import shared_path
 
@@ -111,3 +111,52 @@ def knn_indexed(spark, sf_dir):
     e = _read(spark, sf_dir, "embeddings")
     found = _vectors(spark, sf_dir).search_all(e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")))
     return found.select("query_id", "rank", F.col("key").alias("vec_id"), F.round("score", 6).alias("score"))
+
+
+def _facets(spark, sf_dir) -> bitmapindex.BitmapIndex:
+    """Customers with their orders as nested elements: segment, nation, and orders by state and priority, and by priority and date."""
+    order = F.struct(F.col("o_orderstatus").alias("lang"), F.col("o_orderpriority").alias("dateType"), F.to_date("o_orderdate").alias("date"))
+    orders = _read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(order).alias("dates"))
+    docs = _read(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    fields = {"segment": F.col("c_mktsegment"), "nation": F.col("c_nationkey"), "state": bitmapindex.pair("dates", "lang", "dateType"), "date": bitmapindex.pair("dates", "dateType", "date")}
+    return bitmapindex.build(docs, "c_custkey", fields, shared_path(spark, "bitmap-index"))
+
+
+_FILTERS = [
+    ("state", bitmapindex.starting(bitmapindex.joined("F", "1"))),
+    ("date", bitmapindex.between(bitmapindex.joined("2-HIGH", ""), bitmapindex.joined("2-HIGH", "1997-03-01"))),
+    ("nation", bitmapindex.one_of(*map(str, range(3, 20)))),
+]
+_MEETS = """FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority LIKE '1%') AND c_nationkey BETWEEN 3 AND 19
+  AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '2-HIGH' AND CAST(o_orderdate AS DATE) <= DATE '1997-03-01')"""
+
+
+@query(f"SELECT c_mktsegment AS key, count(*) AS doc_count {_MEETS} AND c_mktsegment IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def facet_filtered(spark, sf_dir):
+    """A facet under two nested conditions and a list of values, by bitmaps."""
+    return _facets(spark, sf_dir).facet("segment", _FILTERS)
+
+
+@query(f"SELECT c_custkey {_MEETS}")
+def bitmap_filtered(spark, sf_dir):
+    """The documents under the filters of facet_filtered."""
+    return _facets(spark, sf_dir).keys(_FILTERS).select(F.col("key").alias("c_custkey"))
+
+
+def _clicks(spark, sf_dir) -> jsonindex.JsonIndex:
+    return jsonindex.build(_read(spark, sf_dir, "clicks").filter("click_id IS NOT NULL"), "click_id", "props", shared_path(spark, "json-index"))
+
+
+_CONTAINED = "SELECT DISTINCT click_id FROM clicks WHERE click_id IS NOT NULL AND CASE WHEN json_valid(props) THEN json_contains(props, '{0}') END"
+
+
+@query(_CONTAINED.format('{"device": {"os": "ios"}, "tags": ["a"]}'))
+def json_indexed(spark, sf_dir):
+    """Clicks whose properties contain nested members and an element, by the index alone."""
+    return _clicks(spark, sf_dir).containing('{"tags": ["a"], "device": {"os": "ios"}}').select(F.col("key").alias("click_id")).distinct()
+
+
+@query("SELECT DISTINCT click_id FROM (SELECT click_id, unnest(CAST(json_extract(props, '$.items[*]') AS JSON[])) AS item FROM clicks WHERE click_id IS NOT NULL AND json_valid(props)) WHERE json_extract(item, '$.sku') = 1 AND json_extract(item, '$.qty') = 1")
+def json_indexed_elements(spark, sf_dir):
+    """Clicks with one item that has two members, by the index and a check of its candidates."""
+    return _clicks(spark, sf_dir).containing('{"items": [{"sku": 1, "qty": 1}]}').select(F.col("key").alias("click_id")).distinct()
