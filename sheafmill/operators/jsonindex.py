@@ -8,7 +8,7 @@ only, an array contains a scalar that is one of its elements. Numbers are equal
 
 Documents are parsed to variants and opened level by level; each scalar, and each container without members, is a row (path, value, key), where elements of an array share one path. Rows are sorted by path and
 value over range-partitioned files, so a search reads row groups that can hold what it asks for. A document has to have all of the asked rows. That alone is exact unless an element of an asked array has
-several members, which one element of the document's array has to contain together; then the candidates, and no others, are checked on their variants.
+several members, which one element of the document's array has to contain together; then the candidates, and no others, are parsed again and checked.
 
 Defined cases: a null, a text that is no JSON, and an object with a name twice are contained in nothing and contain nothing; repeated keys are one document where no check is needed, so keys should be unique; an asked `{}`
 or `[]` is contained in every object or array.
@@ -62,16 +62,18 @@ def _value(v: Column, kind: Column) -> Column:
 def build(docs: DataFrame, key: str, column: str, path: str, files: int | None = None) -> JsonIndex:
     """Index a column of JSON texts under a new folder. files: how many ranges the rows are cut into (default: Spark's number of shuffle partitions)."""
     spark = docs.sparkSession
-    docs.select(F.col(key).alias("key"), F.try_parse_json(column).alias("v")).filter("v IS NOT NULL").write.parquet(f"{path}/documents")
+    docs.select(F.col(key).alias("key"), F.col(column).alias("text")).filter("text IS NOT NULL").write.parquet(f"{path}/documents")
     with Scratch(spark) as scratch:
-        level = spark.read.parquet(f"{path}/documents").select("key", F.lit("$").alias("path"), "v")
+        level = spark.read.parquet(f"{path}/documents").select("key", F.lit("$").alias("path"), F.try_parse_json("text").alias("v")).filter("v IS NOT NULL")
         parts = []
         while not level.isEmpty():  # once for each level that documents have
-            seen = scratch.keep(level.withColumn("kind", kind_of(F.col("v"))), "level")
-            parts.append(seen.select("path", _value(F.col("v"), F.col("kind")).alias("value"), "key"))
+            v, kind = F.col("v"), F.col("kind")
+            opened = level.withColumn("kind", kind_of(v)).select("key", "path", "kind", _value(v, kind).alias("value"), F.when(kind.isin("OBJECT", "ARRAY"), v).alias("v"))
+            seen = scratch.keep(opened, "level")  # values are worked out once, though the range partitioning reads them twice
+            parts.append(seen.select("path", "value", "key"))
             children = [
-                seen.filter("kind = 'OBJECT'").select("key", "path", F.explode(_members(F.col("v"))).alias("name", "child")).select("key", F.concat("path", F.lit(STEP + "."), "name").alias("path"), F.col("child").alias("v")),
-                seen.filter("kind = 'ARRAY'").select("key", F.concat("path", F.lit(ELEMENT)).alias("path"), F.explode(_elements(F.col("v"))).alias("v")),
+                seen.filter("kind = 'OBJECT'").select("key", "path", F.explode(_members(v)).alias("name", "child")).select("key", F.concat("path", F.lit(STEP + "."), "name").alias("path"), F.col("child").alias("v")),
+                seen.filter("kind = 'ARRAY'").select("key", F.concat("path", F.lit(ELEMENT)).alias("path"), F.explode(_elements(v)).alias("v")),
             ]
             level = children[0].unionByName(children[1])
         rows = reduce(DataFrame.unionByName, parts) if parts else docs.select(F.lit("").alias("path"), F.lit("").alias("value"), F.col(key).alias("key")).limit(0)
@@ -145,4 +147,4 @@ class JsonIndex:
         if enough:
             return found
         documents = self.spark.read.parquet(f"{self.path}/documents")
-        return documents.join(found, "key", "left_semi").filter(contains(F.col("v"), value)).select("key")
+        return documents.join(found, "key", "left_semi").select("key", F.try_parse_json("text").alias("v")).filter(contains(F.col("v"), value)).select("key")
