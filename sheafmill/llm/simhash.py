@@ -11,7 +11,8 @@ of all fingerprints, so entries are posted in combinations: of the four 2-byte b
 and each fingerprint is posted under its six block pairs, four entries each. Within a posting list the entries that each pair shares are
 tallied, pairs below six are dropped, and those that are left are verified by counting differing bits. A posting list of more than
 HOT_POSTING fingerprints is posted again under two more entries: four bytes remain, of which two or more agree. Such a
-list has 16 free bits, so it never holds over 65,536 fingerprints, whatever the input; all lists are worked through alike. A list reports a spanning
+list has 16 free bits, so it never holds over 65,536 fingerprints, whatever the input. All its pairs share six entries, so a tally drops none of them;
+where it is long, a member's partners are looked up under each change of at most two free bits (136 of them), not among all pairs. A list reports a spanning
 forest of its links, not the pairs.
 
 Defined cases: repeated rows and equal texts share a fingerprint, which is indexed once; an empty table gives an empty
@@ -36,7 +37,7 @@ WIDTH = 3
 MAX_BITS = 2
 #: Positional bytes that a pair within MAX_BITS must share.
 MIN_SHARED = 8 - MAX_BITS
-#: Fingerprints in a posting list that is worked through as it is; longer lists are posted under more bytes.
+#: Fingerprints in a posting list whose pairs are tallied; longer lists are posted under more bytes, and what is still longer is looked up.
 HOT_POSTING = 1024
 #: Pairs tallied at once.
 TALLIED = 1 << 21
@@ -108,9 +109,33 @@ def tally(members: np.ndarray, others: np.ndarray) -> np.ndarray:
     return shared
 
 
+def changes(members: np.ndarray) -> np.ndarray:
+    """Every change of 1 to MAX_BITS of the bits in which members differ from one another."""
+    free = int(np.bitwise_or.reduce(members ^ members[0]))
+    bits = [1 << b for b in range(64) if free >> b & 1]
+    return np.array([sum(c) for m in range(1, MAX_BITS + 1) for c in combinations(bits, m)], dtype=np.uint64)
+
+
+def _labels_of_long(members: np.ndarray) -> np.ndarray:
+    """As _labels, by looking up each change of a member."""
+    n, links_a, links_b = len(members), [], []
+    order = np.argsort(members)
+    ascending = members[order]
+    for change in changes(members):
+        partner = ascending ^ change
+        at = np.minimum(np.searchsorted(ascending, partner), n - 1)
+        a = np.flatnonzero((ascending[at] == partner) & (at < np.arange(n)))
+        links_a.append(order[a])
+        links_b.append(order[at[a]])
+    a, b = np.concatenate(links_a), np.concatenate(links_b)
+    return _settle(np.arange(n), np.concatenate([a, b]), np.concatenate([b, a]))
+
+
 def _labels(members: np.ndarray) -> np.ndarray:
     """The smallest member (by position) each member is linked to, directly or not; members: distinct uint64."""
     n = len(members)
+    if n > HOT_POSTING:
+        return _labels_of_long(members)
     links_a, links_b = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
     start = 0
     while start < n - 1:

@@ -104,6 +104,7 @@ def test_tally_drops_candidates_in_lists_of_all_lengths(monkeypatch):
         if n > 100:
             assert (shared < simhash.MIN_SHARED).mean() > 0.5
         monkeypatch.setattr(simhash, "TALLIED", 1 << 12)
+        monkeypatch.setattr(simhash, "HOT_POSTING", 1 << 12)
         label, root = simhash._labels(members), np.arange(n)
         while True:
             new = np.array([root[row].min() for row in bits <= simhash.MAX_BITS])
@@ -111,3 +112,32 @@ def test_tally_drops_candidates_in_lists_of_all_lengths(monkeypatch):
                 break
             root = new
         assert np.array_equal(label, root)
+
+
+def test_long_lists_like_all_pairs(monkeypatch):
+    """Members that agree in six bytes, in any order: the labels are those of the pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    for shift, n in ((0, 1500), (24, 6000), (48, 20)):
+        base = np.uint64(int(rng.integers(1 << 63)) * 2 + 1)
+        members = base ^ (rng.choice(1 << 16, n, replace=False).astype(np.uint64) << np.uint64(shift))
+        monkeypatch.setattr(simhash, "HOT_POSTING", 10)
+        label = simhash._labels(members)
+        monkeypatch.setattr(simhash, "HOT_POSTING", 1 << 20)
+        assert np.array_equal(label, simhash._labels(members))
+    sparse = np.uint64(1 << 63) | (np.array([0, 3, 12, 0x3F0, 0xFFFF], dtype=np.uint64) << np.uint64(20))
+    monkeypatch.setattr(simhash, "HOT_POSTING", 2)
+    assert simhash._labels(sparse).tolist() == [0, 0, 0, 3, 4]
+
+
+def test_longest_list_takes_seconds():
+    """All 65,536 fingerprints that agree in six bytes are one component; all pairs would be two thousand million."""
+    import time
+
+    import numpy as np
+
+    members = np.uint64(0xABCDEF) | (np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
+    start = time.time()
+    assert not simhash._labels(members).any()
+    assert time.time() - start < 30
