@@ -6,8 +6,9 @@ byte for each component: the number of the cell that it is in. Cells of a dimens
 lowest and highest components are kept. (2) Queries are written as files of packed vectors. (3) One task for each block scans its
 approximations for every query: cell ends give a lower and an upper bound of each score. What k others certainly beat is
 out; of the rest, exact vectors are read from the file at their places, largest upper bound first, until the k-th best score read is certain.
-A window ranks the k rows that each block reports for a query. (Largest inner product for smallest distance: an upper
-bound of the score plays the lower bound of the distance.)
+A share of the blocks, picked by hash, is searched first; the k-th best score that a query has there is its threshold, and the other blocks read and report only what
+reaches it. So what is read and shuffled for a query follows k and the share, not the number of blocks. A window ranks the rows that are reported for a query. (Largest
+inner product for smallest distance: an upper bound of the score plays the lower bound of the distance.)
 
 A task holds one block (bounded in components) and a step of queries, however many rows there are; equal vectors of a block are one
 entry with many ids. Blocks are dealt out evenly, one to a task. What goes to the driver is a row for each query file.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafmill.llm.common import Scratch, keep, spread, text_session
@@ -38,6 +39,8 @@ BLOCK_COMPONENTS = 1 << 21
 QUERY_COMPONENTS = 1 << 22
 #: Cells of a dimension.
 CELLS = 64
+#: One block in so many is searched first, for thresholds (of few blocks, one in four or two).
+FIRST_SHARE = 16
 #: Bounds held at once (queries times vectors), and exact vectors read in one step.
 BOUNDS = 1 << 20
 READ_STEP = 32
@@ -111,9 +114,12 @@ def _write_blocks(root: str):
 
 
 def _write_queries(root: str):
+    """Files of queries: ids, thresholds, vectors. A vector comes with its threshold before it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, exact in gathered(batches, QUERY_COMPONENTS):
-            uri = write_arrays(root, [ids.astype("<i8"), exact.astype("<i8")])
+        for ids, rows in gathered(batches, QUERY_COMPONENTS):
+            exact = rows[:, 1:]
+            uri = write_arrays(root, [ids.astype("<i8"), rows[:, 0].astype("<i8"), exact.astype("<i8")])
             yield pa.RecordBatch.from_pylist([{"uri": uri, "d": exact.shape[1], "n": len(ids)}], pa.schema([("uri", pa.string()), ("d", pa.int32()), ("n", pa.int64())]))
 
     return run
@@ -153,20 +159,23 @@ class Block:
             return exact @ query
         return np.array([min(max(s, LONG.min), LONG.max) for s in exact.astype(object) @ query.astype(object)], dtype=np.int64)
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-        """(query id, vector id, score) of each query's k best, or all if there are fewer."""
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, thresholds: np.ndarray | None = None) -> Iterator[tuple[int, int, int]]:
+        """(query id, vector id, score) of each query's k best, or all if there are fewer; of those below a query's threshold any may be missing."""
         step = max(1, BOUNDS // self.u)
+        thresholds = np.full(len(queries), LONG.min) if thresholds is None else thresholds
         for start in range(0, len(queries), step):
-            part = queries[start : start + step]
-            for own, query, lower, upper, reach in zip(query_ids[start : start + step].tolist(), part, *self.bounds(part)):
-                yield from ((own, i, s) for s, i in self._best(own, query, lower, upper, float(reach), k))
+            part, least = queries[start : start + step], thresholds[start : start + step]
+            lower, upper, reach = self.bounds(part)
+            for i in np.flatnonzero(upper.max(axis=1) >= least):
+                own = int(query_ids[start + i])
+                yield from ((own, v, s) for s, v in self._best(own, part[i], lower[i], upper[i], float(reach[i]), k, int(least[i])))
 
-    def _best(self, own: int, query: np.ndarray, lower: np.ndarray, upper: np.ndarray, reach: float, k: int) -> list[tuple[int, int]]:
+    def _best(self, own: int, query: np.ndarray, lower: np.ndarray, upper: np.ndarray, reach: float, k: int, threshold: int) -> list[tuple[int, int]]:
         for g in np.searchsorted(self.first, np.flatnonzero(self.ids == own), side="right") - 1:
             lower[g] = -np.inf  # entries that hold the query's own id vouch for nothing
             if (self.ids[self.first[g] : self.first[g + 1]] == own).all():
                 upper[g] = -np.inf
-        alive = upper > -np.inf
+        alive = (upper > -np.inf) & (upper >= threshold)
         if self.u > k:
             least = np.partition(lower, self.u - k)[self.u - k]
             sure = np.flatnonzero(lower >= least)
@@ -180,7 +189,7 @@ class Block:
             if len(best) == k and upper[places[0]] < best[-1][0]:
                 break
             for g, s in zip(places.tolist(), self.read(places, query, reach).tolist()):
-                if len(best) < k or s >= best[-1][0]:
+                if s >= threshold and (len(best) < k or s >= best[-1][0]):
                     some = self.ids[self.first[g] : min(self.first[g] + k, self.first[g + 1])]
                     if own in some:
                         some = self.ids[self.first[g] : self.first[g + 1]]
@@ -201,7 +210,8 @@ def _search(files: list[tuple[str, int, int]], k: int):
                     step = max(1, QUERY_COMPONENTS // 16 // d)
                     for start in range(0, n, step):
                         m = min(step, n - start)
-                        found = list(block.search(queries.read(8 * start, "<i8", m), queries.read(8 * (n + start * d), "<i8", m, d), k))
+                        ids, least = queries.read(8 * start, "<i8", m), queries.read(8 * (n + start), "<i8", m)
+                        found = list(block.search(ids, queries.read(8 * (2 * n + start * d), "<i8", m, d), k, least))
                         columns = list(zip(*found)) or [()] * 3
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
@@ -215,10 +225,22 @@ def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame
     rows = integer_vectors(spread(vectors))
     with Scratch(spark) as scratch:
         blocks = scratch.keep(rows.mapInArrow(_write_blocks(scratch.path("vector-approximations")), "uri string, d int, n bigint, u bigint"), "blocks")
-        asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-        files = asked.mapInArrow(_write_queries(scratch.path("queries")), "uri string, d int, n bigint").collect()  # a row for each file of queries
-        found = blocks.repartition(max(1, blocks.count())).mapInArrow(_search([tuple(f) for f in files], k), "query_id bigint, vec_id bigint, score bigint")
+        asked = scratch.keep(rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")), "asked")
+        none = F.lit(LONG.min)
+
+        def searched(some: DataFrame, thresholds: Column, queries: DataFrame) -> DataFrame:
+            packed = queries.select("vec_id", F.concat(F.array(thresholds), "v").alias("v"))
+            files = packed.mapInArrow(_write_queries(scratch.path("queries")), "uri string, d int, n bigint").collect()  # a row for each file of queries
+            return some.repartition(max(1, some.count())).mapInArrow(_search([tuple(f) for f in files], k), "query_id bigint, vec_id bigint, score bigint")
+
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+        share = min(FIRST_SHARE, max(2, blocks.count() // 4))
+        early = F.pmod(F.xxhash64("uri"), F.lit(share)) == 0
+        first = searched(blocks.filter(early), none, asked).withColumn("rank", rank).filter(F.col("rank") <= k)
+        first = scratch.keep(first, "first")
+        least = first.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+        queries = asked.join(least, asked["vec_id"] == least["query_id"], "left")
+        found = first.drop("rank").unionByName(searched(blocks.filter(~early), F.coalesce("least", none), queries))
         return keep(found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "top-k")
 
 

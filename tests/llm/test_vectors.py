@@ -83,7 +83,8 @@ def test_rows(spark, monkeypatch):
     rows += [(1000 + i, rows[50][1]) for i in range(10)] + [(100, rows[100][1])]
     frame = spark.createDataFrame([(i, e, 1) for i, e in rows], "vec_id long, embedding array<double>, rank int")
     want = plain(rows)
-    for most in (1 << 20, 200):
+    for most, share in ((1 << 20, 16), (200, 16), (200, 1), (200, 1 << 40)):  # thresholds from some blocks, from all, from one in four
+        monkeypatch.setattr(v, "FIRST_SHARE", share)
         for name in ("BLOCK_COMPONENTS", "QUERY_COMPONENTS", "BOUNDS"):
             monkeypatch.setattr(v, name, most)
         got = list(map(tuple, v.top_k(frame).collect()))
@@ -91,3 +92,24 @@ def test_rows(spark, monkeypatch):
     assert v.top_k(frame.limit(0)).collect() == []
     few = frame.filter("vec_id in (50, 51)")
     assert [r["vec_id"] for r in v.top_k(few).collect()] == [51]
+
+
+def test_thresholds_leave_what_reaches_them(tmp_path):
+    """With the k-th best score of other vectors as threshold, a block reports just what reaches it, ties included, and reads less."""
+    rng = np.random.default_rng(6)
+    exact = np.floor(rng.normal(0, 32, (6000, 16))).astype(np.int64)
+    ids = np.arange(len(exact))
+    queries = exact[:40]
+    scores = queries @ exact.T
+    scores[np.arange(40), np.arange(40)] = LONG_MIN = np.iinfo(np.int64).min
+    least = np.sort(scores[:, :3000], axis=1)[:, -5]
+    (block,) = block_of(tmp_path, ids[3000:], exact[3000:])
+    got = list(block.search(ids[:40], queries, 5, least))
+    few, block.reads = block.reads, 0
+    assert len(list(block.search(ids[:40], queries, 5))) == 200 and few < block.reads
+    for q in range(40):
+        want = [(int(scores[q, i]), int(i)) for i in np.lexsort((ids, -scores[q])) if i >= 3000 and scores[q, i] >= least[q]][:5]
+        assert [(s, i) for qq, i, s in got if qq == q] == want
+    tied = np.sort(scores[:, 3000:], axis=1)[:, -1]
+    assert {q for q, _, s in block.search(ids[:40], queries, 5, tied) if s == tied[q]} == set(range(40))
+    assert not list(block.search(ids[:40], queries, 5, tied + 1)) and tied.min() > LONG_MIN
