@@ -1,12 +1,13 @@
 """Near copies for the pipeline: documents whose five-word shingle sets have a Jaccard similarity of at least 0.8.
 
-This is operator 7's similarity setting. Pairs that similar lie up to some 20 of 64 fingerprint bits apart, more than the positional bytes of a fingerprint can
-guarantee matches for, so candidates come from an exact filter on the shingles themselves; components and the choice of rows are those of `simhash`.
+The search is operator 7's first: SimHash fingerprints (of these shingles), the byte-position inverted index, its count filter and the verification of bits (`simhash.links`); an exact check
+of the similarity follows. Pairs that similar lie up to some 20 of 64 fingerprint bits apart, more than the positional bytes of a fingerprint can
+guarantee matches for, so an exact filter on the shingles themselves finds what fingerprints leave in different groups; components and the choice of rows are those of `simhash`.
 
 A text is lower-cased (A-Z) and cut into words at ASCII white space, as for the fingerprints of op7; a text with fewer than five words has its
 whole word sequence as one shingle. Two documents are linked if 0.8 or more of their joint distinct shingles are in both; a group is what links reach.
 
-Search: prefix filter. With the shingles of every set in one order, two sets that similar have a shingle in common among the first
+Search for the rest: prefix filter. With the shingles of every set in one order, two sets that similar have a shingle in common among the first
 n - ceil(0.8 n) + 1 of each, n being the set's size. So only these are posted, and every pair within a posting list whose sizes allow 0.8 is a
 candidate: no pair is lost. Any order is right; shingles that are common in all texts come last, so that posting lists are short.
 
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from sheafmill.llm.common import Scratch, text_session, texts
 from sheafmill.llm.decontaminate import REMEMBERED, needed, shingle_hashes
+from sheafmill.llm import simhash
 from sheafmill.llm.simhash import components, one_of_each
 
 WIDTH = 5
@@ -138,18 +140,24 @@ def sketch(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def fingerprint(own: np.ndarray) -> int:
+    """The SimHash of a set's shingle hashes: a bit is 1 if it is set in over half of them."""
+    return int(np.packbits(2 * np.unpackbits(own.view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64) > len(own)).view(np.uint64)[0])
+
+
 def _marker(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, place = shared.value
         seen: set[int] = set()
         for batch in batches:
-            node, size, first, sketches, fresh = [], [], [], [], []
+            node, size, bits, first, sketches, fresh = [], [], [], [], [], []
             for text in texts(batch):
                 own = hashes(text)
                 fp = xxhash.xxh64_intdigest(own.tobytes())
                 node.append(fp)
                 size.append(len(own))
                 fresh.append(fp not in seen)
+                bits.append(fingerprint(own) if fresh[-1] else 0)
                 if fresh[-1]:
                     seen.add(fp)
                     first.append(prefix(own, common, place).view(np.int64))
@@ -162,20 +170,20 @@ def _marker(shared):
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.empty(0, np.int64))))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text_hash")]
-            fp = pa.array(np.array(node, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*columns, fp, pa.array(size, pa.int32()), *lists], names=["doc_id", "text_hash", "fp", "n", "sketch", "prefix"])
+            fp, bits = (pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (node, bits))
+            yield pa.RecordBatch.from_arrays([*columns, fp, pa.array(size, pa.int32()), bits, *lists], names=["doc_id", "text_hash", "fp", "n", "bits", "sketch", "prefix"])
         _hash_of.clear()
 
     return run
 
 
 def marks(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, fp, n, sketch, prefix) of every row; fp is the hash of the shingle set, n its size. Of rows of one set, a task gives the
-    sketch and the prefix of the first, so that a large group of copies is not posted row by row; those of the others are empty."""
+    """(doc_id, text_hash, fp, n, bits, sketch, prefix) of every row; fp is the hash of the shingle set, n its size, bits its SimHash. Of rows of one set, a task gives bits,
+    sketch and prefix of the first, so that a large group of copies is not posted row by row; those of the others are zero and empty."""
     text_session(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_marker(shared), f"doc_id {kind}, text_hash bigint, fp bigint, n int, sketch array<bigint>, prefix array<bigint>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_marker(shared), f"doc_id {kind}, text_hash bigint, fp bigint, n int, bits bigint, sketch array<bigint>, prefix array<bigint>")
 
 
 LIST_SCHEMA = "list bigint, piece int, center bigint, center_n int, members array<bigint>, sizes array<int>"
@@ -392,23 +400,37 @@ def between(lists: DataFrame, group: DataFrame, nodes: DataFrame, scratch: Scrat
     return rows.select("list", "a", "b", "m").mapInArrow(_pairs_between, "u bigint, v bigint").distinct()
 
 
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (u, v), u < v, of nodes that connect what fingerprints link: of one fingerprint each node with the smallest, of two that simhash.links links their smallest. nodes: (fp, bits)."""
+    least = nodes.groupBy("bits").agg(F.min("fp").alias("least"))
+    same = nodes.join(least, "bits").select("fp", F.col("least").alias("other"))
+    a, b = (least.select(F.col("bits").alias(c), F.col("least").alias(f"{c}_least")) for c in "uv")
+    linked = simhash.links(least.select(F.col("bits").alias("fp"))).join(a, "u").join(b, "v").select(F.col("u_least").alias("fp"), F.col("v_least").alias("other"))
+    return same.unionByName(linked).select(F.least("fp", "other").alias("u"), F.greatest("fp", "other").alias("v")).filter("u <> v").distinct()
+
+
+def apart(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose nodes are in different groups. group: (node, root)."""
+    a, b = (group.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "uv")
+    return pairs.join(a, "u", "left").join(b, "v", "left").filter("coalesce(u_root, u) <> coalesce(v_root, v)").select(*pairs.columns)
+
+
 def links(found: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (u, v) between nodes that connect exactly what is similar. found: marks."""
     first = found.filter(F.size("sketch") > 0)
     posted = first.select(F.explode("prefix").alias("key"), "fp", "n")
     lists = scratch.keep(posted.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_list_batches, LIST_SCHEMA), "lists")
-    nodes = scratch.keep(first.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")), "nodes")
+    nodes = scratch.keep(first.groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")), "nodes")
+    near = verified(alike(fingerprint_pairs(nodes.select("fp", "bits")), nodes, scratch), docs, nodes, scratch)
     pairs = scratch.keep(lists.mapInArrow(_pair_batches, "u bigint, v bigint").distinct(), "pairs")
-    near = verified(alike(pairs, nodes, scratch), docs, nodes, scratch)
+    near = near.unionByName(verified(alike(apart(pairs, components(near, scratch)), nodes, scratch), docs, nodes, scratch))
     if not lists.filter((F.size("members") > SHORT) | (F.col("piece") > 0)).limit(1).count():
         return near
     more = alike(between(lists, components(near, scratch), nodes, scratch), nodes, scratch)
     # Each node's nearest first: most pairs are within one group after that, and only what is left needs all its texts.
     best = more.select(F.explode(F.array("u", "v")).alias("node"), F.struct("d", "u", "v").alias("p")).groupBy("node").agg(F.min("p").alias("p"))
     near = near.unionByName(verified(best.select("p.u", "p.v").distinct(), docs, nodes, scratch))
-    group = components(near, scratch)
-    a, b = (group.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "uv")
-    rest = more.join(a, "u", "left").join(b, "v", "left").filter("coalesce(u_root, u) <> coalesce(v_root, v)")
+    rest = apart(more, components(near, scratch))
     return near.unionByName(verified(rest, docs, nodes, scratch))
 
 
