@@ -98,7 +98,7 @@ def english_phrase(spark, sf_dir):
 def english_stems(spark, sf_dir):
     """Every stem of the documents, with how many documents and places have it."""
     rows = spark.read.parquet(f"{_english(spark, sf_dir).path}/postings")
-    return rows.groupBy(F.col("term").alias("stem")).agg(F.count("*").alias("documents"), F.sum("tf").alias("places"))
+    return rows.groupBy(F.col("term").alias("stem")).agg(F.sum(F.size("keys")).alias("documents"), F.sum(F.size("positions")).alias("places"))
 
 
 def _vectors(spark, sf_dir) -> vectorindex.VectorIndex:
