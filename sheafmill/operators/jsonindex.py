@@ -32,6 +32,8 @@ STEP = "\x1f"
 ELEMENT = STEP + "[]"
 #: Numbers are compared in this type, which may not hold all of their digits, and as doubles.
 EXACT = "decimal(38,18)"
+#: Rows of one range of the index, and keys that one task groups for a search, at most about, so that a task takes no more memory in a larger index.
+RANGE_ROWS = 1_000_000
 _NUMBERS = ("TINYINT", "SMALLINT", "INT", "BIGINT", "DECIMAL", "FLOAT", "DOUBLE")
 
 
@@ -60,7 +62,7 @@ def _value(v: Column, kind: Column) -> Column:
 
 
 def build(docs: DataFrame, key: str, column: str, path: str, files: int | None = None) -> JsonIndex:
-    """Index a column of JSON texts under a new folder. files: how many ranges the rows are cut into (default: Spark's number of shuffle partitions)."""
+    """Index a column of JSON texts under a new folder. files: how many ranges the rows are cut into (default: by their number)."""
     spark = docs.sparkSession
     docs.select(F.col(key).alias("key"), F.col(column).alias("text")).filter("text IS NOT NULL").write.parquet(f"{path}/documents")
     with Scratch(spark) as scratch:
@@ -78,10 +80,16 @@ def build(docs: DataFrame, key: str, column: str, path: str, files: int | None =
             level = children[0].unionByName(children[1])
         rows = reduce(DataFrame.unionByName, parts) if parts else docs.select(F.lit("").alias("path"), F.lit("").alias("value"), F.col(key).alias("key")).limit(0)
         order = ["path", "value", "key"]
+        files = files or _parts(rows.count())  # of files just written: their footers say it
         (rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)).sortWithinPartitions(*order).write.parquet(f"{path}/rows")
     return JsonIndex(spark, path)
 
 
+def _parts(rows: int) -> int | None:
+    """How many partitions so many rows need, if more than one. The number is given, since Spark puts partitions together by their compressed size, of which a sort takes many times as much."""
+    return -(-rows // RANGE_ROWS) if rows > RANGE_ROWS else None
+
+
 def asked(wanted: Any, path: str = "$") -> tuple[list[tuple[str, Any]], bool]:
     """(path, scalar or empty container) of what a document has to have, and whether that is enough."""
     if isinstance(wanted, dict) and wanted:
@@ -133,9 +141,12 @@ class JsonIndex:
         plain = self.spark.range(1).select(*(c.alias(f"c{i}") for i, (_, c) in enumerate(texts))).first()  # values of the query, so that the scan gets literals
         places = sorted({(path, plain[i]) for i, (path, _) in enumerate(texts)})
         rows = self.spark.read.parquet(f"{self.path}/rows")
-        hit = reduce(lambda a, b: F.when((F.col("path") == b[1][0]) & (F.col("value") == b[1][1]), b[0]).otherwise(a), enumerate(places), F.lit(None).cast("int"))
         some = rows.filter(reduce(lambda a, b: a | b, ((F.col("path") == p) & (F.col("value") == v) for p, v in places)))
-        return some.groupBy("key").agg(F.collect_set(hit).alias("hits")).filter(F.size("hits") == len(places)).select("key")  # of each key at most the query's leaves
+        each = some.select("key", *(((F.col("path") == p) & (F.col("value") == v)).alias(f"has{i}") for i, (p, v) in enumerate(places)))
+        parts = _parts(some.count())
+        each = each.repartition(parts, "key") if parts else each
+        found = each.groupBy("key").agg(*(F.bool_or(f"has{i}").alias(f"has{i}") for i in range(len(places))))
+        return found.filter(reduce(lambda a, b: a & b, (F.col(f"has{i}") for i in range(len(places))))).select("key")
 
     def containing(self, wanted: str) -> DataFrame:
         """(key) of the documents that contain a JSON value."""

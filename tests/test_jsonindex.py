@@ -57,3 +57,15 @@ def test_a_search_reads_few_rows(index):
 def test_empty_table(spark, tmp_path):
     index = jsonindex.build(spark.createDataFrame([], "id long, props string"), "id", "props", str(tmp_path / "index"))
     assert index.containing("{}").collect() == []
+
+
+def test_ranges_follow_the_rows(spark, tmp_path, monkeypatch):
+    """A range holds about so many rows however large the index is, and a search finds the same."""
+    monkeypatch.setattr(jsonindex, "RANGE_ROWS", 100)
+    docs = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(DOCUMENTS)], "id long, props string")
+    index = jsonindex.build(docs, "id", "props", str(tmp_path / "index"))
+    stored = spark.read.parquet(f"{tmp_path}/index/rows")
+    sizes = [r["count"] for r in stored.groupBy(stored["_metadata.file_path"]).count().collect()]
+    assert sum(sizes) > 800 and max(sizes) <= 200
+    want = [i for i, d in enumerate(DOCUMENTS) if holds(d, {"x": {}})]
+    assert sorted(r["key"] for r in index.containing('{"x": {}}').collect()) == want
