@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.operators.search import TOP_K, cosine
-from sheafmill.session import Scratch, ship_package
+from sheafmill.session import Scratch, keep, ship_package
 
 #: Rows that the centres are trained on, and how many centres there are, at most.
 SAMPLE = 50_000
@@ -30,6 +30,10 @@ TARGET = 0.95
 #: How many times k rows are rescored.
 REFINE = 8
 CODE = 127
+#: Rows, and queries, of one cell that a task compares at once, about, and queries of one product of matrices.
+CELL_ROWS = 20_000
+CELL_QUERIES = 4_096
+TILE = 128
 
 
 def unit(vector: Column) -> Column:
@@ -90,6 +94,30 @@ def measured(stored: DataFrame, centres: np.ndarray, k: int) -> tuple[int, float
     return probes, float((at < probes).mean())
 
 
+def _best_by_codes(most: int, own: bool):
+    """The rows that each query of a part of a cell is most similar to by their codes, ties by key."""
+
+    def run(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if asked.empty or rows.empty:
+            return pd.DataFrame({"query_id": asked["query_id"][:0], "cell": asked["cell"][:0], "key": rows["key"][:0], "rough": np.empty(0)})
+        rows = rows.sort_values("key", ignore_index=True)
+        codes, queries = np.stack(rows["code"].to_numpy()).astype(np.float64), np.stack(asked["q"].to_numpy())
+        keys, ids, found, scores = rows["key"].to_numpy(), asked["query_id"].to_numpy(), [], []
+        for start in range(0, len(ids), TILE):
+            rough = np.round(queries[start : start + TILE] @ codes.T, 6)  # equal codes have equal scores
+            if not own:
+                rough[ids[start : start + TILE, None] == keys[None, :]] = -np.inf
+            least = np.partition(rough, -most, axis=1)[:, -most] if len(keys) > most else np.full(len(rough), -np.inf)
+            for i, row in enumerate(rough):
+                top = np.flatnonzero((row >= least[i]) & (row > -np.inf))
+                top = top[np.argsort(-row[top], kind="stable")[:most]]
+                found.append(top)
+                scores.append(row[top])
+        return pd.DataFrame({"query_id": np.repeat(ids, [len(x) for x in found]), "cell": asked["cell"].iloc[0], "key": keys[np.concatenate(found)], "rough": np.concatenate(scores)})
+
+    return run
+
+
 class VectorIndex:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -117,7 +145,7 @@ class VectorIndex:
         return rows.filter(F.col("key").isin(keys)).select("key", cosine(F.col("exact"), exact).alias("score")).orderBy(F.col("score").desc(), "key").limit(k)
 
     def search_all(self, queries: DataFrame, k: int = TOP_K, own: bool = False) -> DataFrame:
-        """(query_id, rank, key, score) of many vectors (query_id, vector): each is compared with the rows of its nearest cells, joined by cell. own: whether a row with the query's id may be found."""
+        """(query_id, rank, key, score) of many vectors (query_id, vector): each is compared with the rows of its nearest cells, cut into parts of bounded size that meet by cell. own: whether a row with the query's id may be found."""
         if not len(self.centres):
             return self.vectors().selectExpr("key AS query_id", "0 AS rank", "key", "0D AS score").limit(0)
         centres = F.array(*(F.array(*(F.lit(float(x)) for x in c)) for c in self.centres))
@@ -127,13 +155,22 @@ class VectorIndex:
             return F.aggregate(F.zip_with(c, q, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
 
         ranked = F.slice(F.array_sort(F.transform(centres, lambda c, i: F.struct(apart(c, F.col("q")).alias("d"), i.alias("cell")))), 1, self.probes)
-        spots = asked.select("query_id", "q", F.explode(F.transform(ranked, lambda x: x["cell"])).alias("cell"))
-        rough = F.aggregate(F.zip_with("code", "q", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-        pairs = spots.join(self.vectors().select("cell", "key", "code"), "cell")
-        pairs = pairs if own else pairs.filter(F.col("query_id") != F.col("key"))
+        spots = keep(asked.select("query_id", "q", F.explode(F.transform(ranked, lambda x: x["cell"])).alias("cell")), "query-cells")
+        codes = self.vectors().select("cell", "key", "code")
+
+        def parts(rows: DataFrame, most: int) -> int:
+            return -(-(rows.groupBy("cell").count().agg(F.max("count")).first()[0] or 1) // most)
+
+        n, m = parts(codes, CELL_ROWS), parts(spots, CELL_QUERIES)
+        spots = spots.withColumn("asked", F.pmod(F.xxhash64("query_id"), F.lit(m))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        codes = codes.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(n))).withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+        at = ["cell", "part", "asked"]
+        spots, codes = (x.withColumns({c: F.col(c).cast("int") for c in at}) for x in (spots, codes))
+        schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, cell int, key {self.vectors().schema['key'].dataType.simpleString()}, rough double"
+        best = spots.groupBy(*at).cogroup(codes.groupBy(*at)).applyInPandas(_best_by_codes(REFINE * k, own), schema)
         from pyspark.sql import Window
 
         place = lambda order: F.row_number().over(Window.partitionBy("query_id").orderBy(*order))  # noqa: E731  groups are cut to the limit before the shuffle
-        best = pairs.select("query_id", "cell", "key", rough.alias("rough")).withColumn("place", place([F.col("rough").desc(), "key"])).filter(F.col("place") <= REFINE * k)
+        best = best.withColumn("place", place([F.col("rough").desc(), "key"])).filter(F.col("place") <= REFINE * k)
         exact = best.join(self.vectors().select("cell", "key", "exact"), ["cell", "key"]).join(asked.select("query_id", "vector"), "query_id")
         return exact.select("query_id", "key", cosine(F.col("exact"), F.col("vector")).alias("score")).withColumn("rank", place([F.col("score").desc(), "key"])).filter(F.col("rank") <= k).select("query_id", "rank", "key", "score")

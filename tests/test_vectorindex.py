@@ -1,6 +1,7 @@
 """The approximate vector index against the exact search."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +71,17 @@ def test_empty(spark, tmp_path):
     index = vectorindex.build(none, "id", "v", str(tmp_path / "i"))
     assert index.search([1.0, 2.0]).collect() == []
     assert index.search_all(none.select(F.col("id").alias("query_id"), F.col("v").alias("vector"))).collect() == []
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_parts_of_cells(own):
+    """A part of a cell gives each query's best by codes, ties by key, as all pairs would."""
+    rng = np.random.default_rng(8)
+    codes, queries = rng.integers(-3, 4, (300, 6)).astype(np.int8), rng.normal(size=(150, 6))
+    codes[50:200] = codes[50]  # copies
+    rows = pd.DataFrame({"cell": 3, "key": rng.permutation(300), "code": list(codes)})
+    asked = pd.DataFrame({"cell": 3, "query_id": np.arange(150), "q": list(queries)})
+    got = vectorindex._best_by_codes(10, own)(asked, rows)
+    for i, q in enumerate(queries):
+        want = sorted((-round(float(c @ q), 6), k) for k, c in zip(rows["key"], codes.astype(float)) if own or k != i)[:10]
+        assert [(-s, k) for s, k in zip(got["rough"][got["query_id"] == i], got["key"][got["query_id"] == i])] == [(pytest.approx(s, abs=2e-6), k) for s, k in want]
