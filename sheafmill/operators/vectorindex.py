@@ -40,7 +40,8 @@ def unit(vector: Column) -> Column:
     """A vector of length 1, in double precision; null for what can't be one."""
     v = vector.cast("array<double>")
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))  # null if a component is null
-    return F.when((norm > 0) & (norm < float("inf")), F.transform(v, lambda x: x / norm))
+    each = lambda n: F.when((n > 0) & (n < float("inf")), F.transform(v, lambda x: x / n))
+    return F.get(F.transform(F.array(norm), each), F.lit(0))  # a lambda's variable is worked out once, not for each component
 
 
 def build(docs: DataFrame, key: str, vector: str, path: str, keep_columns: tuple[str, ...] = (), k: int = TOP_K, cells: int | None = None) -> VectorIndex:
