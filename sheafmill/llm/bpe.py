@@ -33,7 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sheafmill.llm.common import documents, text_session, texts
+from sheafmill.llm.common import documents, give_back, text_session, texts, tidy
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: The characters of Unicode's White_Space property (fixed values).
@@ -42,6 +42,8 @@ SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 REMEMBERED = 400_000
 #: By one that leaves memory to the stages before and after.
 REMEMBERED_AMONG_STAGES = 80_000
+#: Bytes of new pre-tokens that such a worker merges through its queue at once; what merging takes meanwhile is many times that.
+MERGED_AMONG_STAGES = 1 << 17
 #: Characters of the chunks that were learnt since all was forgotten; bounds a worker's memory where pre-tokens are long.
 REMEMBERED_CHARACTERS = 1 << 24
 #: Characters (or bytes) of texts that are encoded together, for each chunk that is remembered.
@@ -101,8 +103,8 @@ class RankQueue:
 class Codec:
     """Encoder and decoder of one rank file."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED, at_once: int | None = None):
+        self.ranks, self.at_once = ranks, at_once
         self.remembered, self.together = remembered, TOGETHER * remembered
         self.pattern = regex.compile(pattern)
         self.size = max(ranks.values(), default=-1) + 1
@@ -241,16 +243,26 @@ class Codec:
         if long or len(self.pieces) + len(unmerged) > len(self.own) + self.remembered:  # those that came again stay
             self.pieces = self.own | {p: self.pieces[p] for p in pieces.difference(unmerged)}
         known = self.pieces
-        ids, last = self.merged(unmerged)
-        packed = ids.astype(np.int32).tobytes()
-        known.update((p, packed[4 * a : 4 * b]) for p, a, b in zip(unmerged, [0, *last], last))
+        for some in self._parts(unmerged):
+            ids, last = self.merged(some)
+            packed = ids.astype(np.int32).tobytes()
+            known.update((p, packed[4 * a : 4 * b]) for p, a, b in zip(some, [0, *last], last))
         piece_ids = known.__getitem__
         for chunk, own in parts:
             self.chunks[chunk] = known[own[0]] if len(own) == 1 else b"".join(map(piece_ids, own))
 
-    def forget(self) -> None:
-        """Give back what is remembered: after this the worker does other work."""
-        self.chunks, self.pieces, self.characters = {}, dict(self.own), 0
+    def _parts(self, pieces: list[bytes]) -> Iterator[list[bytes]]:
+        """The pieces in lists of at most at_once bytes (or one piece)."""
+        if self.at_once is None:
+            yield pieces
+            return
+        start = size = 0
+        for k, piece in enumerate(pieces):
+            if k > start and size + len(piece) > self.at_once:
+                yield pieces[start:k]
+                start, size = k, 0
+            size += len(piece)
+        yield pieces[start:]
 
     def learned(self, every: Iterable[str]) -> Iterator[Iterable[list[str]]]:
         """The chunks of each text, in lists, all of them learned when they are given out; short texts are worked through together."""
@@ -312,14 +324,14 @@ class _Ragged:
 
 
 @lru_cache(maxsize=2)
-def codec(name: str = RANKS, remembered: int = REMEMBERED) -> Codec:
+def codec(name: str = RANKS, remembered: int = REMEMBERED, at_once: int | None = None) -> Codec:
     """The codec of a rank file of the public tokenizers; loaded once in a worker."""
     import public_tokenizers
 
     gc.set_threshold(1_000_000, 20, 100)  # what is remembered is many small tuples without cycles; scanning them often costs a third of the time
     with open(public_tokenizers.path(name), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
-    return Codec(ranks, public_tokenizers.PATTERN, remembered)
+    return Codec(ranks, public_tokenizers.PATTERN, remembered, at_once)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -353,8 +365,11 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(bytes_hex, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+@tidy
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    own = codec(remembered=REMEMBERED_AMONG_STAGES)
+    collects = gc.get_threshold()
+    own = codec(remembered=REMEMBERED_AMONG_STAGES, at_once=MERGED_AMONG_STAGES)
+    give_back()  # what loading the codec took besides
     for batch in _grouped(batches, own.together):
         ids, exact = [], []
         every = list(texts(batch))
@@ -366,7 +381,8 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, dtype=np.int32)))
         yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(counts), pa.array(exact, pa.bool_())], names=["doc_id", "ids", "n_tokens", "exact"])
-    own.forget()
+    codec.cache_clear()  # after this the worker does other work: loading a codec again takes half a second
+    gc.set_threshold(*collects)
 
 
 def token_ids(docs: DataFrame) -> DataFrame:

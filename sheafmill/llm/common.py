@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +41,27 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def give_back() -> None:
+    """Return freed memory to the system: allocators keep it, and a Python worker lives on, idle, beside what its executor does next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of batches whose task leaves its worker as small as it found it; what run itself remembers has to be forgotten by run."""
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def fold_remainder(column: str, mod: int):
     """crc32 of the id as text, modulo mod: the remainder that says which rows are held out. A null id has none (-1)."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % mod, F.lit(-1)).cast("int")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafmill.llm.common import documents, shared_path, text_session, texts
+from sheafmill.llm.common import documents, shared_path, text_session, texts, tidy
 from sheafmill.llm.files import File, write_arrays
 
 WIDTH = 5
@@ -175,6 +175,7 @@ def search(every: list[Sketches], text: str) -> Iterator[tuple]:
 
 
 def _write_sketches(root: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
@@ -207,6 +208,7 @@ def write_sketches(items: DataFrame) -> list[tuple]:
 
 
 def _searcher(files: list[tuple]):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = [Sketches(*f) for f in files]
         for batch in batches:
@@ -232,6 +234,7 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _clean_rows(files: list[tuple]):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = [Sketches(*f) for f in files]
         for batch in batches:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafmill.llm.common import Scratch, text_session, texts
+from sheafmill.llm.common import Scratch, text_session, texts, tidy
 from sheafmill.llm.decontaminate import REMEMBERED, needed, shingle_hashes
 from sheafmill.llm import simhash
 from sheafmill.llm.simhash import components, one_of_each
@@ -104,6 +104,7 @@ def prefix(own: np.ndarray, common: np.ndarray, place: np.ndarray) -> np.ndarray
     return np.concatenate([rare, common[late[np.argsort(place[late])][: k - len(rare)]]])
 
 
+@tidy
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shingle, n) of the shingles that are repeated among some millions; a block's other shingles are rare or known from other blocks."""
 
@@ -146,6 +147,7 @@ def fingerprint(own: np.ndarray) -> int:
 
 
 def _marker(shared):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, place = shared.value
         seen: set[int] = set()
@@ -189,6 +191,7 @@ def marks(docs: DataFrame) -> DataFrame:
 LIST_SCHEMA = "list bigint, piece int, center bigint, center_n int, members array<bigint>, sizes array<int>"
 
 
+@tidy
 def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (key, fp, n) in order of key and fp: the members of each key that has two or more, in pieces of at most PIECE, with the key's first member."""
 
@@ -254,6 +257,7 @@ def _and_none(batches):
     yield None
 
 
+@tidy
 def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (u, v), u < v, of a list's members whose sizes allow 0.8: all of a short list, those with the first member of a longer one."""
     for batch in batches:
@@ -278,6 +282,7 @@ def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["u", "v"])
 
 
+@tidy
 def _pairs_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (list, piece a, piece b, members): pairs (u, v), u < v, of members of the two pieces that are in different groups, share no smaller list and pass sizes and sketches."""
     for batch in batches:
@@ -317,6 +322,7 @@ def _pairs_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
 
 
+@tidy
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = [batch.column(i) for i in range(4)]
@@ -338,6 +344,7 @@ def _text_filter(hashes_needed: DataFrame) -> np.ndarray:
 def _filter_batches(shared):
     """The rows of texts that may be needed, each text once in a task."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
         for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafmill.llm.common import documents, fold_remainder, text_session, texts
+from sheafmill.llm.common import documents, fold_remainder, text_session, texts, tidy
 from sheafmill.llm.folds import labelled_sample, logistic
 
 FOLDS, HELD_OUT = 4, 2
@@ -278,6 +278,7 @@ def sampled_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate([x for x, _ in found]), np.array([z for _, zs in found for z in zs], dtype=np.float64)) if found else (np.empty((0, WIDTH), dtype=np.float32), np.empty(0))
 
 
+@tidy
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(label, features, lengths) of documents that have lines; a batch is handed on when it holds FIT_LINES lines."""
     names, held = ["label", "features", "lengths"], []
@@ -314,6 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
 
 
 def _scored(field):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(field.value.scores(list(texts(batch))), pa.float64())], names=["doc_id", "score"])
@@ -330,6 +332,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _good_rows(field):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(field.value.scores(list(texts(batch))) >= THRESHOLD, pa.bool_()))

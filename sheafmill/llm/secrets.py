@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafmill.llm.common import documents, text_session, texts
+from sheafmill.llm.common import documents, text_session, texts, tidy
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 #: Parts of the keywords of ASSIGN in lower case, one of which is in every match.
@@ -218,6 +218,7 @@ def redact(text: str, spans) -> str:
     return "".join([*out, text[at:]])
 
 
+@tidy
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -236,6 +237,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_scanned, f"doc_id {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string")
 
 
+@tidy
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index("text")

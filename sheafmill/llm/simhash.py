@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafmill.llm.common import Scratch, documents, keep, text_session, texts
+from sheafmill.llm.common import Scratch, documents, keep, text_session, texts, tidy
 
 SEED = 42
 WIDTH = 3
@@ -86,6 +86,7 @@ def fingerprint(text: str | None, width: int = WIDTH) -> int:
     return int(sum(1 << int(b) for b in bits))
 
 
+@tidy
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = np.array([fingerprint(t) for t in texts(batch)], dtype=np.uint64).view(np.int64)
@@ -159,6 +160,7 @@ def _settle(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
+@tidy
 def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From posting lists (members): links (u, v), u > v as signed longs, one for each member that is not its list's smallest of a component."""
     for batch in batches:
