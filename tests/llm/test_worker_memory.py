@@ -36,7 +36,7 @@ print(own() - before)
 def test_little_stays_after_a_task():
     """Counting shingles takes some 70 MB while it runs."""
     grown = float(subprocess.run([sys.executable, "-c", PROGRAM.format(repo=REPO)], capture_output=True, text=True, check=True, timeout=300).stdout)
-    assert grown < 18, grown
+    assert grown < 10, grown
 
 
 def _batches():
