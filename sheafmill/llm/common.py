@@ -2,66 +2,25 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
-from collections.abc import Callable, Iterator
-from functools import wraps
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafmill.session import Scratch, keep, shared_path, shared_root, spread  # noqa: F401
-
-#: Rows of text in one Arrow batch, and its bytes: texts average a few kilobytes, where they are long the bytes cut a batch earlier.
-TEXT_ROWS = 512
-BATCH_BYTES = 8 << 20
+from sheafmill.session import Scratch, give_back, keep, shared_path, shared_root, spread, text_session, tidy  # noqa: F401
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def text_session(spark: SparkSession) -> None:
-    """Bound the rows and bytes of an Arrow batch, so that long texts do not pile up in a Python worker or beside the heap.
-
-    Results do not depend on it. The setting stays, as plans are run after the operator has returned.
-    """
-    for name, most in (("maxRecordsPerBatch", TEXT_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = spark.conf.get(key)
-        own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) if name == "maxBytesPerBatch" else int(now)
-        if own > most or own <= 0:
-            spark.conf.set(key, str(most))
-
-
 def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
     """The texts of a batch one at a time; null is the empty text."""
     for value in batch.column(batch.schema.get_field_index(name)):
         yield value.as_py() or ""
 
 
-def give_back() -> None:
-    """Return freed memory to the system: allocators keep it, and a Python worker lives on, idle, beside what its executor does next."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
-        trim(0)
-
-
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function of batches whose task leaves its worker as small as it found it; what run itself remembers has to be forgotten by run."""
-
-    @wraps(run)
-    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from run(batches)
-        finally:
-            give_back()
-
-    return tidied
-
-
 def fold_remainder(column: str, mod: int):
     """crc32 of the id as text, modulo mod: the remainder that says which rows are held out. A null id has none (-1)."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % mod, F.lit(-1)).cast("int")

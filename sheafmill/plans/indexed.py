@@ -97,7 +97,7 @@ def english_phrase(spark, sf_dir):
 @query(f"WITH {_TOKENS} SELECT stem, count(DISTINCT doc_id) AS documents, count(*) AS places FROM stemmed GROUP BY stem")
 def english_stems(spark, sf_dir):
     """Every stem of the documents, with how many documents and places have it."""
-    rows = spark.read.parquet(f"{_english(spark, sf_dir).path}/postings")
+    rows = spark.read.parquet(f"{_english(spark, sf_dir).path}/postings").filter("term IS NOT NULL")
     return rows.groupBy(F.col("term").alias("stem")).agg(F.sum(F.size("keys")).alias("documents"), F.sum(F.size("positions")).alias("places"))
 
 

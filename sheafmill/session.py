@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import tempfile
 import threading
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of text in one Arrow batch, and its bytes: texts average a few kilobytes, where they are long the bytes cut a batch earlier.
+TEXT_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 _SHIPPING = threading.Lock()
 
@@ -54,6 +62,40 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_session(spark: SparkSession) -> None:
+    """Bound the rows and bytes of an Arrow batch, so that long texts do not pile up in a Python worker or beside the heap.
+
+    Results do not depend on it. The setting stays, as plans are run after the operator has returned.
+    """
+    for name, most in (("maxRecordsPerBatch", TEXT_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key)
+        own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) if name == "maxBytesPerBatch" else int(now)
+        if own > most or own <= 0:
+            spark.conf.set(key, str(most))
+
+
+def give_back() -> None:
+    """Return freed memory to the system: allocators keep it, and a Python worker lives on, idle, beside what its executor does next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of batches whose task leaves its worker as small as it found it; what run itself remembers has to be forgotten by run."""
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 class Scratch:
     """Intermediate tables and files in the shared folder that go when the block ends; what is read later has to be kept outside of it."""
 
